@@ -129,13 +129,17 @@ def extract_tags(lowered: Column, keywords=None, whole_word: bool = False) -> Co
 
 
 def title_case(c: Column) -> Column:
-    """Capitalise every run of letters (not only after blanks, as initcap does)."""
-    runs = F.regexp_extract_all(c, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
-    return F.array_join(
-        F.transform(runs, lambda r: F.concat(F.upper(F.left(r, F.lit(1))),
-                                             F.lower(F.substring(r, 2, 1 << 30)))),
-        "",
-    )
+    """Capitalise every run of cased letters (not only after blanks, as initcap
+    does); a letter whose capital is two letters keeps the second one small."""
+    cased = r"\p{Lu}\p{Ll}\p{Lt}"
+    runs = F.regexp_extract_all(c, F.lit(f"[{cased}]+|[^{cased}]+"), F.lit(0))
+
+    def capitalise(run: Column) -> Column:
+        head = F.upper(F.left(run, F.lit(1)))
+        return F.concat(F.left(head, F.lit(1)), F.lower(F.substring(head, 2, 9)),
+                        F.lower(F.substring(run, 2, 1 << 30)))
+
+    return F.array_join(F.transform(runs, capitalise), "")
 
 
 def like_pattern(pattern: str) -> str:
