@@ -9,7 +9,6 @@ from gleanery.functions.text import strip
 from gleanery.sources import dom
 from gleanery.sources.dom import Sel, word
 
-_DROP = tuple(vocab.BOILERPLATE_TAGS)
 COMPANY = {
     "brightermonday": [Sel((), attrs=(("data-cy", "^company-name$"),)),
                        Sel(("a",), attrs=(("href", "/companies/"),)), Sel(("p",), "blue")],
@@ -19,61 +18,64 @@ COMPANY = {
 COMPANY_WIDTH, PLACE_WIDTH = 150, 100
 
 
-def main_content(nodes: Column) -> Column:
-    """Nodes inside <main>, else <article>, else all."""
-    for_main = dom.first(nodes, [Sel(("main",)), Sel(("article",))])
-    return F.when(for_main.isNotNull(), dom.inside(nodes, for_main)).otherwise(nodes)
+def page_sections(pages: DataFrame, headings: list[tuple[str, str]], key: list[str]) -> DataFrame:
+    """(key..., description, requirements) by the headings of each page."""
+    blocks = pages.select(*key, dom.parse_blocks("html").alias("blocks"))
+    described, required = prose.split_by_heading(F.col("blocks"), headings)
+    return blocks.select(*key, described.alias("description"), required.alias("requirements"))
 
 
-def _own_text(nodes: Column, pattern: str) -> Column:
+def _text_node(pattern: str) -> Column:
     """First text node matching a pattern."""
-    return F.get(F.filter(nodes, lambda n: (n["tag"] == dom.TEXT) & n["text"].rlike(pattern)), F.lit(0))
+    return F.get(F.filter("nodes", lambda n: (n["tag"] == dom.TEXT) & n["text"].rlike(pattern)), F.lit(0))
 
 
-def page_sections(pages: DataFrame, style: str, key: list[str]) -> DataFrame:
-    """(key..., description, requirements) by the headings of each page."""
-    blocks = pages.select(*key, dom.parse_nodes("html").alias("nodes")).select(
-        *key, dom.page_blocks(main_content(F.col("nodes")), _DROP).alias("blocks"))
-    described, required = prose.split_by_heading(F.col("blocks"), vocab.SECTION_HEADINGS[style])
-    return blocks.select(*key, described.alias("description"), required.alias("requirements"))
+def _around(el: Column, tags: tuple[str, ...]) -> Column:
+    """Innermost of the given elements that holds a node."""
+    holders = F.filter("nodes", lambda n: n["tag"].isin(*tags) & (n["i"] < el["i"]) & (el["i"] <= n["end"]))
+    return F.try_element_at(holders, F.lit(-1))
+
+
+def _short(c: Column, width: int) -> Column:
+    return F.when((c != "") & (F.length(c) < width), c)
 
 
 def detail_fields(pages: DataFrame, style: str) -> DataFrame:
     """Per url: description, requirements, company, location, job type, salary."""
-    gone = F.filter("all_nodes", lambda n: n["tag"].isin(*_DROP))
-    parsed = pages.select("url", dom.parse_nodes("html").alias("all_nodes"))
-    kept = F.filter("all_nodes", lambda n: ~F.exists(
-        F.col("gone"), lambda g: (g["i"] <= n["i"]) & (n["i"] <= g["end"])))
-    parsed = parsed.withColumn("gone", gone).select("url", kept.alias("nodes"))
     nodes = F.col("nodes")
-    parsed = parsed.withColumn("blocks", dom.page_blocks(main_content(nodes)))
+    rows = pages.select("url", dom.parse_content("html").alias("nodes"),
+                        dom.parse_blocks("html").alias("blocks"))
     described, required = prose.split_by_heading(F.col("blocks"), vocab.SECTION_HEADINGS[style])
-
-    def short(c: Column, width: int) -> Column:
-        return F.when((c != "") & (F.length(c) < width), c)
-
-    company = F.coalesce(*[
-        short(dom.text_of(nodes, dom.first(nodes, [s])), COMPANY_WIDTH) for s in COMPANY[style]])
-    columns = {"description": described, "requirements": required}
-    kind = _own_text(nodes, rf"(?i)\b(?:{vocab.JOB_TYPE_PROSE_PATTERN})\b")["text"]
-    columns["job_type"] = prose.pattern_job_type(strip(kind))
+    # Elements first, then what encloses them, then their texts.
+    rows = rows.withColumns({
+        "kind": _text_node(rf"(?i)\b(?:{vocab.JOB_TYPE_PROSE_PATTERN})\b"),
+        "pay": _text_node("(?i)KSh|KES|salary"),
+        "named": _text_node(f"(?i){vocab.PLACE_PROSE_PATTERN}"),
+        "label": _text_node(r"(?i)company\s*:"),
+        **{f"company{k}": dom.first(nodes, [s]) for k, s in enumerate(COMPANY[style])},
+    })
+    rows = rows.withColumns({
+        "place_el": _around(F.col("named"), ("span", "p", "div")),
+        "label_el": _around(F.col("label"), ("td", "div", "li", "p")),
+    })
+    rows = rows.withColumns({
+        "place": dom.text_of(nodes, F.col("place_el")),
+        "label_text": dom.text_of(nodes, F.col("label_el")),
+        **{f"company_text{k}": dom.text_of(nodes, F.col(f"company{k}"))
+           for k in range(len(COMPANY[style]))},
+    })
+    company = F.coalesce(*[_short(F.col(f"company_text{k}"), COMPANY_WIDTH)
+                           for k in range(len(COMPANY[style]))])
+    columns = {"description": described, "requirements": required,
+               "job_type": prose.pattern_job_type(strip(F.col("kind.text")))}
     if style == "brightermonday":
-        pay = _own_text(nodes, "(?i)KSh|KES|salary")["text"]
-        low, high = salary.range_bounds(pay)
-        named = _own_text(nodes, f"(?i){vocab.PLACE_PROSE_PATTERN}")
-        around = F.filter(nodes, lambda n: n["tag"].isin("span", "p", "div")
-                          & (n["i"] < named["i"]) & (named["i"] <= n["end"]))
-        place = F.when(F.size(around) > 0, dom.text_of(nodes, F.try_element_at(around, F.lit(-1))))
+        low, high = salary.range_bounds(F.col("pay.text"))
         columns.update({
             "salary_min": low, "salary_max": high,
             "salary_currency": F.when(low.isNotNull(), F.lit("KES")),
-            "location": short(place, PLACE_WIDTH)})
+            "location": _short(F.col("place"), PLACE_WIDTH)})
     else:
-        label = _own_text(nodes, r"(?i)company\s*:")
-        around = F.filter(nodes, lambda n: n["tag"].isin("td", "div", "li", "p")
-                          & (n["i"] < label["i"]) & (label["i"] <= n["end"]))
-        line = dom.text_of(nodes, F.try_element_at(around, F.lit(-1)))
-        named = strip(F.regexp_replace(line, r"(?i)company\s*:\s*", ""))
-        company = F.coalesce(company, F.when(F.size(around) > 0, short(named, COMPANY_WIDTH)))
+        labelled = strip(F.regexp_replace("label_text", r"(?i)company\s*:\s*", ""))
+        company = F.coalesce(company, _short(labelled, COMPANY_WIDTH))
     columns["company"] = company
-    return parsed.select("url", *[v.alias(k) for k, v in columns.items()])
+    return rows.select("url", *[v.alias(k) for k, v in columns.items()])

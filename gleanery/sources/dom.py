@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanery import vocab
 from gleanery.functions.text import any_of, strip
 
 TEXT, RAW = "#text", "#raw"
@@ -29,6 +30,15 @@ _ARROW_NODE = pa.struct([
     ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()),
 ])
 
+BLOCK = T.StructType([
+    T.StructField("tag", T.StringType()), T.StructField("text", T.StringType()),
+    T.StructField("items", T.ArrayType(T.StringType())),
+])
+_ARROW_BLOCK = pa.struct([
+    ("tag", pa.string()), ("text", pa.string()), ("items", pa.list_(pa.string()))])
+_BLOCKS = frozenset("h1 h2 h3 h4 p ul ol".split())
+_BOILERPLATE = frozenset(vocab.BOILERPLATE_TAGS)
+
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo cite code em font i kbd label mark q s small span "
                     "strike strong sub sup time tt u var".split())
@@ -107,11 +117,72 @@ def _nodes_of(html):
     return parser.finish()
 
 
+def _without(nodes, tags):
+    """Nodes outside the given elements; positions stay as they are."""
+    kept, skip_to = [], -1
+    for n in nodes:
+        if n["i"] <= skip_to:
+            continue
+        if n["tag"] in tags:
+            skip_to = n["end"]
+            continue
+        kept.append(n)
+    return kept
+
+
+def _within(nodes, tags):
+    """Nodes inside the first element of the first tag present, else all."""
+    for tag in tags:
+        for n in nodes:
+            if n["tag"] == tag:
+                return [m for m in nodes if n["i"] < m["i"] <= n["end"]]
+    return nodes
+
+
+def _blocks_of(nodes):
+    """Headings, paragraphs and lists in order. A list inside another list is
+    not visited again: its items belong to the outer one."""
+    blocks, list_end = [], -1
+    for n in nodes:
+        if n["tag"] not in _BLOCKS or (n["tag"] in ("ul", "ol") and n["i"] <= list_end):
+            continue
+        covered = [m for m in nodes if n["i"] < m["i"] <= n["end"]]
+        items = []
+        if n["tag"] in ("ul", "ol"):
+            list_end = n["end"]
+            items = [_text_in(covered, m) for m in covered if m["tag"] == "li"]
+        blocks.append({"tag": n["tag"], "text": _text_in(covered, n),
+                       "items": [t for t in items if t]})
+    return blocks
+
+
+def _text_in(nodes, el):
+    return "".join(m["text"].strip() for m in nodes
+                   if m["tag"] == TEXT and el["i"] < m["i"] <= el["end"])
+
+
 @F.arrow_udf(T.ArrayType(NODE))
 def parse_nodes(html: pa.Array) -> pa.Array:
     return pa.array([_nodes_of(h.as_py()) for h in html], type=pa.list_(_ARROW_NODE))
 
 
+@F.arrow_udf(T.ArrayType(BLOCK))
+def parse_blocks(html: pa.Array) -> pa.Array:
+    """Blocks of the main content, without boilerplate elements."""
+    found = []
+    for h in html:
+        nodes = _nodes_of(h.as_py())
+        found.append(nodes and _blocks_of(_within(_without(nodes, _BOILERPLATE), ("main", "article"))))
+    return pa.array(found, type=pa.list_(_ARROW_BLOCK))
+
+
+@F.arrow_udf(T.ArrayType(NODE))
+def parse_content(html: pa.Array) -> pa.Array:
+    """Nodes outside boilerplate elements."""
+    parsed = (_nodes_of(h.as_py()) for h in html)
+    return pa.array([n and _without(n, _BOILERPLATE) for n in parsed], type=pa.list_(_ARROW_NODE))
+
+
 # --- selecting -----------------------------------------------------------
 
 
@@ -155,12 +226,10 @@ def first(nodes: Column, steps: list) -> Column:
     return F.coalesce(*found)
 
 
-def inside(nodes: Column, el: Column) -> Column:
-    return F.filter(nodes, lambda n: (n["i"] > el["i"]) & (n["i"] <= el["end"]))
-
-
 def text_of(nodes: Column, el: Column) -> Column:
-    """Stripped text nodes joined without a separator; NULL without element."""
+    """Stripped text nodes joined without a separator; NULL without element.
+    Pass columns, not expressions: a lambda evaluates an outer expression anew
+    for every element."""
     own = F.filter(nodes, lambda n: (n["tag"] == TEXT) & (n["i"] > el["i"]) & (n["i"] <= el["end"]))
     joined = F.array_join(F.transform(own, lambda n: strip(n["text"])), "")
     return F.when(el.isNotNull(), joined)
@@ -178,27 +247,6 @@ def link_of(nodes: Column, el: Column) -> Column:
     return F.coalesce(F.when(own != "", own), attr(inner, "href"))
 
 
-def page_blocks(nodes: Column, drop: tuple[str, ...] = ()) -> Column:
-    """Headings, paragraphs and lists in order as struct(tag, text, items),
-    outside the dropped elements. The items of a list nested in another list
-    belong to the outer one only."""
-    gone = F.filter(nodes, lambda n: n["tag"].isin(*drop)) if drop else None
-    kept = nodes if gone is None else F.filter(
-        nodes, lambda n: ~F.exists(gone, lambda g: (g["i"] <= n["i"]) & (n["i"] <= g["end"])))
-    lists = select(kept, Sel(("ul", "ol")))
-    found = F.filter(
-        select(kept, Sel(("h1", "h2", "h3", "h4", "p", "ul", "ol"))),
-        lambda b: ~(b["tag"].isin("ul", "ol")
-                    & F.exists(lists, lambda o: (o["i"] < b["i"]) & (b["i"] <= o["end"]))))
-
-    def block(b: Column) -> Column:
-        items = F.filter(kept, lambda n: (n["tag"] == "li") & (n["i"] > b["i"]) & (n["i"] <= b["end"]))
-        texts = F.filter(F.transform(items, lambda li: text_of(kept, li)), lambda t: t != "")
-        return F.struct(b["tag"].alias("tag"), text_of(kept, b).alias("text"), texts.alias("items"))
-
-    return F.transform(found, block)
-
-
 def table_cells(nodes: Column, table: Column) -> Column:
     """Rows of cell texts of one table, header row included."""
     rows = F.filter(nodes, lambda n: (n["tag"] == "tr") & (n["i"] > table["i"]) & (n["i"] <= table["end"]))

@@ -33,22 +33,25 @@ def vacancy_rows(pages: DataFrame) -> DataFrame:
     return named.where((F.col("ref") != "") & (F.lower("status") == "active"))
 
 
-def requirement_list(nodes: Column) -> Column:
-    """The table after the first heading naming requirements, as lines with an
-    optional [priority] in front."""
-    headings = F.filter(dom.select(nodes, dom.Sel(("h4",))),
-                        lambda h: dom.text_of(nodes, h).contains("Requirements"))
-    heading = F.get(headings, F.lit(0))
-    table = F.get(F.filter(nodes, lambda n: (n["tag"] == "table") & (n["i"] > heading["i"])), F.lit(0))
-    body = F.filter(F.slice(dom.table_cells(nodes, table), F.lit(2), F.lit(1 << 30)),
-                    lambda cells: F.size(cells) >= 2)
+def with_requirements(rows: DataFrame) -> DataFrame:
+    """Adds `requirements` from `nodes`: the table after the first heading that
+    names requirements, as lines with an optional [priority] in front."""
+    nodes = F.col("nodes")
+    headings = F.filter(nodes, lambda n: (n["tag"] == "h4") & F.exists(
+        nodes, lambda t: (t["tag"] == dom.TEXT) & (t["i"] > n["i"]) & (t["i"] <= n["end"])
+        & t["text"].contains("Requirements")))
+    rows = rows.withColumn("_heading", F.get(headings, F.lit(0)))
+    after = F.filter(nodes, lambda n: (n["tag"] == "table") & (n["i"] > F.col("_heading.i")))
+    rows = rows.withColumn("_table", F.get(after, F.lit(0)))
+    cells = dom.table_cells(nodes, F.col("_table"))
 
-    def line(cells: Column) -> Column:
-        need, priority = F.get(cells, F.lit(1)), F.get(cells, F.lit(2))
+    def line(c: Column) -> Column:
+        need, priority = F.get(c, F.lit(1)), F.get(c, F.lit(2))
         mark = F.when(present(priority), F.concat(F.lit("["), priority, F.lit("] "))).otherwise("")
         return F.when(need != "", F.concat(mark, need))
 
-    return F.coalesce(F.array_join(F.transform(body, line), "\n"), F.lit(""))
+    lines = F.transform(F.slice(cells, F.lit(2), F.lit(1 << 30)), line)
+    return rows.withColumn("requirements", F.coalesce(F.array_join(lines, "\n"), F.lit("")))
 
 
 def institute_postings(lists: DataFrame, details: DataFrame, base: str) -> DataFrame:
@@ -57,7 +60,7 @@ def institute_postings(lists: DataFrame, details: DataFrame, base: str) -> DataF
     rows = dedup_first(vacancy_rows(lists), ["ref"], ["page", "pos"])
     d = (details.groupBy("ref").agg(F.min("html").alias("html"))
          .withColumn("nodes", dom.parse_nodes("html")))
-    rows = rows.join(d, "ref", "left")
+    rows = with_requirements(rows.join(d, "ref", "left"))
     job, place = prose.split_last(F.col("title"), " - ")
     html = F.col("html")
     rows = rows.withColumn("_duties", F.coalesce(
@@ -67,7 +70,7 @@ def institute_postings(lists: DataFrame, details: DataFrame, base: str) -> DataF
     return shape(rows, {
         "source": F.lit("kemri"), "title": job, "company": F.lit(INSTITUTE),
         "location": prose.place_with_country(place), "description": F.col("_duties"),
-        "requirements": requirement_list(F.col("nodes")), "job_type": F.col("emp_type"),
+        "requirements": F.col("requirements"), "job_type": F.col("emp_type"),
         "url": url, "apply_url": url, "external_id": composite("kemri", F.col("ref")),
         "posted_date": dates.labelled_date(html, ADVERTISED),
         "application_deadline": dates.labelled_date(html, CLOSING),
