@@ -52,6 +52,7 @@ class CardSite:
     card_text_title: bool = False           # link cards: their text is the title
     need_link: bool = False
     company_outside_title: bool = False
+    lower_type: bool = False
     per_site: int | None = None
 
 
@@ -140,6 +141,8 @@ def card_postings(pages: DataFrame, site: CardSite) -> DataFrame:
         "location": value("location"), "job_type": value("job_type"),
         "description": value("description"), "url": url, "apply_url": url,
     }
+    if site.lower_type:
+        columns["job_type"] = F.lower(columns["job_type"])
     if site.description_width:
         columns["description"] = F.left(columns["description"], F.lit(site.description_width))
     if site.deadline:

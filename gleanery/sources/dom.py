@@ -5,6 +5,7 @@ page batches and only emits the element structure. Selecting, fallbacks, texts
 and ids are Column expressions on that array.
 """
 
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -142,25 +143,26 @@ def _within(nodes, tags):
 def _blocks_of(nodes):
     """Headings, paragraphs and lists in order. A list inside another list is
     not visited again: its items belong to the outer one."""
+    at = [n["i"] for n in nodes]
+
+    def inner(k):
+        return nodes[k + 1:bisect_right(at, nodes[k]["end"])]
+
+    def text(k):
+        return "".join(m["text"].strip() for m in inner(k) if m["tag"] == TEXT)
+
     blocks, list_end = [], -1
-    for n in nodes:
+    for k, n in enumerate(nodes):
         if n["tag"] not in _BLOCKS or (n["tag"] in ("ul", "ol") and n["i"] <= list_end):
             continue
-        covered = [m for m in nodes if n["i"] < m["i"] <= n["end"]]
         items = []
         if n["tag"] in ("ul", "ol"):
             list_end = n["end"]
-            items = [_text_in(covered, m) for m in covered if m["tag"] == "li"]
-        blocks.append({"tag": n["tag"], "text": _text_in(covered, n),
-                       "items": [t for t in items if t]})
+            items = [text(k + 1 + j) for j, m in enumerate(inner(k)) if m["tag"] == "li"]
+        blocks.append({"tag": n["tag"], "text": text(k), "items": [t for t in items if t]})
     return blocks
 
 
-def _text_in(nodes, el):
-    return "".join(m["text"].strip() for m in nodes
-                   if m["tag"] == TEXT and el["i"] < m["i"] <= el["end"])
-
-
 @F.arrow_udf(T.ArrayType(NODE))
 def parse_nodes(html: pa.Array) -> pa.Array:
     return pa.array([_nodes_of(h.as_py()) for h in html], type=pa.list_(_ARROW_NODE))

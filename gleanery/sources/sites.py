@@ -138,7 +138,7 @@ SITES = [
         title=[cls("title|heading|entry", "h2", "h3", "a"), Sel(("a",))], min_title=3,
         company=[cls("company|employer")], location=[cls("location|place")],
         deadline=[cls("deadline|closing|date")], deadline_label=vocab.DEADLINE_LABEL_WITH_DATE,
-        job_type=[cls("type|employment")], description=[cls("desc|summary|content")],
+        job_type=[cls("type|employment")], lower_type=True, description=[cls("desc|summary|content")],
         description_width=vocab.SNIPPET_WIDTH, defaults={"location": "Kenya"}, external_id=id_slug),
     CardSite(
         "kenyajob", "https://www.kenyajob.com",
