@@ -334,20 +334,20 @@ SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, array_to_string({_nodes('cards[i]
 FROM c, unnest(range(1, len(cards) + 1)) AS t(i)""")
 def page_cards(spark, sf):
     found = cards.split_cards(pages(spark, sf), [dom.Sel(("li",), "job-card"), dom.Sel(("li",))], ["page_id"])
-    return found.select("page_id", "pos", dom.text_of(F.col("nodes"), F.col("card")).alias("text"))
+    return found.select("page_id", "pos", F.expr(dom.text_of("nodes", "card")).alias("text"))
 
 
 @query("first_text", f"""SELECT page_id,
   array_to_string({_nodes("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, '') AS title,
   'Kenya' AS location FROM pages""")
 def first_text(spark, sf):
-    nodes = F.col("nodes")
     parsed = pages(spark, sf).select("page_id", dom.parse_nodes("html").alias("nodes"))
     found = parsed.withColumns({
-        "t": dom.first(nodes, [dom.Sel(("h3",)), dom.Sel(("h1",)), dom.Sel(("title",))]),
-        "p": dom.first(nodes, [dom.Sel((), "location")])})
-    return found.select("page_id", dom.text_of(nodes, F.col("t")).alias("title"),
-                        F.coalesce(dom.text_of(nodes, F.col("p")), F.lit("Kenya")).alias("location"))
+        "t": F.expr(dom.first("nodes", [dom.Sel(("h3",)), dom.Sel(("h1",)), dom.Sel(("title",))])),
+        "p": F.expr(dom.first("nodes", [dom.Sel((), "location")]))})
+    return found.select(
+        "page_id", F.expr(dom.text_of("nodes", "t")).alias("title"),
+        F.coalesce(F.expr(dom.text_of("nodes", "p")), F.lit("Kenya")).alias("location"))
 
 
 _HEADINGS = [("desc", "a"), ("req", "requirement"), ("offer", "benefit")]

@@ -56,74 +56,62 @@ class CardSite:
     per_site: int | None = None
 
 
-def first_found(nodes: Column, steps: list) -> Column:
-    """All elements of the first step that finds any; NULL if none does."""
-    found = [dom.select(nodes, *(s if isinstance(s, tuple) else (s,))) for s in steps]
-    return F.coalesce(*[F.when(F.size(f) > 0, f) for f in found])
-
-
 def split_cards(pages: DataFrame, steps: list, keep: list[str]) -> DataFrame:
-    """One row per card: its element and the nodes inside it. A page without
-    cards gives no rows."""
-    nodes = F.col("nodes")
+    """One row per card: its element and the nodes inside it. The first step
+    that finds any element on the page decides; a page without cards gives no
+    rows."""
     parsed = pages.select(*keep, dom.parse_nodes("html").alias("nodes"))
-    parsed = parsed.withColumn("found", first_found(nodes, steps))
-    packed = F.transform("found", lambda c: F.struct(
-        c.alias("card"), F.slice(nodes, c["i"] + 2, c["end"] - c["i"]).alias("nodes")))
-    return (parsed.select(*keep, F.posexplode(packed).alias("pos", "c"))
-            .select(*keep, "pos", "c.card", "c.nodes"))
+    parsed = parsed.withColumn("found", F.expr(dom.found("nodes", steps)))
+    packed = F.expr("posexplode(transform(found, _c -> struct(_c AS card, "
+                    "slice(nodes, _c.i + 2, _c.stop - _c.i) AS nodes))) AS (pos, c)")
+    return parsed.select(*keep, packed).select(*keep, "pos", "c.card", "c.nodes")
 
 
 def without_cards(pages: DataFrame, steps: list) -> DataFrame:
     """Pages on which no step finds a card."""
-    return pages.where(first_found(dom.parse_nodes("html"), steps).isNull())
+    parsed = pages.withColumn("_nodes", dom.parse_nodes("html"))
+    return parsed.where(F.expr(dom.found("_nodes", steps)).isNull()).drop("_nodes")
 
 
-def _element(steps: list, title_el: Column | None = None) -> Column:
-    nodes, card = F.col("nodes"), F.col("card")
+def _element(steps: list) -> Column:
     options = []
     for s in steps:
         if s == OF_TITLE:
-            inner = F.get(F.filter(nodes, lambda n: (n["tag"] == "a") & (n["i"] > title_el["i"])
-                                   & (n["i"] <= title_el["end"])), F.lit(0))
-            options.append(F.when(title_el["tag"] == "a", title_el).otherwise(inner))
+            options.append(dom.link_in("nodes", "_title_el"))
         elif s == OF_CARD:
-            options.append(F.when(card["tag"] == "a", card))
+            options.append("CASE WHEN card.tag = 'a' THEN card END")
         else:
-            options.append(dom.first(nodes, [s]))
-    return F.coalesce(*options) if options else F.lit(None).cast(dom.NODE)
+            options.append(dom.first("nodes", [s]))
+    return F.expr(f"coalesce({', '.join(options)})")
 
 
 def card_postings(pages: DataFrame, site: CardSite) -> DataFrame:
     keep = ["page", *[c for c in ("site", "company", "site_url") if c in pages.columns]]
     cards = split_cards(pages, site.cards, keep)
     if site.skip:
-        header = F.coalesce(dom.first(F.col("nodes"), site.skip).isNotNull(), F.lit(False))
-        for s in site.skip:
-            header = header | F.coalesce(s.test(F.col("card"), F.col("nodes")), F.lit(False))
-        cards = cards.where(~header)
+        own = " OR ".join(s.test("card", "nodes") for s in site.skip)
+        cards = cards.where(f"NOT ({own}) AND {dom.first('nodes', site.skip)} IS NULL")
     # Elements, then their texts, each in a projection of its own.
     title_el = _element([*([OF_CARD] if site.card_text_title else []), *site.title])
     step = cards.withColumn("_title_el", title_el)
     step = step.withColumns({
-        "_link_el": _element(site.link, F.col("_title_el")),
+        "_link_el": _element(site.link),
         **{f"_{f}_el": _element(getattr(site, f))
            for f in ("company", "location", "job_type", "description", "deadline", "salary")
            if getattr(site, f)},
         **({"_posted_el": _element(site.posted[0])} if site.posted else {}),
     })
-    nodes = F.col("nodes")
 
     def text(name: str) -> Column:
         # A link card is not among its own inner nodes, but its range covers them.
-        return dom.text_of(nodes, F.col(f"_{name}_el"))
+        return F.expr(dom.text_of("nodes", f"_{name}_el"))
 
     step = step.withColumns({
         "_title": text("title"), "_href": dom.attr(F.col("_link_el"), "href"),
         **{f"_{f}": text(f) for f in ("company", "location", "job_type", "description",
                                       "deadline", "salary") if getattr(site, f)},
-        **({"_chips": F.transform(first_found(nodes, site.chips), lambda e: dom.text_of(nodes, e))}
-           if site.chips else {}),
+        **({"_chips": F.expr(f"transform({dom.found('nodes', site.chips)}, "
+                             f"_e -> {dom.text_of('nodes', '_e')})")} if site.chips else {}),
     })
     title, href = F.col("_title"), F.col("_href")
     base = F.regexp_replace("site_url", "/[^/]*$", "") if site.link_mode == "slash" else site.base
@@ -166,7 +154,7 @@ def card_postings(pages: DataFrame, site: CardSite) -> DataFrame:
         checks.append(("no link", ~present(url)))
     if site.company_outside_title:
         inside = ((F.col("_company_el.i") > F.col("_title_el.i"))
-                  & (F.col("_company_el.i") <= F.col("_title_el.end")))
+                  & (F.col("_company_el.i") <= F.col("_title_el.stop")))
         columns["company"] = F.when(~inside, columns["company"])
     if site.chips:
         columns["job_type"], columns["location"] = chip_type_and_place(F.col("_chips"))

@@ -25,47 +25,34 @@ def page_sections(pages: DataFrame, headings: list[tuple[str, str]], key: list[s
     return blocks.select(*key, described.alias("description"), required.alias("requirements"))
 
 
-def _text_node(pattern: str) -> Column:
-    """First text node matching a pattern."""
-    return F.get(F.filter("nodes", lambda n: (n["tag"] == dom.TEXT) & n["text"].rlike(pattern)), F.lit(0))
-
-
-def _around(el: Column, tags: tuple[str, ...]) -> Column:
-    """Innermost of the given elements that holds a node."""
-    holders = F.filter("nodes", lambda n: n["tag"].isin(*tags) & (n["i"] < el["i"]) & (el["i"] <= n["end"]))
-    return F.try_element_at(holders, F.lit(-1))
-
-
 def _short(c: Column, width: int) -> Column:
     return F.when((c != "") & (F.length(c) < width), c)
 
 
 def detail_fields(pages: DataFrame, style: str) -> DataFrame:
     """Per url: description, requirements, company, location, job type, salary."""
-    nodes = F.col("nodes")
     rows = pages.select("url", dom.parse_content("html").alias("nodes"),
                         dom.parse_blocks("html").alias("blocks"))
     described, required = prose.split_by_heading(F.col("blocks"), vocab.SECTION_HEADINGS[style])
+    names = {f"company{k}": s for k, s in enumerate(COMPANY[style])}
     # Elements first, then what encloses them, then their texts.
+    rows = rows.withColumns({k: F.expr(v) for k, v in {
+        "kind": dom.text_node("nodes", rf"(?i)\b(?:{vocab.JOB_TYPE_PROSE_PATTERN})\b"),
+        "pay": dom.text_node("nodes", "(?i)KSh|KES|salary"),
+        "named": dom.text_node("nodes", f"(?i){vocab.PLACE_PROSE_PATTERN}"),
+        "label": dom.text_node("nodes", r"(?i)company\s*:"),
+        **{k: dom.first("nodes", [s]) for k, s in names.items()},
+    }.items()})
     rows = rows.withColumns({
-        "kind": _text_node(rf"(?i)\b(?:{vocab.JOB_TYPE_PROSE_PATTERN})\b"),
-        "pay": _text_node("(?i)KSh|KES|salary"),
-        "named": _text_node(f"(?i){vocab.PLACE_PROSE_PATTERN}"),
-        "label": _text_node(r"(?i)company\s*:"),
-        **{f"company{k}": dom.first(nodes, [s]) for k, s in enumerate(COMPANY[style])},
-    })
-    rows = rows.withColumns({
-        "place_el": _around(F.col("named"), ("span", "p", "div")),
-        "label_el": _around(F.col("label"), ("td", "div", "li", "p")),
+        "place_el": F.expr(dom.around("nodes", "named", ("span", "p", "div"))),
+        "label_el": F.expr(dom.around("nodes", "label", ("td", "div", "li", "p"))),
     })
     rows = rows.withColumns({
-        "place": dom.text_of(nodes, F.col("place_el")),
-        "label_text": dom.text_of(nodes, F.col("label_el")),
-        **{f"company_text{k}": dom.text_of(nodes, F.col(f"company{k}"))
-           for k in range(len(COMPANY[style]))},
+        "place": F.expr(dom.text_of("nodes", "place_el")),
+        "label_text": F.expr(dom.text_of("nodes", "label_el")),
+        **{f"{k}_text": F.expr(dom.text_of("nodes", k)) for k in names},
     })
-    company = F.coalesce(*[_short(F.col(f"company_text{k}"), COMPANY_WIDTH)
-                           for k in range(len(COMPANY[style]))])
+    company = F.coalesce(*[_short(F.col(f"{k}_text"), COMPANY_WIDTH) for k in names])
     columns = {"description": described, "requirements": required,
                "job_type": prose.pattern_job_type(strip(F.col("kind.text")))}
     if style == "brightermonday":

@@ -1,8 +1,10 @@
-"""Landed HTML to an array of nodes, and Column expressions that search it.
+"""Landed HTML to an array of nodes, and SQL expressions that search it.
 
 Parsing is the one step Spark has no operator for; it runs as an Arrow UDF over
 page batches and only emits the element structure. Selecting, fallbacks, texts
-and ids are Column expressions on that array.
+and ids are expressions on that array. They name columns, because a lambda would
+evaluate any other outer expression anew for every element, and they are SQL
+text, because a site has hundreds of them.
 """
 
 from bisect import bisect_right
@@ -15,22 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery import vocab
-from gleanery.functions.text import any_of, strip
 
 TEXT, RAW = "#text", "#raw"
 
 NODE = T.StructType([
     T.StructField("i", T.IntegerType()),       # position in document order
-    T.StructField("end", T.IntegerType()),     # position of the last descendant
+    T.StructField("stop", T.IntegerType()),    # position of the last descendant
     T.StructField("tag", T.StringType()),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("text", T.StringType()),
 ])
-_ARROW_NODE = pa.struct([
-    ("i", pa.int32()), ("end", pa.int32()), ("tag", pa.string()),
-    ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()),
-])
-
 BLOCK = T.StructType([
     T.StructField("tag", T.StringType()), T.StructField("text", T.StringType()),
     T.StructField("items", T.ArrayType(T.StringType())),
@@ -63,13 +59,13 @@ class _Nodes(HTMLParser):
 
     def _add(self, tag, attrs=None, text=None):
         i = len(self.nodes)
-        self.nodes.append({"i": i, "end": i, "tag": tag, "attrs": attrs, "text": text})
+        self.nodes.append({"i": i, "stop": i, "tag": tag, "attrs": attrs, "text": text})
         return i
 
     def _close_down_to(self, depth):
         last = len(self.nodes) - 1
         for i in self.open[depth:]:
-            self.nodes[i]["end"] = last
+            self.nodes[i]["stop"] = last
         del self.open[depth:]
 
     def _end_implied(self, tags, fence):
@@ -100,9 +96,10 @@ class _Nodes(HTMLParser):
                 return None
 
     def handle_data(self, data):
-        if data.strip():
+        text = data.strip()
+        if text:
             parent = self.nodes[self.open[-1]]["tag"] if self.open else ""
-            self._add(RAW if parent in ("script", "style") else TEXT, None, data)
+            self._add(RAW if parent in ("script", "style") else TEXT, None, text)
 
     def finish(self):
         self.close()
@@ -125,7 +122,7 @@ def _without(nodes, tags):
         if n["i"] <= skip_to:
             continue
         if n["tag"] in tags:
-            skip_to = n["end"]
+            skip_to = n["stop"]
             continue
         kept.append(n)
     return kept
@@ -136,7 +133,7 @@ def _within(nodes, tags):
     for tag in tags:
         for n in nodes:
             if n["tag"] == tag:
-                return [m for m in nodes if n["i"] < m["i"] <= n["end"]]
+                return [m for m in nodes if n["i"] < m["i"] <= n["stop"]]
     return nodes
 
 
@@ -146,10 +143,10 @@ def _blocks_of(nodes):
     at = [n["i"] for n in nodes]
 
     def inner(k):
-        return nodes[k + 1:bisect_right(at, nodes[k]["end"])]
+        return nodes[k + 1:bisect_right(at, nodes[k]["stop"])]
 
     def text(k):
-        return "".join(m["text"].strip() for m in inner(k) if m["tag"] == TEXT)
+        return "".join(m["text"] for m in inner(k) if m["tag"] == TEXT)
 
     blocks, list_end = [], -1
     for k, n in enumerate(nodes):
@@ -157,35 +154,65 @@ def _blocks_of(nodes):
             continue
         items = []
         if n["tag"] in ("ul", "ol"):
-            list_end = n["end"]
+            list_end = n["stop"]
             items = [text(k + 1 + j) for j, m in enumerate(inner(k)) if m["tag"] == "li"]
         blocks.append({"tag": n["tag"], "text": text(k), "items": [t for t in items if t]})
     return blocks
 
 
+def _columnar(pages):
+    """Node lists as one Arrow array, built column by column."""
+    offsets, flat, nulls = [0], [], []
+    for nodes in pages:
+        nulls.append(nodes is None)
+        flat.extend(nodes or ())
+        offsets.append(len(flat))
+    at, keys, values = [0], [], []
+    for n in flat:
+        for k, v in n["attrs"] or ():
+            keys.append(k)
+            values.append(v)
+        at.append(len(keys))
+    attrs = pa.MapArray.from_arrays(
+        pa.array(at, pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string()))
+    fields = [
+        pa.array([n["i"] for n in flat], pa.int32()), pa.array([n["stop"] for n in flat], pa.int32()),
+        pa.array([n["tag"] for n in flat], pa.string()), attrs,
+        pa.array([n["text"] for n in flat], pa.string()),
+    ]
+    structs = pa.StructArray.from_arrays(fields, names=NODE.fieldNames())
+    # A NULL page is a masked offset.
+    starts = pa.array([None if m else o for o, m in zip(offsets, nulls)] + [offsets[-1]], pa.int32())
+    return pa.ListArray.from_arrays(starts, structs)
+
+
 @F.arrow_udf(T.ArrayType(NODE))
 def parse_nodes(html: pa.Array) -> pa.Array:
-    return pa.array([_nodes_of(h.as_py()) for h in html], type=pa.list_(_ARROW_NODE))
+    return _columnar([_nodes_of(h) for h in html.to_pylist()])
+
+
+@F.arrow_udf(T.ArrayType(NODE))
+def parse_content(html: pa.Array) -> pa.Array:
+    """Nodes outside boilerplate elements."""
+    parsed = (_nodes_of(h) for h in html.to_pylist())
+    return _columnar([n and _without(n, _BOILERPLATE) for n in parsed])
 
 
 @F.arrow_udf(T.ArrayType(BLOCK))
 def parse_blocks(html: pa.Array) -> pa.Array:
     """Blocks of the main content, without boilerplate elements."""
     found = []
-    for h in html:
-        nodes = _nodes_of(h.as_py())
+    for h in html.to_pylist():
+        nodes = _nodes_of(h)
         found.append(nodes and _blocks_of(_within(_without(nodes, _BOILERPLATE), ("main", "article"))))
     return pa.array(found, type=pa.list_(_ARROW_BLOCK))
 
 
-@F.arrow_udf(T.ArrayType(NODE))
-def parse_content(html: pa.Array) -> pa.Array:
-    """Nodes outside boilerplate elements."""
-    parsed = (_nodes_of(h.as_py()) for h in html)
-    return pa.array([n and _without(n, _BOILERPLATE) for n in parsed], type=pa.list_(_ARROW_NODE))
+# --- selecting -----------------------------------------------------------
 
 
-# --- selecting -----------------------------------------------------------
+def quoted(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 @dataclass(frozen=True)
@@ -199,16 +226,18 @@ class Sel:
     within: "Sel | None" = None
     ignore_case: bool = True
 
-    def test(self, n: Column, nodes: Column) -> Column:
+    def test(self, n: str, nodes: str) -> str:
+        """SQL condition on the node variable or column `n`."""
         flag = "(?i)" if self.ignore_case else ""
-        cond = n["tag"].isin(*self.tags) if self.tags else ~n["tag"].startswith("#")
+        names = ", ".join(quoted(t) for t in self.tags)
+        conds = [f"{n}.tag IN ({names})" if self.tags else f"NOT startswith({n}.tag, '#')"]
         wanted = ([("class", self.cls)] if self.cls else []) + list(self.attrs)
         for name, pattern in wanted:
-            cond = cond & F.coalesce(n["attrs"][name].rlike(flag + pattern), F.lit(False))
+            conds.append(f"coalesce({n}.attrs[{quoted(name)}] RLIKE {quoted(flag + pattern)}, false)")
         if self.within is not None:
-            outer = F.filter(nodes, lambda a: self.within.test(a, nodes))
-            cond = cond & F.exists(outer, lambda a: (a["i"] < n["i"]) & (n["i"] <= a["end"]))
-        return cond
+            outer = self.within.test(f"{n}_up", nodes)
+            conds.append(f"exists({nodes}, {n}_up -> {n}_up.i < {n}.i AND {n}.i <= {n}_up.stop AND {outer})")
+        return "(" + " AND ".join(conds) + ")"
 
 
 def word(name: str) -> str:
@@ -216,45 +245,57 @@ def word(name: str) -> str:
     return rf"(?:^|\s){name}(?:\s|$)"
 
 
-def select(nodes: Column, *alternatives: Sel) -> Column:
-    """Elements matching any of the selectors, in document order."""
-    return F.filter(nodes, lambda n: any_of([s.test(n, nodes) for s in alternatives]))
+def select(nodes: str, step) -> str:
+    """Elements matching a step, a selector or a tuple of alternatives, in
+    document order."""
+    alternatives = step if isinstance(step, tuple) else (step,)
+    return f"filter({nodes}, _n -> {' OR '.join(s.test('_n', nodes) for s in alternatives)})"
 
 
-def first(nodes: Column, steps: list) -> Column:
-    """First element of the first step that finds one; a step is a selector or
-    a tuple of alternatives."""
-    found = [F.get(select(nodes, *(s if isinstance(s, tuple) else (s,))), F.lit(0)) for s in steps]
-    return F.coalesce(*found)
+def first(nodes: str, steps: list) -> str:
+    """First element of the first step that finds one."""
+    return "coalesce(" + ", ".join(f"get({select(nodes, s)}, 0)" for s in steps) + ")"
 
 
-def text_of(nodes: Column, el: Column) -> Column:
-    """Stripped text nodes joined without a separator; NULL without element.
-    Pass columns, not expressions: a lambda evaluates an outer expression anew
-    for every element."""
-    own = F.filter(nodes, lambda n: (n["tag"] == TEXT) & (n["i"] > el["i"]) & (n["i"] <= el["end"]))
-    joined = F.array_join(F.transform(own, lambda n: strip(n["text"])), "")
-    return F.when(el.isNotNull(), joined)
+def found(nodes: str, steps: list) -> str:
+    """All elements of the first step that finds any; NULL if none does."""
+    return "coalesce(" + ", ".join(
+        f"CASE WHEN exists({nodes}, _n -> {' OR '.join(a.test('_n', nodes) for a in (s if isinstance(s, tuple) else (s,)))}) "
+        f"THEN {select(nodes, s)} END" for s in steps) + ")"
 
 
-def attr(el: Column, name: str) -> Column:
-    return el["attrs"][name]
+def text_of(nodes: str, el: str) -> str:
+    """Text nodes of an element joined without a separator; NULL without it."""
+    own = f"filter({nodes}, _t -> _t.tag = '{TEXT}' AND _t.i > {el}.i AND _t.i <= {el}.stop)"
+    return f"CASE WHEN {el} IS NOT NULL THEN array_join(transform({own}, _t -> _t.text), '') END"
+
 
+def link_in(nodes: str, el: str) -> str:
+    """The element itself if it is a link, else the first link inside it."""
+    inner = f"get(filter({nodes}, _n -> _n.tag = 'a' AND _n.i > {el}.i AND _n.i <= {el}.stop), 0)"
+    return f"CASE WHEN {el}.tag = 'a' THEN {el} ELSE {inner} END"
 
-def link_of(nodes: Column, el: Column) -> Column:
-    """href of the element itself, else of the first link inside it."""
-    inner = F.get(F.filter(nodes, lambda n: (n["tag"] == "a") & (n["i"] > el["i"])
-                           & (n["i"] <= el["end"])), F.lit(0))
-    own = attr(el, "href")
-    return F.coalesce(F.when(own != "", own), attr(inner, "href"))
 
+def around(nodes: str, el: str, tags: tuple[str, ...]) -> str:
+    """Innermost of the given elements that holds a node."""
+    names = ", ".join(quoted(t) for t in tags)
+    return (f"try_element_at(filter({nodes}, _n -> _n.tag IN ({names}) AND _n.i < {el}.i "
+            f"AND {el}.i <= _n.stop), -1)")
 
-def table_cells(nodes: Column, table: Column) -> Column:
+
+def text_node(nodes: str, pattern: str) -> str:
+    """First text node matching a pattern."""
+    return f"get(filter({nodes}, _n -> _n.tag = '{TEXT}' AND _n.text RLIKE {quoted(pattern)}), 0)"
+
+
+def table_cells(nodes: str, table: str) -> str:
     """Rows of cell texts of one table, header row included."""
-    rows = F.filter(nodes, lambda n: (n["tag"] == "tr") & (n["i"] > table["i"]) & (n["i"] <= table["end"]))
+    rows = f"filter({nodes}, _r -> _r.tag = 'tr' AND _r.i > {table}.i AND _r.i <= {table}.stop)"
+    tds = f"filter({nodes}, _d -> _d.tag = 'td' AND _d.i > _r.i AND _d.i <= _r.stop)"
+    text = (f"array_join(transform(filter({nodes}, _t -> _t.tag = '{TEXT}' AND _t.i > _d.i AND _t.i <= _d.stop), "
+            f"_t -> _t.text), '')")
+    return f"transform({rows}, _r -> transform({tds}, _d -> {text}))"
 
-    def cells(r: Column) -> Column:
-        tds = F.filter(nodes, lambda n: (n["tag"] == "td") & (n["i"] > r["i"]) & (n["i"] <= r["end"]))
-        return F.transform(tds, lambda td: text_of(nodes, td))
 
-    return F.transform(rows, cells)
+def attr(el: Column, name: str) -> Column:
+    return el["attrs"][name]

@@ -23,11 +23,9 @@ CLOSING = "Closing Date:"
 def vacancy_rows(pages: DataFrame) -> DataFrame:
     """Rows of the first table of each page after its header: at least seven
     cells, a reference, and status active."""
-    nodes = F.col("nodes")
     parsed = pages.select("page", dom.parse_nodes("html").alias("nodes"))
-    table = F.get(dom.select(nodes, dom.Sel(("table",))), F.lit(0))
-    rows = parsed.withColumn("table", table).select(
-        "page", F.posexplode(dom.table_cells(nodes, F.col("table"))).alias("pos", "cells"))
+    rows = parsed.withColumn("table", F.expr(dom.first("nodes", [dom.Sel(("table",))]))).select(
+        "page", F.posexplode(F.expr(dom.table_cells("nodes", "table"))).alias("pos", "cells"))
     full = rows.where((F.col("pos") > 0) & (F.size("cells") >= len(CELLS)))
     named = full.select("page", "pos", *[F.get("cells", F.lit(k)).alias(c) for k, c in enumerate(CELLS)])
     return named.where((F.col("ref") != "") & (F.lower("status") == "active"))
@@ -36,14 +34,12 @@ def vacancy_rows(pages: DataFrame) -> DataFrame:
 def with_requirements(rows: DataFrame) -> DataFrame:
     """Adds `requirements` from `nodes`: the table after the first heading that
     names requirements, as lines with an optional [priority] in front."""
-    nodes = F.col("nodes")
-    headings = F.filter(nodes, lambda n: (n["tag"] == "h4") & F.exists(
-        nodes, lambda t: (t["tag"] == dom.TEXT) & (t["i"] > n["i"]) & (t["i"] <= n["end"])
-        & t["text"].contains("Requirements")))
-    rows = rows.withColumn("_heading", F.get(headings, F.lit(0)))
-    after = F.filter(nodes, lambda n: (n["tag"] == "table") & (n["i"] > F.col("_heading.i")))
-    rows = rows.withColumn("_table", F.get(after, F.lit(0)))
-    cells = dom.table_cells(nodes, F.col("_table"))
+    titled = (f"exists(nodes, _t -> _t.tag = '{dom.TEXT}' AND _t.i > _h.i AND _t.i <= _h.stop "
+              "AND contains(_t.text, 'Requirements'))")
+    rows = rows.withColumn("_heading", F.expr(f"get(filter(nodes, _h -> _h.tag = 'h4' AND {titled}), 0)"))
+    rows = rows.withColumn("_table", F.expr(
+        "get(filter(nodes, _n -> _n.tag = 'table' AND _n.i > _heading.i), 0)"))
+    cells = F.expr(dom.table_cells("nodes", "_table"))
 
     def line(c: Column) -> Column:
         need, priority = F.get(c, F.lit(1)), F.get(c, F.lit(2))
