@@ -144,7 +144,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spark_sql(name: str) -> str:
+    return _VIEWS[name][0](_SPARK)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    build, base = _VIEWS[name]
-    text = build(_SPARK).replace(f"FROM {base}", "FROM {base}")
+    base = _VIEWS[name][1]
+    text = spark_sql(name).replace(f"FROM {base}", "FROM {base}")
     return spark.sql(text, base=table(spark, sf_dir, base))

@@ -82,9 +82,9 @@ def payloads(spark, sf, names=tuple(_ITEMS)) -> DataFrame:
 
 def detail_payloads(spark, sf) -> DataFrame:
     body = F.expr("""to_json(named_struct('result', named_struct('jobOpening', named_struct(
-      'description', concat('<p>Make ', p_name, ' parts with great care every day</p><p>What we need</p><p>', p_type, '</p>'),
+      'description', IF(p_partkey % 9 = 0, '', concat('<p>Make ', p_name, ' parts with great care every day</p><p>What we need</p><p>', p_type, '</p>')),
       'datePosted', '2024-02-03'))))""")
-    return part(spark, sf).where("p_partkey % 9 <> 0").select(
+    return part(spark, sf).select(
         F.lit("delta-forty").alias("site"), F.col("p_partkey").cast("string").alias("item_id"), body.alias("body"))
 
 
@@ -212,7 +212,7 @@ def state_pages(spark, sf) -> DataFrame:
 
 
 def vacancy_pages(spark, sf) -> DataFrame:
-    row = """concat('<tr><td> R', p_partkey % 1500, ' </td><td>', p_name, ' - ', p_brand, '</td><td>Contract</td><td>1</td><td>x</td><td>G',
+    row = """concat('<tr><td> R', CAST(floor(p_partkey / 2) AS BIGINT), ' </td><td>', p_name, ' - ', p_brand, '</td><td>Contract</td><td>1</td><td>x</td><td>G',
       p_size, '</td>', IF(p_partkey % 5 = 0, '', concat('<td>', IF(p_partkey % 4 = 0, 'Closed', 'ACTIVE'), '</td>')), '</tr>')"""
     rows = part(spark, sf).select((F.floor(F.col("p_partkey") / PER_PAGE) + 1).cast("int").alias("page"),
                                   F.col("p_partkey").alias("k"), F.expr(row).alias("r"))
@@ -228,5 +228,5 @@ def vacancy_details(spark, sf) -> DataFrame:
       '<h4>Vacancy Requirements:</h4><table><tr><th>#</th><th>Need</th><th>P</th></tr><tr><td>1</td><td>', p_type,
       '</td><td>Must</td></tr><tr><td>2</td><td>Care</td><td></td></tr><tr><td>3</td><td></td><td>x</td></tr></table>',
       '<p>Advertised Date: 1/5/24</p><p>Closing Date: 2/', 1 + p_partkey % 9, '/24</p>')""")
-    return part(spark, sf).where("p_partkey < 1500").select(
+    return part(spark, sf).select(
         F.lit("kemri").alias("source"), F.concat(F.lit("R"), F.col("p_partkey")).alias("ref"), html.alias("html"))

@@ -73,7 +73,7 @@ def merge_upsert_small_batch(spark, sf):
     target, batch = halves(spark, sf)
     keyed, _ = merge.split_keyed(batch)
     return merge.merge_upsert(target, batch, ORDER,
-                              small_batch=merge.is_small(keyed.select("source")))
+                              small_batch=merge.is_small(keyed))
 
 
 @query("merge_newest_wins", f"""{O}, early AS (SELECT * FROM obs WHERE ts < {CUT}),
@@ -164,18 +164,18 @@ _URL_SPLIT = f"{O}, stored AS (SELECT DISTINCT url FROM obs WHERE ts < TIMESTAMP
 
 
 @query("known_urls", f"""{_URL_SPLIT} SELECT id, url FROM obs
-WHERE ts >= {CUT} AND url IN (SELECT url FROM stored)""")
+WHERE ts >= TIMESTAMP '2024-01-03' AND url IN (SELECT url FROM stored)""")
 def known_urls(spark, sf):
     rows = obs(spark, sf).select("id", "url", "ts")
-    return merge.known_urls(rows.where(f"ts >= {CUT}"),
+    return merge.known_urls(rows.where("ts >= TIMESTAMP '2024-01-03'"),
                             rows.where("ts < TIMESTAMP '2024-01-03'")).drop("ts")
 
 
 @query("unseen_urls", f"""{_URL_SPLIT} SELECT id, url FROM obs
-WHERE ts >= {CUT} AND (url IS NULL OR url NOT IN (SELECT url FROM stored))""")
+WHERE ts >= TIMESTAMP '2024-01-03' AND (url IS NULL OR url NOT IN (SELECT url FROM stored))""")
 def unseen_urls(spark, sf):
     rows = obs(spark, sf).select("id", "url", "ts")
-    return merge.unseen_urls(rows.where(f"ts >= {CUT}"),
+    return merge.unseen_urls(rows.where("ts >= TIMESTAMP '2024-01-03'"),
                              rows.where("ts < TIMESTAMP '2024-01-03'")).drop("ts")
 
 

@@ -4,16 +4,15 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from checks import landed
-from checks.catalog_queries import CLEAN_SQL
-from checks.fixtures import EVENTS_AS_OF, JOBS_AS_OF, table, view, with_views
+from checks import fixtures
+from checks.fixtures import JOBS_AS_OF, table, view, with_views
 from checks.registry import query
-from checks.source_queries import _ADZUNA, _CARD_SQL, _REMOTIVE, expected, some_landed
-from gleanery import schema, vocab
-from gleanery.operators import clean, lifecycle, match, merge
+from checks.source_queries import _ADZUNA, _CARD_SQL, _REMOTIVE, some_landed
+from gleanery import schema
+from gleanery.functions import text as tx
 from gleanery.plans import jobs as plans
 from gleanery.session import work_dir
-from gleanery.sources import registry, tables
+from gleanery.sources import tables
 from gleanery.sources.postings import union_all
 from gleanery.streaming import incremental as inc
 
@@ -26,16 +25,17 @@ _FOUND = "found AS (" + " UNION ALL ".join([_CARD_SQL["linkedin"], _CARD_SQL["in
 def stored_jobs(spark, sf):
     """Jobs of the same sources, some with keys the run will find again."""
     k = F.col("p_partkey")
-    return table(spark, sf, "part").where("p_partkey % 2 = 0").select(
+    key = F.when(k % 2 == 0, k.cast("string")).otherwise(F.concat(F.lit("gone-"), k))
+    return table(spark, sf, "part").select(
         k.alias("id"), F.lit("Old title").alias("title"), F.lit("remotive").alias("source"),
-        F.when(k % 6 != 0, k.cast("string")).alias("external_id"), F.lit("volunteer").alias("job_type"),
+        F.when(k % 6 != 0, key).alias("external_id"), F.lit("volunteer").alias("job_type"),
         F.lit(False).alias("is_active"), F.lit(datetime(2023, 1, 1)).cast("timestamp_ntz").alias("scraped_at"),
         F.lit(False).alias("remote"))
 
 
 _STORED = """stored AS (SELECT p_partkey AS id, 'Old title' AS title, 'remotive' AS source,
-  CASE WHEN p_partkey % 6 <> 0 THEN CAST(p_partkey AS VARCHAR) END AS external_id, 'volunteer' AS job_type,
-  FALSE AS is_active, TIMESTAMP '2023-01-01' AS scraped_at FROM part WHERE p_partkey % 2 = 0)"""
+  CASE WHEN p_partkey % 6 <> 0 THEN CASE WHEN p_partkey % 2 = 0 THEN '' ELSE 'gone-' END || p_partkey END AS external_id,
+  'volunteer' AS job_type, FALSE AS is_active, TIMESTAMP '2023-01-01' AS scraped_at FROM part)"""
 _MERGED = f"""WITH {_FOUND}, {_STORED}
 SELECT coalesce(s.source, f.source) AS source, coalesce(s.external_id, f.external_id) AS external_id,
   coalesce(f.title, s.title) AS title, CASE WHEN s.id IS NOT NULL THEN s.job_type ELSE f.job_type END AS job_type,
@@ -135,12 +135,11 @@ def snapshot_roundtrip(spark, sf):
     return stored.where("source = 'indeed'").select("id", "title", "source", "scraped_at")
 
 
-@query("clean_documents", """SELECT doc_id, nullif(trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'),
-  '[\\s\\x{0b}\\x{a0}\\x{85}\\x{2028}\\x{2029}]+', ' ', 'g')), '') AS text FROM documents WHERE NOT contains(text, '&')""")
+@query("clean_documents", """SELECT doc_id, nullif(trim(regexp_replace(regexp_replace(replace(replace(replace(text,
+  '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '<[^>]+>', ' ', 'g'),
+  '[\\s\\x{0b}\\x{a0}\\x{85}\\x{2028}\\x{2029}]+', ' ', 'g')), '') AS text FROM documents""")
 def clean_documents(spark, sf):
-    from gleanery.functions import text as tx
-    rows = table(spark, sf, "documents").where(~F.contains("text", F.lit("&")))
-    return rows.select("doc_id", tx.clean_text(F.col("text")).alias("text"))
+    return table(spark, sf, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("text"))
 
 
 # --- streams -------------------------------------------------------------
@@ -156,11 +155,8 @@ def obs_stream(spark, sf):
     """The observation view over a stream of the events file."""
     fields = table(spark, sf, "events").schema
     events = inc.file_stream(spark, sf, fields, "events.parquet")
-    batch = view(spark, sf, "obs")
     events.createOrReplaceTempView("gleanery_event_stream")
-    from checks import fixtures
-    text = fixtures._VIEWS["obs"][0](fixtures._SPARK).replace("FROM events", "FROM gleanery_event_stream")
-    return spark.sql(text).select(*batch.columns)
+    return spark.sql(fixtures.spark_sql("obs").replace("FROM events", "FROM gleanery_event_stream"))
 
 
 @query("stream_upsert", f"""{O} SELECT {', '.join(

@@ -153,20 +153,20 @@ _VALID = f"{K} % 5 <> 0 AND {K} % 4 <> 0"
 
 
 @query("table_rows", f"""SELECT CAST(floor({K} / 20) + 1 AS INTEGER) AS page, CAST({K} % 20 + 1 AS INTEGER) AS pos,
-  'R' || ({K} % 1500) AS ref, p_name || ' - ' || p_brand AS title, 'G' || p_size AS grade FROM part WHERE {_VALID}""")
+  'R' || CAST(floor({K} / 2) AS BIGINT) AS ref, p_name || ' - ' || p_brand AS title, 'G' || p_size AS grade FROM part WHERE {_VALID}""")
 def table_rows(spark, sf):
     return tabular.vacancy_rows(landed.vacancy_pages(spark, sf)).select("page", "pos", "ref", "title", "grade")
 
 
 @query("table_to_list", f"""SELECT 'R' || {K} AS ref, '[Must] ' || p_type || chr(10) || 'Care' AS requirements
-FROM part WHERE {K} < 1500""")
+FROM part""")
 def table_to_list(spark, sf):
     from gleanery.sources import dom
     rows = landed.vacancy_details(spark, sf).select("ref", dom.parse_nodes("html").alias("nodes"))
     return tabular.with_requirements(rows).select("ref", "requirements")
 
 
-@query("institute_postings", f"""WITH first AS (SELECT {K} % 1500 AS ref, arg_min(p_name, {K}) AS name,
+@query("institute_postings", f"""WITH first AS (SELECT CAST(floor({K} / 2) AS BIGINT) AS ref, arg_min(p_name, {K}) AS name,
   arg_min(p_brand, {K}) AS brand FROM part WHERE {_VALID} GROUP BY 1)
 SELECT 'kemri' AS source, 'kemri_R' || ref AS external_id, name AS title, brand || ', Kenya' AS location,
   'Run the ' || p_name || ' machine with care every day' AS description, '[Must] ' || p_type || chr(10) || 'Care' AS requirements,

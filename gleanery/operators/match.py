@@ -20,6 +20,7 @@ GRAM = 3
 TOP = 5
 # Keywords per broadcast; more of them are matched in several passes.
 KEYWORDS_PER_PASS = 500_000
+CHARACTERS_PER_PASS = 32 << 20
 
 
 def interest_tokens(c: Column) -> Column:
@@ -60,15 +61,17 @@ def keyword_hits(jobs: DataFrame, keywords: DataFrame, *, columns: list[str],
     """(keyword, columns...) for every active job matching a distinct keyword.
 
     `%` and `_` inside keywords are wildcards unless `wildcards` is off. Each
-    pass broadcasts at most `per_pass` keywords, however many there are.
+    pass broadcasts about `per_pass` keywords and 32 M characters at most,
+    however many keywords there are.
     """
     kw = keywords.select("keyword").where("keyword IS NOT NULL").distinct()
     if wildcards:
         kw = kw.withColumn("keyword", F.replace(F.col("keyword"), F.lit("\\"), F.lit("")))
     kw = kw.withColumn("gram", _anchor(F.col("keyword"), wildcards))
     # One small action: how many keywords, and which gram sizes occur.
-    facts = kw.agg(F.count("*").alias("n"), F.collect_set(F.length("gram")).alias("sizes")).first()
-    passes = max(1, -(-facts.n // per_pass))
+    facts = kw.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("keyword")), F.lit(0)).alias("chars"),
+                   F.collect_set(F.length("gram")).alias("sizes")).first()
+    passes = max(1, -(-facts.n // per_pass), -(-facts.chars // CHARACTERS_PER_PASS))
     texts = jobs.where("is_active").select(
         *columns, F.lower("title").alias("_t"), F.lower("description").alias("_d"))
     both = F.concat_ws("\n", "_t", "_d")

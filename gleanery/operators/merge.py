@@ -112,9 +112,12 @@ def merge_collapsed(target: DataFrame, batch: DataFrame, *, newest_wins: bool =
     return updated.unionByName(fresh.select(*target.columns))
 
 
-def is_small(df: DataFrame, rows: int = 200_000) -> bool:
-    """Whether a frame may be broadcast; reads at most rows + 1 of its rows."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame, rows: int = 50_000, size: int = 64 << 20) -> bool:
+    """Whether a frame may be broadcast, by rows and by bytes of their text;
+    looks at rows + 1 of its rows at most."""
+    bytes_ = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    seen = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(bytes_, F.lit(0)).alias("b")).first()
+    return seen.n <= rows and seen.b <= size
 
 
 def merge_upsert(target: DataFrame, batch: DataFrame, order: list[str], *,

@@ -49,10 +49,10 @@ def plan_table(spark: SparkSession, plan: list[tuple]) -> DataFrame:
 
 
 def limit_pages(landed: DataFrame, plan: DataFrame) -> DataFrame:
-    """Pages within the budget of their source. The plan is a configuration of
-    a few dozen rows at most, hence the broadcast."""
+    """Pages within the budget of their source. The plan is a local table of one
+    row per source, which the planner broadcasts by its known size."""
     budget = plan.select("source", "max_pages")
-    kept = landed.join(F.broadcast(budget), "source").where(F.col("page") <= F.col("max_pages"))
+    kept = landed.join(budget, "source").where(F.col("page") <= F.col("max_pages"))
     return kept.select(*landed.columns)
 
 
