@@ -43,12 +43,13 @@ def keyword_hits(spark, sf):
     return match.keyword_hits(jobs, words, columns=["id"])
 
 
-@query("document_keyword_hits", """WITH words AS (SELECT DISTINCT lower(p_name) AS keyword FROM part
+_DOC_HITS = """WITH words AS (SELECT DISTINCT lower(p_name) AS keyword FROM part
   UNION SELECT unnest(string_split(lower(p_name), ' ')) FROM part
   UNION SELECT unnest(['ai', 'th_re', 'é', 'tion%the', '%']))
-SELECT keyword, doc_id FROM words JOIN documents ON lower(text) LIKE '%' || keyword || '%'""")
-def document_keyword_hits(spark, sf):
-    """The same matcher over whole documents, with wildcard and short keywords."""
+SELECT keyword, doc_id FROM words JOIN documents ON lower(text) LIKE '%' || keyword || '%'"""
+
+
+def document_words(spark, sf):
     part = table(spark, sf, "part").select(F.lower("p_name").alias("name"))
     words = (part.selectExpr("name AS keyword")
              .union(part.select(F.explode(F.split("name", " "))))
@@ -57,7 +58,19 @@ def document_keyword_hits(spark, sf):
     docs = table(spark, sf, "documents").select(
         "doc_id", F.lit(None).cast("string").alias("title"), F.col("text").alias("description"),
         F.lit(True).alias("is_active"))
-    return match.keyword_hits(docs, words, columns=["doc_id"])
+    return docs, words
+
+
+@query("document_keyword_hits", _DOC_HITS)
+def document_keyword_hits(spark, sf):
+    """The gram join over whole documents, with wildcard and short keywords."""
+    docs, words = document_words(spark, sf)
+    return match.keyword_hits(docs, words, columns=["doc_id"], listed=0)
+
+
+@query("document_listed_hits", _DOC_HITS)
+def document_listed_hits(spark, sf):
+    return match.keyword_hits(*document_words(spark, sf), columns=["doc_id"])
 
 
 @query("user_top_matches", f"{JU}, {_TOKENS}, {_HITS}, {_TOP} SELECT user_id, rank, job_id FROM top")

@@ -20,8 +20,13 @@ _COMMON_ENTITIES = {
 }
 
 
+WS_CHARS = "".join(map(chr, [
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.trim(c, F.lit(WS_CHARS))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -40,11 +45,38 @@ def any_of(conditions: list[Column]) -> Column:
     return out
 
 
+def let(value: Column, fn) -> Column:
+    """fn(value) with the value computed once, however often fn refers to it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def literals(words: list[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words])
+
+
+# Vocabularies are constant arrays searched by a lambda. As long CASE and OR
+# chains they would grow the generated method beyond what the JVM compiles.
+
+
 def contains_any(c: Column, words: list[str], whole_word: bool = False) -> Column:
     """Substring test against a word list; `whole_word` asks for word borders."""
     if whole_word:
         return c.rlike(word_pattern(words))
-    return any_of([c.contains(w) for w in words])
+    if len(words) <= 3:
+        return any_of([c.contains(w) for w in words])
+    return let(c, lambda t: F.exists(literals(words), lambda w: F.contains(t, w)))
+
+
+def _occurs(t: Column, word: Column, whole_word: bool) -> Column:
+    if whole_word:
+        return F.regexp_like(t, F.concat(F.lit(r"(?<!\w)\Q"), word, F.lit(r"\E(?!\w)")))
+    return F.contains(t, word)
+
+
+def first_hit(c: Column, pairs: list[tuple[str, str]], whole_word: bool = False) -> Column:
+    """Value of the first (word, value) pair whose word occurs; NULL if none."""
+    table = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(v).alias("value")) for w, v in pairs])
+    return let(c, lambda t: F.get(F.filter(table, lambda p: _occurs(t, p["word"], whole_word)), F.lit(0)))["value"]
 
 
 def word_pattern(words: list[str]) -> str:
@@ -78,7 +110,7 @@ def unescape_html(c: Column) -> Column:
 
 def squeeze(c: Column) -> Column:
     """Tags to blanks, white space runs to one blank, trimmed, '' to NULL."""
-    no_tags = F.regexp_replace(c, "<[^>]+>", " ")
+    no_tags = F.when(c.contains("<"), F.regexp_replace(c, "<[^>]+>", " ")).otherwise(c)
     return blank_to_null(F.trim(F.regexp_replace(no_tags, f"{WS}+", " ")))
 
 
@@ -87,19 +119,17 @@ def clean_text(c: Column) -> Column:
 
 
 def normalize_job_type(c: Column, mapping=None, whole_word: bool = False) -> Column:
+    """First entry of the ordered map that occurs, else the lowered text."""
     raw = strip(F.lower(c))
-    ladder = F.when(~present(c), F.lit(None).cast("string"))
-    for word, value in mapping or vocab.JOB_TYPES:
-        ladder = ladder.when(contains_any(raw, [word], whole_word), F.lit(value))
-    return ladder.otherwise(raw)
+    hit = first_hit(raw, mapping or vocab.JOB_TYPES, whole_word)
+    return F.when(present(c), F.coalesce(hit, raw))
 
 
 def normalize_experience_level(c: Column, buckets=None, whole_word: bool = False) -> Column:
+    """First bucket with a word that occurs, else the lowered text."""
     raw = strip(F.lower(c))
-    ladder = F.when(~present(c), F.lit(None).cast("string"))
-    for value, words in buckets or vocab.EXPERIENCE_LEVELS:
-        ladder = ladder.when(contains_any(raw, words, whole_word), F.lit(value))
-    return ladder.otherwise(raw)
+    pairs = [(w, level) for level, words in buckets or vocab.EXPERIENCE_LEVELS for w in words]
+    return F.when(present(c), F.coalesce(first_hit(raw, pairs, whole_word), raw))
 
 
 def remote_haystack(*cols: Column) -> Column:
@@ -121,11 +151,12 @@ def default_currency(currency: Column, low: Column, high: Column, location: Colu
 
 def extract_tags(lowered: Column, keywords=None, whole_word: bool = False) -> Column:
     """Keywords found in an already lowered text, comma-joined in list order."""
-    hits = [
-        F.when(contains_any(lowered, [k], whole_word), F.lit(k))
-        for k in (keywords if keywords is not None else vocab.TAG_KEYWORDS)
-    ]
-    return blank_to_null(F.concat_ws(",", *hits))
+    words = keywords if keywords is not None else vocab.TAG_KEYWORDS
+    if len(words) <= 64 and not whole_word:  # short enough for generated code
+        hits = F.array(*[F.when(lowered.contains(w), F.lit(w)) for w in words])
+    else:
+        hits = let(lowered, lambda t: F.filter(literals(words), lambda w: _occurs(t, w, whole_word)))
+    return blank_to_null(F.array_join(hits, ","))
 
 
 def title_case(c: Column) -> Column:

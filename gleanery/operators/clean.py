@@ -19,10 +19,10 @@ def clean_jobs(df: DataFrame, *, remote_phrases=None, tag_keywords=None,
     their own projection so the lowered texts are computed once per row.
     """
     others = [c for c in df.columns if c not in ("title", "company", "location", "description")]
-    step = df.select(
+    step = _with_title(df.select(
         *others,
         *[tx.clean_text(F.col(c)).alias(c) for c in ("title", "company", "location", "description")],
-    ).where("title IS NOT NULL")
+    ))
     step = step.withColumns({
         "job_type": tx.normalize_job_type(F.col("job_type"), whole_word=whole_word),
         "experience_level": tx.normalize_experience_level(
@@ -43,6 +43,13 @@ def clean_jobs(df: DataFrame, *, remote_phrases=None, tag_keywords=None,
     return step.select(*df.columns)
 
 
+def _with_title(rows: DataFrame) -> DataFrame:
+    """Rows that have a title. As an explode, because a filter would be pushed
+    below the projection and clean every title a second time."""
+    kept = F.filter(F.array("title"), lambda t: t.isNotNull())
+    return rows.withColumn("title", F.explode(kept))
+
+
 def _tags(tags: Column, lowered: Column, keywords, whole_word: bool) -> Column:
     fill = ~tx.present(tags) & lowered.isNotNull()
     return F.when(fill, tx.extract_tags(lowered, keywords, whole_word)).otherwise(tags)

@@ -1,10 +1,11 @@
 """Interest matching: which active postings to recommend to which subscriber.
 
-A keyword matches a posting whose title or description contains it. Comparing
-every posting with every keyword is a cross join, so both sides are cut into
-short character grams first: a keyword is represented by one gram of its text, a
-posting by all of its grams, and an equi-join on the gram yields the candidates
-that are then verified. Top-k is taken per keyword before any user is touched.
+A keyword matches a posting whose title or description contains it. A short list
+of keywords is tested directly. Comparing every posting with a long one would be
+a cross join, so both sides are cut into short character grams: a keyword is
+represented by one gram of its text, a posting by all of its grams, and an
+equi-join on the gram yields the candidates that are then verified. Top-k is
+taken per keyword before any user is touched.
 """
 
 from datetime import datetime
@@ -18,6 +19,8 @@ from gleanery.operators.lifecycle import at
 
 GRAM = 3
 TOP = 5
+# Keywords tested directly; more of them are joined by grams.
+LISTED_KEYWORDS = 256
 # Keywords per broadcast; more of them are matched in several passes.
 KEYWORDS_PER_PASS = 500_000
 CHARACTERS_PER_PASS = 32 << 20
@@ -33,17 +36,20 @@ def interest_tokens(c: Column) -> Column:
 
 
 def _anchor(keyword: Column, wildcards: bool) -> Column:
-    """The first gram of the longest literal part of a keyword."""
-    parts = F.split(keyword, "[%_]") if wildcards else F.array(keyword)
-    longest = F.reduce(parts, F.lit(""),
+    """The first gram of the longest literal run of a keyword. Runs end at white
+    space, so a gram always lies inside one word of a text."""
+    runs = F.split(keyword, f"(?:{WS}|[%_])+" if wildcards else f"{WS}+")
+    longest = F.reduce(runs, F.lit(""),
                        lambda best, p: F.when(F.length(p) > F.length(best), p).otherwise(best))
     return F.left(longest, F.lit(GRAM))
 
 
 def _grams(low: Column, sizes: list[int]) -> Column:
-    """Distinct grams of the given sizes; size 0 stands for 'matches anything'."""
+    """Distinct grams of the given sizes inside the distinct words of a text;
+    size 0 stands for 'matches anything'."""
+    words = F.array_join(F.array_distinct(F.split(low, f"{WS}+")), " ")
     pieces = [F.array(F.lit("")) if n == 0 else
-              F.regexp_extract_all(low, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+              F.regexp_extract_all(words, F.lit(f"(?=([^ ]{{{n}}}))"), F.lit(1))
               for n in sizes]
     return F.array_distinct(F.concat(*pieces))
 
@@ -56,26 +62,44 @@ def _matches(text: Column, keyword: Column, wildcards: bool) -> Column:
     return F.coalesce(plain, F.lit(False))
 
 
+def _listed_hits(texts: DataFrame, words: list[str], columns: list[str], wildcards: bool) -> DataFrame:
+    """Matches against a short, known list of keywords, without any join."""
+    plain = [w for w in words if not (wildcards and ("%" in w or "_" in w))]
+    wild = [w for w in words if w not in set(plain)]
+    found = F.filter(F.array(*[F.lit(w) for w in plain]).cast("array<string>"),
+                     lambda k: _matches(F.col("_t"), k, False) | _matches(F.col("_d"), k, False))
+    for w in wild:
+        hit = F.coalesce(F.col("_t").like(f"%{w}%"), F.lit(False)) | F.coalesce(
+            F.col("_d").like(f"%{w}%"), F.lit(False))
+        found = F.concat(found, F.when(hit, F.array(F.lit(w))).otherwise(F.array().cast("array<string>")))
+    return texts.select(F.explode(found).alias("keyword"), *columns)
+
+
 def keyword_hits(jobs: DataFrame, keywords: DataFrame, *, columns: list[str],
-                 wildcards: bool = True, per_pass: int = KEYWORDS_PER_PASS) -> DataFrame:
+                 wildcards: bool = True, listed: int = LISTED_KEYWORDS,
+                 per_pass: int = KEYWORDS_PER_PASS) -> DataFrame:
     """(keyword, columns...) for every active job matching a distinct keyword.
 
-    `%` and `_` inside keywords are wildcards unless `wildcards` is off. Each
-    pass broadcasts about `per_pass` keywords and 32 M characters at most,
+    `%` and `_` inside keywords are wildcards unless `wildcards` is off. Up to
+    `listed` keywords are tested directly. Beyond that the gram join runs, and
+    each pass broadcasts about `per_pass` keywords and 32 M characters at most,
     however many keywords there are.
     """
-    kw = keywords.select("keyword").where("keyword IS NOT NULL").distinct()
-    if wildcards:
-        kw = kw.withColumn("keyword", F.replace(F.col("keyword"), F.lit("\\"), F.lit("")))
+    word = F.replace(F.col("keyword"), F.lit("\\"), F.lit("")) if wildcards else F.col("keyword")
+    kw = keywords.select(word.alias("keyword")).where("keyword IS NOT NULL").distinct()
     kw = kw.withColumn("gram", _anchor(F.col("keyword"), wildcards))
-    # One small action: how many keywords, and which gram sizes occur.
-    facts = kw.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("keyword")), F.lit(0)).alias("chars"),
-                   F.collect_set(F.length("gram")).alias("sizes")).first()
-    passes = max(1, -(-facts.n // per_pass), -(-facts.chars // CHARACTERS_PER_PASS))
     texts = jobs.where("is_active").select(
         *columns, F.lower("title").alias("_t"), F.lower("description").alias("_d"))
-    both = F.concat_ws("\n", "_t", "_d")
-    grams = texts.withColumn("gram", F.explode(_grams(both, sorted(facts.sizes) or [GRAM])))
+    # Small actions on the keywords only: at most listed + 1 of them, then how
+    # many there are and which gram sizes occur.
+    few = kw.select("keyword").limit(listed + 1).collect()
+    if len(few) <= listed:
+        return _listed_hits(texts, sorted(r.keyword for r in few), columns, wildcards)
+    facts = kw.agg(F.count("*").alias("n"), F.sum(F.length("keyword")).alias("chars"),
+                   F.collect_set(F.length("gram")).alias("sizes")).first()
+    passes = max(1, -(-facts.n // per_pass), -(-facts.chars // CHARACTERS_PER_PASS))
+    both = F.concat_ws(" ", "_t", "_d")
+    grams = texts.withColumn("gram", F.explode(_grams(both, sorted(facts.sizes))))
     out = None
     for i in range(passes):
         part = kw if passes == 1 else kw.where(F.pmod(F.xxhash64("keyword"), F.lit(passes)) == i)

@@ -34,39 +34,41 @@ def key_states(rows: DataFrame, order: list[str],
     position. States of disjoint batches combine with `fold_states`."""
     o = _ord(order)
     return rows.groupBy(*KEY).agg(
-        F.max_by(F.struct(o.alias("ord"), *last), o).alias("last"),
-        F.min_by(F.struct(o.alias("ord"), *first), o).alias("first"),
+        F.max_by(F.struct(o.alias("_at"), *last), o).alias("last"),
+        F.min_by(F.struct(o.alias("_at"), *first), o).alias("first"),
         F.count("*").alias("observations"),
     )
 
 
 def fold_states(states: DataFrame) -> DataFrame:
     return states.groupBy(*KEY).agg(
-        F.max_by("last", F.col("last.ord")).alias("last"),
-        F.min_by("first", F.col("first.ord")).alias("first"),
+        F.max_by("last", F.col("last._at")).alias("last"),
+        F.min_by("first", F.col("first._at")).alias("first"),
         F.sum("observations").alias("observations"),
     )
 
 
 def expand_states(states: DataFrame) -> DataFrame:
     """The rows the states stand for, as if applied to an empty table."""
-    last = [f for f in states.schema["last"].dataType.names if f != "ord"]
-    first = [f for f in states.schema["first"].dataType.names if f != "ord"]
+    last = [f for f in states.schema["last"].dataType.names if f != "_at"]
+    first = [f for f in states.schema["first"].dataType.names if f != "_at"]
     return states.select(
         *KEY, *[F.col(f"last.{c}").alias(c) for c in last],
         *[F.col(f"first.{c}").alias(c) for c in first])
 
 
-def collapse_batch(rows: DataFrame, order: list[str]) -> DataFrame:
+def collapse_batch(rows: DataFrame, order: list[str], columns: list[str] | None = None) -> DataFrame:
     """Duplicates of a key inside one batch: overwritten columns from the last
-    row, kept columns from the first."""
-    last, first = _policy(rows)
+    row, all others from the first. `columns` defaults to the stored ones."""
+    last, first = policy([c for c in rows.columns if c in schema.LAST_WINS + schema.FIRST_WINS]
+                         if columns is None else columns)
     return expand_states(key_states(rows, order, last, first))
 
 
-def _policy(rows: DataFrame) -> tuple[list[str], list[str]]:
-    return ([c for c in schema.LAST_WINS if c in rows.columns],
-            [c for c in schema.FIRST_WINS if c in rows.columns])
+def policy(columns: list[str]) -> tuple[list[str], list[str]]:
+    """(last wins, first wins) among the columns."""
+    last = [c for c in columns if c in schema.LAST_WINS]
+    return last, [c for c in columns if c not in last and c not in KEY]
 
 
 def _merged_columns(target: DataFrame, takes: Column, known: Column) -> list[Column]:
@@ -127,7 +129,7 @@ def merge_upsert(target: DataFrame, batch: DataFrame, order: list[str], *,
     rows, loose = split_keyed(batch)
     stored, stored_loose = split_keyed(target)
     ranked = ["scraped_at"] + order if newest_wins else order
-    merged = merge_collapsed(stored, collapse_batch(rows, ranked),
+    merged = merge_collapsed(stored, collapse_batch(rows, ranked, target.columns),
                              newest_wins=newest_wins, small_batch=small_batch)
     return (merged
             .unionByName(stored_loose.select(*target.columns))

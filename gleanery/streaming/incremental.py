@@ -22,11 +22,6 @@ def zoned(rows: DataFrame, column: str) -> DataFrame:
     return rows.withColumn(column, F.col(column).cast("timestamp"))
 
 
-def _policy(rows: DataFrame) -> tuple[list[str], list[str]]:
-    return ([c for c in schema.LAST_WINS if c in rows.columns],
-            [c for c in schema.FIRST_WINS if c in rows.columns])
-
-
 def upsert_stream(rows: DataFrame, out: str, checkpoint: str, order: list[str]) -> StreamingQuery:
     """Collapse every micro-batch to one first/last state per key and write it
     under its batch number.
@@ -35,7 +30,7 @@ def upsert_stream(rows: DataFrame, out: str, checkpoint: str, order: list[str])
     replayed after a failure overwrites its own folder. `current_rows` folds the
     states, and `compact_states` replaces many batches by one.
     """
-    last, first = _policy(rows)
+    last, first = merge.policy([c for c in rows.columns if c in schema.LAST_WINS + schema.FIRST_WINS])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         keyed, loose = merge.split_keyed(batch)
