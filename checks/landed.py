@@ -208,6 +208,16 @@ def state_pages(spark, sf) -> DataFrame:
         F.lit("}}}</script></html>")).alias("html"))
 
 
+def posting_pages(spark, sf) -> DataFrame:
+    """A detail page per row, for the sources that have them."""
+    html = F.expr("""concat('<nav><p>Kenya and a long menu entry over there</p></nav><main><a href="/companies/x">', p_brand,
+      '</a><p>KSh ', CAST(p_size * 1000 AS STRING), ' - ', CAST(p_size * 2000 AS STRING), ' gross for each month</p><span>in Mombasa</span>',
+      '<p>Part time</p><h2>Job summary</h2><p>Look after the ', p_name, ' every single day</p><h2>Requirements</h2><ul><li>',
+      p_type, '</li><li>Care</li></ul><h3>Benefits</h3><p>nothing of this paragraph is kept</p></main>')""")
+    return part(spark, sf).select(F.lit("brightermonday").alias("source"),
+                                  F.concat(F.lit("https://b.test/"), F.col("p_partkey")).alias("url"), html.alias("html"))
+
+
 # --- tables --------------------------------------------------------------
 
 

@@ -98,6 +98,26 @@ def full_refresh(spark, sf):
     return run.jobs.select("source", "external_id", "title", "is_active")
 
 
+@query("run_log_open", """SELECT DISTINCT event_type AS source, 'running' AS status, 0 AS jobs_found,
+  TIMESTAMP '2024-02-01' AS started_at, CAST(NULL AS TIMESTAMP) AS finished_at FROM events""")
+def run_log_open(spark, sf):
+    runs = table(spark, sf, "events").select(F.col("event_type").alias("source")).distinct()
+    return tables.open_log(runs, NOW).select("source", "status", "jobs_found", "started_at", "finished_at")
+
+
+@query("touched_partitions", f"""{with_views('jobs')} SELECT id, source, CASE WHEN source IN ('indeed', 'kemri')
+  THEN 'new' ELSE 'old' END AS title FROM jobs""")
+def touched_partitions(spark, sf):
+    """A snapshot of which a batch rewrites two source partitions only."""
+    path = work_dir(spark)
+    rows = view(spark, sf, "jobs").select("id", "source")
+    tables.write_snapshot(rows.withColumns({"title": F.lit("old"), "scraped_at": F.lit(None).cast("timestamp_ntz")}), path)
+    touched = rows.where("source IN ('indeed', 'kemri')").select("source")
+    fresh = rows.withColumns({"title": F.lit("new"), "scraped_at": F.lit(None).cast("timestamp_ntz")})
+    tables.write_touched(fresh, path, touched)
+    return tables.read_table(spark, "jobs", path).select("id", "source", "title")
+
+
 # --- tables --------------------------------------------------------------
 
 

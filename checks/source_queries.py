@@ -7,7 +7,7 @@ from checks import landed
 from checks.fixtures import with_views, view
 from checks.registry import query
 from gleanery import vocab
-from gleanery.sources import cards, feeds, registry, sites, tabular
+from gleanery.sources import cards, details, feeds, registry, sites, tabular
 from gleanery.sources.postings import accepted, quarantine
 
 K = "p_partkey"
@@ -258,6 +258,15 @@ def employer_postings(spark, sf):
     return posted(registry.extract(source, ["company_careers"]))
 
 
+@query("detail_fields", f"""SELECT 'https://b.test/' || {K} AS url, p_brand AS company, 'in Mombasa' AS location,
+  'part-time' AS job_type, CAST(p_size * 1000 AS DOUBLE) AS salary_min, CAST(p_size * 2000 AS DOUBLE) AS salary_max,
+  'KES' AS salary_currency, concat_ws(chr(10), 'KSh ' || (p_size * 1000) || ' - ' || (p_size * 2000) || ' gross for each month',
+    'Look after the ' || p_name || ' every single day') AS description,
+  p_type || chr(10) || 'Care' AS requirements FROM part""")
+def detail_fields(spark, sf):
+    return details.detail_fields(landed.posting_pages(spark, sf), "brightermonday")
+
+
 # --- whole runs ----------------------------------------------------------
 
 

@@ -20,7 +20,7 @@ from gleanery.operators.lifecycle import at
 GRAM = 3
 TOP = 5
 # Keywords tested directly; more of them are joined by grams.
-LISTED_KEYWORDS = 256
+LISTED_KEYWORDS = 128
 # Keywords per broadcast; more of them are matched in several passes.
 KEYWORDS_PER_PASS = 500_000
 CHARACTERS_PER_PASS = 32 << 20

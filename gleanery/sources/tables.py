@@ -38,9 +38,10 @@ def evolve(df: DataFrame, target: T.StructType) -> DataFrame:
 
 def write_snapshot(jobs: DataFrame, path: str, max_records: int = 5_000_000) -> None:
     """Write a new snapshot directory, partitioned by source and ordered by the
-    stamp inside files so that range filters skip row groups. Large sources are
-    split over many tasks by id; never write to a path the plan reads."""
-    (jobs.repartition("source", F.pmod(F.xxhash64("id"), F.lit(64)))
+    stamp inside files so that range filters skip row groups. The rebalance lets
+    adaptive execution split large sources and join small ones by their size;
+    never write to a path the plan reads."""
+    (jobs.hint("rebalance", F.col("source"))
      .sortWithinPartitions("source", "scraped_at")
      .write.mode("errorifexists").option("maxRecordsPerFile", max_records)
      .partitionBy("source").parquet(path))
@@ -50,7 +51,7 @@ def write_touched(jobs: DataFrame, path: str, touched: DataFrame) -> None:
     """Rewrite only the source partitions a batch touched. `jobs` must come from
     another location than `path`."""
     kept = jobs.join(touched.select("source").distinct(), "source", "left_semi")
-    (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (kept.hint("rebalance", F.col("source")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("source").parquet(path))
 
 
