@@ -6,7 +6,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery import vocab
 from gleanery.sources import cards, details, feeds, sites, tabular
 from gleanery.sources.postings import (check_widths, merge_detail, query_filter,
                                        union_all)
