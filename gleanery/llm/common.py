@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,23 +34,39 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder named by spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir.
 
     Only a local-mode session may do without the setting; it gets a temporary
     folder, since executors of a cluster could not read one.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
             if not context.master.startswith("local") or context.master.startswith("local-cluster"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             shared = tempfile.mkdtemp(prefix="gleanery-")
         context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder; Spark can remove the files with the last reference."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder: columnar, for what is large or read in parts.
+
+    The table stays until the folder of the application is removed.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def model_bytes(path: str, limit: int = 64 << 20) -> bytes:
     """A vocabulary file of the driver, to be broadcast; its size is checked."""
     with open(path, "rb") as f:
