@@ -9,7 +9,8 @@ counts by (source, size), which is all that the dual depends on.
 Rates become copies through a fixed offset u in (0, 1) that a document's id
 hashes to: floor(rate + u). The words so taken are a step function of lambda,
 so lambda is then narrowed, again by aggregations alone, to the step nearest
-to the target, and single documents change by one copy to close most of the rest.
+to the target, and one document per source changes by one copy to close most of
+the rest.
 """
 
 from __future__ import annotations
@@ -45,9 +46,11 @@ def targets(sizes: DataFrame) -> DataFrame:
     level = (F.sum("source_size").over(whole) - F.coalesce(F.sum("cap").over(below), F.lit(0))) / F.sum(
         "w").over(above)
     at = ranked.withColumn("level", level).withColumn("capped", F.col("cap") <= F.col("level") * F.col("w"))
-    open_level = F.min(F.when(~F.col("capped"), F.col("level"))).over(whole)
-    return at.select("source", "source_size", F.when(
-        F.col("capped"), F.col("cap")).otherwise(open_level * F.col("w")).cast("double").alias("target"))
+    # In this order all sources up to the first open one are capped, and none after it.
+    open_level = F.first(F.when(~F.col("capped"), F.col("level")), ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return at.select("source", "source_size", F.coalesce(
+        F.least("cap", open_level * F.col("w")), "cap").cast("double").alias("target"))
 
 
 def _meet(rows: DataFrame, state: DataFrame, few: bool, key: str = "doc_id") -> DataFrame:
@@ -151,44 +154,26 @@ def round_rates(sizes: DataFrame, state: DataFrame, few: bool) -> DataFrame:
                 F.col("lo") + (F.col("h.b") + 1) * width).alias("hi"),
             F.when(F.col("h.b") >= 0, F.col("h.run") - F.col("h.words")).cast("double").alias("at_lo"),
             F.when(F.col("h.b") >= 0, F.col("h.run")).cast("double").alias("at_hi")))
-    near = F.when(F.col("target") - F.col("at_lo") < F.col("at_hi") - F.col("target"), F.col("lo")).otherwise(
-        F.col("hi"))
-    return at.withColumn("lam", F.when(F.col("full"), F.col("lam")).otherwise(near)).drop(
-        "lo", "hi", "at_lo", "at_hi")
-
-
-def _changed(doc_id: Column) -> Column:
-    """Copies that the state's changes add to a document; one entry per round at most."""
-    return F.aggregate(F.col("changes"), F.lit(0), lambda n, c: n + F.when(
-        c["doc_id"].eqNullSafe(doc_id), c["by"]).otherwise(0))
-
-
-def close_gaps(sizes: DataFrame, state: DataFrame, few: bool, rounds: int = 3) -> DataFrame:
-    """The state with changes: documents that take one copy more or less, nearest to the gap left."""
-    state = checkpointed(state.withColumn("changes", F.expr("cast(array() as array<struct<doc_id:bigint,by:int>>)")))
-    for _ in range(rounds):
-        met = _meet(sizes.where("z > 0"), state, few).where(~F.col("full")).select(
-            "source", "doc_id", "z", "target", "changes",
-            (_copies(F.col("lam"), F.col("mean"), F.col("full"), F.col("z"), F.col("doc_id"))
-             + _changed(F.col("doc_id"))).alias("copies"))
-        gaps = met.groupBy(F.col("source").alias("s")).agg(
-            (F.first("target") - F.sum(F.col("copies") * F.col("z"))).alias("gap"))
-        known = state.join(gaps, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-        left = F.abs(F.abs(F.col("gap")) - F.col("z"))
-        best = _meet(sizes.where("z > 0"), known, few).where(~F.col("full")).withColumn(
-            "copies", _copies(F.col("lam"), F.col("mean"), F.col("full"), F.col("z"), F.col("doc_id"))
-            + _changed(F.col("doc_id"))).where(
-            (left < F.abs("gap")) & F.col("doc_id").isNotNull()
-            & ~F.exists("changes", lambda c: c["doc_id"] == F.col("doc_id"))
-            & F.when(F.col("gap") > 0, F.col("copies") < MOST).otherwise(F.col("copies") > 0)
-        ).groupBy(F.col("source").alias("s")).agg(F.min(F.struct(
-            left.alias("left"), F.xxhash64("doc_id").alias("h"), "doc_id")).alias("best"))
-        state = checkpointed(known.join(best, F.col("source").eqNullSafe(F.col("s")), "left").select(
-            "source", "source_size", "target", "mean", "full", "lam",
-            F.when(F.col("best").isNull(), F.col("changes")).otherwise(F.concat("changes", F.array(F.struct(
-                F.col("best.doc_id").alias("doc_id"),
-                F.when(F.col("gap") > 0, 1).otherwise(-1).alias("by"))))).alias("changes")))
-    return state
+    below = F.col("target") - F.col("at_lo") < F.col("at_hi") - F.col("target")
+    return checkpointed(at.withColumn("below", below).select(
+        "source", "source_size", "target", "mean", "full",
+        F.when(F.col("full"), F.col("lam")).when(F.col("below"), F.col("lo")).otherwise(F.col("hi")).alias("lam"),
+        F.when(~F.col("full"), F.col("target") - F.when(F.col("below"), F.col("at_lo")).otherwise(
+            F.col("at_hi"))).alias("gap")))
+
+
+def close_gaps(sizes: DataFrame, state: DataFrame, few: bool) -> DataFrame:
+    """The state with the document of each source that, by one copy more or less, comes nearest to closing its gap."""
+    left = F.abs(F.abs("gap") - F.col("z"))
+    copies = _copies(F.col("lam"), F.col("mean"), F.col("full"), F.col("z"), F.col("doc_id"))
+    best = _meet(sizes.where("z > 0"), state, few).where(
+        (left < F.abs("gap")) & F.col("doc_id").isNotNull()
+        & F.when(F.col("gap") > 0, copies < MOST).otherwise(copies > 0)
+    ).groupBy(F.col("source").alias("s")).agg(F.min(F.struct(
+        left.alias("left"), F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("id"))).alias("best"))
+    return checkpointed(state.join(best, F.col("source").eqNullSafe(F.col("s")), "left").select(
+        "source", "source_size", "target", "mean", "full", "lam",
+        F.col("best.id").alias("changed"), F.when(F.col("gap") > 0, 1).otherwise(-1).alias("change")))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -207,11 +192,12 @@ def mix(docs: DataFrame) -> DataFrame:
                        word_count(F.col("text")).alias("size"))
     rate = F.when(F.col("size") == 0, 1.0).when(F.col("full"), float(MOST)).otherwise(
         F.least(F.lit(float(MOST)), F.exp(F.col("lam") * F.col("size") / F.col("mean"))))
+    change = F.when((F.col("changed") == F.col("doc_id")) & (F.col("size") > 0), F.col("change")).otherwise(0)
+    copies = _copies(F.col("lam"), F.col("mean"), F.col("full"), F.col("size"), F.col("doc_id"))
     return _meet(rows, state, few).select(
         "doc_id", "row", "size", "source_size", "target", rate.alias("rate"),
-        F.greatest(F.lit(0), F.least(F.lit(MOST), _copies(
-            F.col("lam"), F.col("mean"), F.col("full"), F.col("size"), F.col("doc_id"))
-            + _changed(F.col("doc_id")))).alias("copies")).withColumn(
+        F.greatest(F.lit(0), F.least(F.lit(MOST), copies + F.coalesce(change, F.lit(0)))).alias("copies")
+    ).withColumn(
         "taken", F.col("copies").cast("long") * F.col("size"))
 
 
