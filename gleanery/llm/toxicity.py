@@ -5,6 +5,10 @@ into `BUCKETS` rows; a document is the mean of its words; a softmax over two
 classes reads it. A misspelling nobody labelled shares most n-grams with the
 word it stands for. As the classifier is linear, a document's score is the mean
 of per-word scores, which needs no document vector at scoring time.
+
+Labels are noisy, and nearly every document has n-grams of its own that a model
+could learn a wrong label by. So only n-grams get an embedding that occur in a
+different share of the two classes' documents, by `Z` standard errors or more.
 """
 
 from __future__ import annotations
@@ -19,11 +23,13 @@ from pyspark.sql import functions as F
 from gleanery.llm.common import held_out
 
 SIZES = (3, 4, 5)
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
 DIM = 8
 #: Bound of the labelled rows that a model learns from, half of them of each class at most.
 TRAIN_ROWS = 2400
-ROUNDS = 150
+ROUNDS = 400
+#: Standard errors by which an n-gram's share of documents must differ between classes.
+Z = 4.0
 #: Words handled at a time; longer texts add up over several blocks.
 BLOCK_WORDS = 50_000
 
@@ -41,7 +47,7 @@ def _grams(words: list[bytes]):
         if n in SIZES:
             inside = left[: len(rolling)] >= n
             mixed = (rolling[inside] + np.uint32(n)) * np.uint32(2654435761)
-            found.append((mixed >> np.uint32(16), owner[: len(rolling)][inside]))
+            found.append((mixed >> np.uint32(12), owner[: len(rolling)][inside]))
     return found, sum(np.maximum(lengths - n + 1, 0) for n in SIZES)
 
 
@@ -73,14 +79,14 @@ def _mean_scores(texts, per_gram: np.ndarray) -> np.ndarray:
 
 def _bag(text: str) -> tuple[bytes, bytes]:
     """The text's buckets and their weights in its mean; weights add up to 1."""
-    bag, count = np.zeros(BUCKETS), 0
+    buckets, weights, count = np.empty(0, "u4"), np.empty(0), 0
     for words, _ in _blocks([text]):
         found, grams = _grams(words)
-        for b, w in found:
-            bag += np.bincount(b, 1 / grams[w], BUCKETS)
+        every = np.concatenate([buckets, *[b for b, _ in found]])
+        buckets, at = np.unique(every, return_inverse=True)
+        weights = np.bincount(at, np.concatenate([weights, *[1 / grams[w] for _, w in found]]))
         count += len(words)
-    at = np.flatnonzero(bag)
-    return at.astype("<u2").tobytes(), (bag[at] / max(count, 1)).astype("<f4").tobytes()
+    return buckets.astype("<u4").tobytes(), (weights / max(count, 1)).astype("<f4").tobytes()
 
 
 def _bags(text: Column) -> Column:
@@ -93,13 +99,16 @@ def _bags(text: Column) -> Column:
 
 @dataclass
 class Model:
+    buckets: np.ndarray
     embeddings: np.ndarray
     softmax: np.ndarray
     bias: np.ndarray
 
     def per_gram(self) -> np.ndarray:
-        """What one n-gram adds to the toxic class over the other."""
-        return self.embeddings @ (self.softmax[:, 1] - self.softmax[:, 0])
+        """What one n-gram adds to the toxic class over the other; without an embedding, nothing."""
+        out = np.zeros(BUCKETS, "f4")
+        out[self.buckets] = self.embeddings @ (self.softmax[:, 1] - self.softmax[:, 0])
+        return out
 
     def score(self, spark, text: Column) -> Column:
         """Probability that the whole text is toxic; a text without words has the prior."""
@@ -114,38 +123,55 @@ class Model:
         return score(text)
 
 
+def _telling(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
+    """The buckets whose share of documents differs between the classes."""
+    count = np.zeros((2, BUCKETS))
+    for (buckets, _), y in zip(rows, labels.tolist()):
+        count[y, buckets] += 1
+    size = np.array([(labels == 0).sum(), (labels == 1).sum()])
+    share = (count.sum(0) + 1) / (size.sum() + 2)
+    error = np.sqrt(share * (1 - share) * (1 / size).sum())
+    return np.flatnonzero(np.abs(count[1] / size[1] - count[0] / size[0]) >= Z * error)
+
+
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Joint full-batch Adam on embeddings, softmax and bias; both classes weigh the same."""
+    """Joint full-batch Adam on embeddings, softmax and bias; a quarter of the weight is on toxic rows."""
     rng = np.random.default_rng(0)
-    embeddings = rng.normal(0, 0.1, (BUCKETS, DIM))
-    softmax, bias = rng.normal(0, 0.5, (DIM, 2)), np.zeros(2)
-    if len(set(labels.tolist())) < 2:  # nothing to tell apart: the share of toxic rows
+    softmax = rng.normal(0, 0.5, (DIM, 2))
+    told = _telling(rows, labels) if len(set(labels.tolist())) == 2 else np.empty(0, "i8")
+    if not len(told):  # nothing to tell the classes apart by: the share of toxic rows
         share = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-6, 1 - 1e-6))
-        return Model(np.zeros_like(embeddings), softmax, np.array([0.0, np.log(share / (1 - share))]))
-    owner = np.repeat(np.arange(len(rows)), [len(b) for b, _ in rows])
-    bucket = np.concatenate([b for b, _ in rows]).astype("i4")
-    weight = np.concatenate([w for _, w in rows])
-    balance = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
-    params = [embeddings, softmax, bias]
+        return Model(told, np.zeros((0, DIM)), softmax, np.array([0.0, np.log(share / (1 - share))]))
+    number = np.full(BUCKETS, -1)
+    number[told] = np.arange(len(told))
+    bucket = number[np.concatenate([b for b, _ in rows])]
+    used = bucket >= 0
+    owner = np.repeat(np.arange(len(rows)), [len(b) for b, _ in rows])[used]
+    weight, bucket = np.concatenate([w for _, w in rows])[used].astype("f8"), bucket[used]
+    # n-grams as rare as those of one word in a text: weights near 1 let one step size serve all.
+    scale = 1 / (np.sqrt(np.bincount(bucket, weight**2, len(told)) / len(rows)) + 1e-4)
+    weight = weight * scale[bucket]
+    balance = np.where(labels == 1, 0.25 / (labels == 1).sum(), 0.75 / (labels == 0).sum())
+    vectors, bias = rng.normal(0, 0.01, (len(told), DIM)), np.array([0.0, np.log(1 / 3)])
+    params = [vectors, softmax, bias]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
     for step in range(1, rounds + 1):
-        vectors_to_logit = embeddings @ softmax  # the mean commutes with the softmax layer
-        gap = np.bincount(owner, weight * (vectors_to_logit[:, 1] - vectors_to_logit[:, 0])[bucket],
-                          len(rows)) + bias[1] - bias[0]
-        error = (1 / (1 + np.exp(-gap)) - labels) * balance
-        pull = np.bincount(bucket, weight * error[owner], BUCKETS)
         direction = softmax[:, 1] - softmax[:, 0]
-        toward = embeddings.T @ pull
-        grads = [np.outer(pull, direction) + 1e-7 * embeddings,
+        # The mean commutes with the softmax layer: logits are means of the n-grams' logits.
+        gap = np.bincount(owner, weight * (vectors @ direction)[bucket], len(rows)) + bias[1] - bias[0]
+        error = (1 / (1 + np.exp(-gap)) - labels) * balance
+        pull = np.bincount(bucket, weight * error[owner], len(told))
+        toward = vectors.T @ pull
+        grads = [np.outer(pull, direction) + 1e-5 * vectors,
                  np.stack([-toward, toward], axis=1), np.array([-error.sum(), error.sum()])]
         for p, g, m, v in zip(params, grads, first, second):
             m *= 0.9
             m += 0.1 * g
             v *= 0.99
             v += 0.01 * g * g
-            p -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
-    return Model(embeddings, softmax, bias)
+            p -= 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+    return Model(told, vectors * scale[:, None], softmax, bias)
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS) -> DataFrame:
@@ -166,7 +192,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROW
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
     got = sample(docs, labels, label, rows).select("doc_id", "y", _bags(F.col("text")).alias("bag")).select(
         "doc_id", "y", "bag.*").toPandas().sort_values(["doc_id", "y"])
-    return fit([(np.frombuffer(b, "<u2"), np.frombuffer(w, "<f4"))
+    return fit([(np.frombuffer(b, "<u4"), np.frombuffer(w, "<f4"))
                 for b, w in zip(got["buckets"], got["weights"])], got["y"].to_numpy("i8"))
 
 
