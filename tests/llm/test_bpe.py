@@ -42,6 +42,8 @@ def test_chunks_agree_with_whole(spark, reference):
     coder = ByteBpe(spark, PATH, public_tokenizers.PATTERN, chunk=64, overlap=32)
     for r in coder.encode(docs).collect():
         assert ids(r) == reference.encode_ordinary(r.text), r.text
+    both = coder.encode(docs, decoded="decoded").collect()
+    assert all(bytes(r.decoded).decode() == r.text and ids(r) == reference.encode_ordinary(r.text) for r in both)
     assert digest(coder.decode(coder.encode(docs))).count() == len(texts)
 
 
