@@ -38,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and digests of ids and of the bytes they decode to."""
     coder = bpe.ByteBpe(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return bpe.digest(coder.decode(coder.encode(docs.select("doc_id", "text"))), "ids")
+    return bpe.digest(coder.encode(docs.select("doc_id", "text"), decoded="decoded"), "ids")
 
 
 STAGES = [

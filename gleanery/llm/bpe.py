@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import model_bytes
 
-CHUNK, OVERLAP = 16384, 2048
+CHUNK, OVERLAP = 65536, 4096
 #: Boundaries this close to a chunk's end may depend on what follows it.
 GUARD = 8
 
@@ -51,17 +51,20 @@ class ByteBpe:
         self.chunk, self.overlap, self.pattern = chunk, overlap, pattern
         self.ranks = spark.sparkContext.broadcast(model_bytes(ranks_path))
 
-    def encode_column(self, text: Column) -> Column:
-        """Ids of one piece as little-endian unsigned 32-bit integers."""
+    def coded_column(self, text: Column, decoded: bool = False) -> Column:
+        """A piece's ids as little-endian unsigned 32-bit integers, and what they decode to if asked."""
         ranks, pattern = self.ranks, self.pattern
 
-        @F.pandas_udf("binary")
-        def encode(texts: pd.Series) -> pd.Series:
-            encoding = _encoding(ranks.value, pattern)
-            return pd.Series([np.asarray(encoding.encode_ordinary(t), "<u4").tobytes()
-                              for t in texts], dtype=object)
+        @F.pandas_udf("ids binary, decoded binary")
+        def code(texts: pd.Series) -> pd.DataFrame:
+            encoding, rows = _encoding(ranks.value, pattern), []
+            for text in texts:
+                ids = encoding.encode_ordinary(text)
+                rows.append((np.asarray(ids, "<u4").tobytes(),
+                             encoding.decode_bytes(ids) if decoded else None))
+            return pd.DataFrame(rows, columns=["ids", "decoded"])
 
-        return encode(text)
+        return code(text)
 
     def decode_column(self, ids: Column) -> Column:
         """Concatenated raw bytes of the ids."""
@@ -99,8 +102,8 @@ class ByteBpe:
 
         return scan(text, start, last)
 
-    def _long_ids(self, texts: DataFrame) -> DataFrame:
-        """(key, ids) of each distinct long text; texts has key and text."""
+    def _long(self, texts: DataFrame, decoded: bool) -> DataFrame:
+        """(key, coded) of each distinct long text; texts has key and text."""
         size = F.char_length("text")
         chunks = (
             texts.select("key", "text", F.explode(F.sequence(
@@ -127,39 +130,42 @@ class ByteBpe:
         start = F.col("i") * self.chunk
         pieces = chunks.join(cuts.where("synced"), ["key", "i"]).select(
             "key", "i",
-            self.encode_column(F.substring(
-                F.col("part"), F.col("begin") - start + 1, F.col("end") - F.col("begin"))).alias("ids"))
+            self.coded_column(F.substring(
+                F.col("part"), F.col("begin") - start + 1, F.col("end") - F.col("begin")),
+                decoded).alias("c"))
 
-        @F.pandas_udf("binary")
-        def glue(rows: pd.Series) -> pd.Series:
-            return pd.Series([b"".join(bytes(x) for x in r) for r in rows], dtype=object)
+        def glued(part: str) -> Column:  # by way of hex, as Spark joins arrays of strings only
+            return F.unhex(F.array_join(F.transform("p", lambda p: F.hex(p["c"][part])), ""))
 
         joined = pieces.groupBy("key").agg(
-            F.sort_array(F.collect_list(F.struct("i", "ids"))).alias("p")).select(
-            "key", glue(F.col("p.ids")).alias("ids"))
+            F.sort_array(F.collect_list(F.struct("i", "c"))).alias("p")).select(
+            "key", F.struct(glued("ids").alias("ids"), glued("decoded").alias("decoded")).alias("coded"))
         whole = (
             texts.join(cuts.where("not synced").select("key").distinct(), "key", "left_semi")
-            .dropDuplicates(["key"]).select("key", self.encode_column(F.col("text")).alias("ids"))
+            .dropDuplicates(["key"]).select("key", self.coded_column(F.col("text"), decoded).alias("coded"))
         )
         return joined.unionByName(whole)
 
-    def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
-        """docs with a binary column `ids`; a null text counts as empty.
+    def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids",
+               decoded: str | None = None) -> DataFrame:
+        """docs with a binary column `ids`, and one of the decoded bytes if named.
 
-        Equal texts, rows and ids get equal results; an empty table gives an
-        empty one. An input column called like `ids` is replaced, all others stay.
+        A null text counts as empty. Equal texts get equal results; an empty
+        table gives an empty one. Input columns called like a result are
+        replaced, all others stay.
         """
-        keep = [c for c in docs.columns if c != ids]
+        out = [ids] + ([decoded] if decoded else [])
+        keep = [c for c in docs.columns if c not in out]
         rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
                            F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
         is_long = F.char_length("text") > self.chunk
-        short = rows.where(~is_long).select("row.*", self.encode_column(F.col("text")).alias(ids))
+        short = rows.where(~is_long).select(
+            "row", self.coded_column(F.col("text"), bool(decoded)).alias("coded"))
         long = rows.where(is_long).withColumn("key", F.unhex(F.sha2(F.col("text"), 256)))
-        found = self._long_ids(long.select("key", "text"))
         done = long.select("row", "key").join(
-            found.withColumnRenamed("ids", "found"), "key").select(
-            "row.*", F.col("found").alias(ids))
-        return short.unionByName(done)
+            self._long(long.select("key", "text"), bool(decoded)), "key").select("row", "coded")
+        return short.unionByName(done).select("row.*", *[
+            F.col("coded")[part].alias(name) for part, name in zip(("ids", "decoded"), out)])
 
     def decode(self, encoded: DataFrame, ids: str = "ids", out: str = "decoded") -> DataFrame:
         """encoded with a binary column of the decoded bytes; null ids give no bytes."""
@@ -167,7 +173,8 @@ class ByteBpe:
             out, self.decode_column(F.coalesce(F.col(f"`{ids}`"), F.lit(b""))))
 
 
-def digest(coded: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+def digest(coded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens and hashes of ids and decoded bytes, with more columns of coded if named."""
     return coded.select(
-        doc_id, F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        "doc_id", *more, F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -49,7 +49,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coder = bpe.ByteBpe(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"),
                         public_tokenizers.PATTERN)
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return bpe.digest(coder.decode(coder.encode(docs)))
+    return bpe.digest(coder.encode(docs, decoded="decoded"))
 
 
 @query("op4_simhash")
