@@ -354,6 +354,11 @@ def log_projection(spark, sf):
     return catalog.log_projection(logs(spark, sf))
 
 
+@query("count_users", f"{U} SELECT count(*) AS total FROM users WHERE source = 'cv_upload'")
+def count_users(spark, sf):
+    return catalog.count_users(users(spark, sf), "cv_upload")
+
+
 @query("list_users", f"""{U} SELECT id, email, name, source, job_interests, subscribed_at FROM users
   WHERE source = 'cv_upload'""")
 def list_users(spark, sf):

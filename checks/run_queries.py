@@ -8,11 +8,12 @@ from checks import fixtures
 from checks.fixtures import JOBS_AS_OF, table, view, with_views
 from checks.registry import query
 from checks.source_queries import _ADZUNA, _CARD_SQL, _REMOTIVE, some_landed
-from gleanery import schema
+from gleanery import schema, vocab
 from gleanery.functions import text as tx
 from gleanery.plans import jobs as plans
 from gleanery.session import work_dir
-from gleanery.sources import tables
+from gleanery.sources import registry, tables
+from gleanery.sources.registry import Landed
 from gleanery.sources.postings import union_all
 from gleanery.streaming import incremental as inc
 
@@ -62,6 +63,47 @@ def run_log(spark, sf):
     return run_ingest(spark, sf).log.drop("id")
 
 
+@query("run_log_all_sources", f"""WITH {_FOUND}, {_STORED},
+found_too AS (SELECT source, external_id FROM found UNION ALL SELECT source, external_id FROM ({_CARD_SQL['kenyajob']})),
+logged AS (SELECT f.source, count(*) AS jobs_found, count(*) FILTER (s.id IS NULL) AS jobs_new, count(s.id) AS jobs_updated
+  FROM found_too f LEFT JOIN stored s ON s.source = f.source AND s.external_id = f.external_id GROUP BY f.source)
+SELECT r.source, CASE WHEN l.source IS NULL THEN 'empty' ELSE 'success' END AS status,
+  CAST(coalesce(jobs_found, 0) AS INTEGER) AS jobs_found, CAST(coalesce(jobs_new, 0) AS INTEGER) AS jobs_new,
+  CAST(coalesce(jobs_updated, 0) AS INTEGER) AS jobs_updated
+FROM (SELECT unnest([{', '.join(f"'{n}'" for n in sorted(registry.REGISTRY))}]) AS source) r LEFT JOIN logged l USING (source)""")
+def run_log_all_sources(spark, sf):
+    """A run over all registered sources: every one is logged, also without a posting."""
+    run = plans.ingest(spark, some_landed(spark, sf), stored_jobs(spark, sf), NOW)
+    return run.log.select("source", "status", "jobs_found", "jobs_new", "jobs_updated")
+
+
+@query("refresh_all_sources", f"""WITH {_FOUND}, {_STORED},
+kept AS (SELECT source, external_id, title, application_deadline FROM found UNION ALL
+  SELECT source, external_id, title, application_deadline FROM ({_CARD_SQL['kenyajob']}))
+SELECT coalesce(f.source, s.source) AS source, coalesce(f.external_id, s.external_id) AS external_id,
+  coalesce(f.title, s.title) AS title,
+  f.source IS NOT NULL AND NOT coalesce(application_deadline < TIMESTAMP '2024-03-05', FALSE) AS is_active
+FROM kept f FULL JOIN stored s ON s.source = f.source AND s.external_id = f.external_id""")
+def refresh_all_sources(spark, sf):
+    """Without a plan every source and every landed page counts."""
+    run = plans.full_refresh(spark, some_landed(spark, sf), stored_jobs(spark, sf), datetime(2024, 3, 5))
+    return run.jobs.select("source", "external_id", "title", "is_active")
+
+
+@query("quarantine_pages", """SELECT CAST(page_id AS INTEGER) AS page,
+  CASE WHEN page_id % 50 = 7 THEN 'missing' ELSE 'malformed' END AS kind, 'unparseable page' AS reject
+FROM pages WHERE page_id % 50 IN (0, 7)""")
+def quarantine_pages(spark, sf):
+    """Real pages, of which some are missing or malformed: the rest of the run goes on."""
+    k = F.col("page_id") % 50
+    html = F.when(k == 0, F.concat(F.lit("<![foo[ b ]]>"), "html")).when(k != 7, F.col("html"))
+    landed = Landed(pages=table(spark, sf, "pages").select(
+        F.lit("indeed").alias("source"), F.col("page_id").cast("int").alias("page"), html.alias("html")))
+    run = plans.ingest(spark, landed, stored_jobs(spark, sf), NOW, sources=["indeed"])
+    return run.quarantine.where("reject = 'unparseable page'").select(
+        "page", F.when(F.col("page") % 50 == 7, "missing").otherwise("malformed").alias("kind"), "reject")
+
+
 @query("run_log_failures", """SELECT event_type AS source,
   CASE WHEN count(*) FILTER (event_id % 100 = 0) > 20 THEN 'failed' ELSE 'success' END AS status,
   CAST(count(*) AS INTEGER) AS jobs_found, CASE WHEN count(*) FILTER (event_id % 100 = 0) > 20
@@ -94,7 +136,8 @@ kept AS (SELECT f.* FROM all_found f JOIN pages p USING (source)
 SELECT source, external_id, title, NOT coalesce(application_deadline < TIMESTAMP '2024-03-05', FALSE) AS is_active FROM kept
 UNION ALL SELECT source, external_id, title, FALSE FROM stored""")
 def full_refresh(spark, sf):
-    run = plans.full_refresh(spark, some_landed(spark, sf), stored_jobs(spark, sf), datetime(2024, 3, 5))
+    run = plans.full_refresh(
+        spark, some_landed(spark, sf), stored_jobs(spark, sf), datetime(2024, 3, 5), plan=vocab.DAILY_PLAN)
     return run.jobs.select("source", "external_id", "title", "is_active")
 
 

@@ -50,7 +50,7 @@ def split_latched(rows: Column, words: list[str]) -> tuple[Column, Column]:
 
 def split_by_heading(blocks: Column, headings: list[tuple[str, str]],
                      described: tuple[str, ...] = ("desc",),
-                     width: tuple[int, int] = (vocab.DESCRIPTION_WIDTH, vocab.REQUIREMENTS_WIDTH),
+                     width: tuple[int | None, int | None] = (None, None),
                      ) -> tuple[Column, Column]:
     """(description, requirements) of an ordered block array.
 
@@ -84,8 +84,8 @@ def split_by_heading(blocks: Column, headings: list[tuple[str, str]],
             F.when(in_req, F.concat(acc["req"], parts)).otherwise(acc["req"]).alias("req"))
 
     folded = F.aggregate(F.filter(blocks, lambda b: b["text"] != ""), blank, step)
-    desc = truncate(blank_to_null(F.array_join(folded["desc"], "\n")), width[0])
-    req = truncate(blank_to_null(F.array_join(folded["req"], "\n")), width[1])
+    texts = [blank_to_null(F.array_join(folded[part], "\n")) for part in ("desc", "req")]
+    desc, req = (t if w is None else truncate(t, w) for t, w in zip(texts, width))
     return desc, req
 
 
@@ -95,16 +95,16 @@ def strip_boilerplate(html: Column, tags: list[str] | None = None) -> Column:
     return F.regexp_replace(html, rf"(?is)<({names})\b[^>]*>.*?</\1\s*>", "")
 
 
-def between(html: Column, start: str, end: str, reach: int = 5000, tag_gap: int = 20) -> Column:
-    """Text between two markers: '' without the first; without the second the
-    `reach` characters after it. A closing '>' within `tag_gap` characters of the
+def between(html: Column, start: str, end: str, reach: int | None = None, tag_gap: int = 20) -> Column:
+    """Text between two markers: '' without the first; without the second all
+    that follows, or `reach` characters of it. A closing '>' within `tag_gap` characters of the
     first marker is skipped."""
     begin = F.locate(start, html)
     after = begin + F.lit(len(start))
     gap = F.locate(">", F.substring(html, after, F.lit(tag_gap)))
     body = F.when(gap > 0, after + gap).otherwise(after)
     stop = F.locate(end, html)
-    span = F.when(stop > 0, F.greatest(stop - body, F.lit(0))).otherwise(F.lit(reach))
+    span = F.when(stop > 0, F.greatest(stop - body, F.lit(0))).otherwise(F.length(html) if reach is None else F.lit(reach))
     cut = html_to_text(F.substring(html, body, span))
     tidy = F.array_join(lines(cut), "\n")
     return F.when(begin > 0, tidy).when(html.isNotNull(), F.lit(""))

@@ -3,7 +3,6 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleanery import vocab
 from gleanery.functions.text import blank_to_null
 
 
@@ -34,8 +33,8 @@ def captured(c: Column, pattern: str, group: int = 1) -> Column:
 
 
 def slug_or_title(url: Column, title: Column, pattern: str = r"/([^/]+)/?$") -> Column:
-    """Slug of the link, else the start of the title."""
-    return F.coalesce(captured(url, pattern), F.left(title, F.lit(vocab.TITLE_ID_WIDTH)))
+    """Slug of the link, else the title."""
+    return F.coalesce(captured(url, pattern), title)
 
 
 def first_present(*cols: Column) -> Column:

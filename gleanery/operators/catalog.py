@@ -135,6 +135,11 @@ def list_users(users: DataFrame, source: str | None = None) -> DataFrame:
     return chosen.orderBy(F.col("subscribed_at").desc_nulls_first(), F.col("id"))
 
 
+def count_users(users: DataFrame, source: str | None = None) -> DataFrame:
+    """The number of users that `list_users` lists."""
+    return (users.where(F.col("source") == source) if source else users).agg(F.count("*").alias("total"))
+
+
 def rows_by_ids(df: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
     """Membership as a semi join: the planner broadcasts a small id list by its
     statistics and shuffles a large one."""

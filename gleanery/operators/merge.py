@@ -142,8 +142,9 @@ def append_unkeyed(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.unionByName(loose.select(*target.columns))
 
 
-def merge_counts(target: DataFrame, batch: DataFrame, mode: str = "actual") -> DataFrame:
-    """New and updated rows per source.
+def merge_counts(target: DataFrame, batch: DataFrame, mode: str = "actual",
+                 by: str = "source") -> DataFrame:
+    """New and updated rows per source, or per other column `by` of the batch.
 
     `actual` calls the first row of an unknown key new and every other keyed row
     updated. `reference` counts every keyed row as updated, so only rows without
@@ -151,20 +152,25 @@ def merge_counts(target: DataFrame, batch: DataFrame, mode: str = "actual") -> D
     """
     if mode not in ("actual", "reference"):
         raise ValueError(f"unknown mode: {mode}")
-    rows, loose = split_keyed(batch.select(*KEY))
-    loose_n = loose.groupBy("source").agg(
+    rows, loose = split_keyed(batch.select(*KEY, *({by} - set(KEY))))
+    loose_n = loose.groupBy(by).agg(
         F.count("*").alias("jobs_new"), F.lit(0).cast("bigint").alias("jobs_updated"))
-    per_key = rows.groupBy(*KEY).agg(F.count("*").alias("n"))
+    # A key that several groups found is new in the first of them by name.
+    per_key = rows.groupBy(*KEY).agg(F.count("*").alias("n")) if by in KEY else rows.groupBy(*KEY, by).agg(
+        F.count("*").alias("n"))
     if mode == "reference":
-        keyed_n = per_key.groupBy("source").agg(
+        keyed_n = per_key.groupBy(by).agg(
             F.lit(0).cast("bigint").alias("jobs_new"), F.sum("n").alias("jobs_updated"))
     else:
         stored, _ = split_keyed(target.select(*KEY))
         known = per_key.join(stored.withColumn("_known", F.lit(1)), KEY, "left")
         fresh = F.when(F.col("_known").isNull(), 1).otherwise(0)
-        keyed_n = known.groupBy("source").agg(
+        if by not in KEY:
+            first = F.row_number().over(Window.partitionBy(*KEY).orderBy(by)) == 1
+            known = known.withColumn("_known", F.when(~first, 1).otherwise(F.col("_known")))
+        keyed_n = known.groupBy(by).agg(
             F.sum(fresh).alias("jobs_new"), F.sum(F.col("n") - fresh).alias("jobs_updated"))
-    return (loose_n.unionByName(keyed_n).groupBy("source")
+    return (loose_n.unionByName(keyed_n).groupBy(by)
             .agg(F.sum("jobs_new").alias("jobs_new"), F.sum("jobs_updated").alias("jobs_updated")))
 
 

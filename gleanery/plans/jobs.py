@@ -13,7 +13,8 @@ from gleanery.session import work_dir
 from gleanery.sources import registry, tables
 from gleanery.sources.postings import accepted, quarantine
 
-ORDER = ["page", "pos"]
+#: Pages of several lists may share a number, so the row's content decides last.
+ORDER = ["page", "pos", "content"]
 
 
 @dataclass(frozen=True)
@@ -29,11 +30,25 @@ def stored_shape(rows: DataFrame, as_of: datetime) -> DataFrame:
     postings without an id stay apart."""
     key = blank_to_null(F.col("external_id"))
     ident = F.when(key.isNotNull(), F.xxhash64("source", "external_id")).otherwise(
-        F.xxhash64("source", "title", "url", *ORDER, lifecycle.at(as_of)))
+        F.xxhash64("source", "title", "url", "page", "pos", lifecycle.at(as_of)))
     return rows.withColumns({
         "id": ident, "scraped_at": lifecycle.at(as_of), "is_active": F.lit(True)})
 
 
+def source_runs(spark: SparkSession, raw: DataFrame, counts: DataFrame,
+                sources: list[str] | None) -> DataFrame:
+    """One row per registered source of a run, whatever tags its rows carry and
+    also if it found nothing; a source all of whose pages were unreadable has failed."""
+    names = spark.createDataFrame([(s.name,) for s in registry.chosen(sources)], "source string")
+    seen = raw.groupBy("run").agg(
+        F.count_if(F.col("reject").isNull()).alias("jobs_found"),
+        F.count_if(F.col("reject") == "unparseable page").alias("broken"))
+    runs = names.join(seen, F.col("source") == F.col("run"), "left").drop("run").join(
+        counts, F.col("source") == F.col("run"), "left").drop("run")
+    failed = (F.col("broken") > 0) & (F.col("jobs_found") == 0)
+    return runs.withColumn("error", F.when(failed, F.concat(F.col("broken"), F.lit(" unparseable pages"))))
+
+
 def ingest(spark: SparkSession, landed: registry.Landed, target: DataFrame, as_of: datetime, *,
            sources: list[str] | None = None, search: str | None = None,
            staging: str | None = None, newest_wins: bool = False) -> Ingested:
@@ -49,26 +64,24 @@ def ingest(spark: SparkSession, landed: registry.Landed, target: DataFrame, as_o
     raw = spark.read.parquet(f"{staging}/raw")
     good = accepted(raw)
     batch = stored_shape(clean.clean_jobs(good), as_of)
+    batch = batch.withColumn("content", F.to_json(F.struct(*sorted(c for c in batch.columns if c != "content"))))
     batch.write.mode("overwrite").parquet(f"{staging}/clean")
     batch = spark.read.parquet(f"{staging}/clean")
-    found = good.groupBy("source").agg(F.count("*").alias("jobs_found"))
-    counts = merge.merge_counts(target, batch, "actual")
-    runs = found.join(counts, "source", "left").withColumn("error", F.lit(None).cast("string"))
+    runs = source_runs(spark, raw, merge.merge_counts(target, batch, "actual", by="run"), sources)
     target = tables.evolve(target, schema.JOBS).select(*schema.JOBS.fieldNames())
-    keyed, _ = merge.split_keyed(batch)
-    merged = merge.merge_upsert(target, batch, ORDER, newest_wins=newest_wins,
-                                small_batch=merge.is_small(keyed))
+    merged = merge.merge_upsert(target, batch, ORDER, newest_wins=newest_wins)
     return Ingested(merged, tables.run_log(runs, as_of, as_of), quarantine(raw))
 
 
 def full_refresh(spark: SparkSession, landed: registry.Landed, target: DataFrame, as_of: datetime, *,
                  plan: list[tuple] | None = None, staging: str | None = None,
                  search: str | None = None) -> Ingested:
-    """All planned sources in one union, then expiry."""
-    plan = vocab.DAILY_PLAN if plan is None else plan
-    names = [row[0] for row in plan]
-    limited = landed.limited(registry.plan_table(spark, plan))
-    run = ingest(spark, limited, target, as_of, sources=names, staging=staging, search=search)
+    """All sources and all landed pages in one union, then expiry; with a plan,
+    its sources and their first pages only."""
+    names = None if plan is None else [row[0] for row in plan]
+    if plan is not None:
+        landed = landed.limited(registry.plan_table(spark, plan))
+    run = ingest(spark, landed, target, as_of, sources=names, staging=staging, search=search)
     expired = lifecycle.expire_all(run.jobs, as_of).drop("expired")
     return Ingested(expired, run.log, run.quarantine)
 

@@ -19,7 +19,9 @@ def work_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.sparkContext.applicationId
-        base = _LOCAL.setdefault(app, tempfile.mkdtemp(prefix="gleanery-"))
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="gleanery-")
+        base = _LOCAL[app]
     return f"{base.rstrip('/')}/gleanery-{uuid.uuid4().hex}"
 
 

@@ -7,7 +7,7 @@ sites, (site, company, site_url).
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery import vocab
@@ -15,7 +15,7 @@ from gleanery.functions import dates, salary
 from gleanery.functions.text import blank_to_null, present
 from gleanery.functions.urls import absolutize
 from gleanery.sources import dom
-from gleanery.sources.postings import cap_per_group, shape
+from gleanery.sources.postings import shape
 
 OF_TITLE = "of title"  # the title element itself if a link, else the link in it
 OF_CARD = "of card"    # the card itself, where cards are links
@@ -53,15 +53,20 @@ class CardSite:
     need_link: bool = False
     company_outside_title: bool = False
     lower_type: bool = False
-    per_site: int | None = None
+    title_in_link: bool = False             # reject cards whose title is outside the link
+    title_in: list = field(default_factory=list)    # steps; where present, the title must be inside
+    per_site: int | None = None             # cards beyond it are rejected, not lost
 
 
 def split_cards(pages: DataFrame, steps: list, keep: list[str]) -> DataFrame:
     """One row per card: its element and the nodes inside it. The first step
     that finds any element on the page decides; a page without cards gives no
-    rows."""
+    rows, a page that is missing or unreadable one row whose card says so."""
     parsed = pages.select(*keep, dom.parse_nodes("html").alias("nodes"))
-    parsed = parsed.withColumn("found", F.expr(dom.found("nodes", steps)))
+    broken = (f"named_struct('i', 0, 'stop', 0, 'tag', '{dom.BROKEN}', 'attrs', "
+              "CAST(NULL AS MAP<STRING,STRING>), 'text', CAST(NULL AS STRING))")
+    parsed = parsed.withColumn("found", F.expr(
+        f"CASE WHEN {dom.unreadable('nodes')} THEN array({broken}) ELSE {dom.found('nodes', steps)} END"))
     packed = F.expr("posexplode(transform(found, _c -> struct(_c AS card, "
                     "slice(nodes, _c.i + 2, _c.stop - _c.i) AS nodes))) AS (pos, c)")
     return parsed.select(*keep, packed).select(*keep, "pos", "c.card", "c.nodes")
@@ -90,7 +95,7 @@ def card_postings(pages: DataFrame, site: CardSite) -> DataFrame:
     cards = split_cards(pages, site.cards, keep)
     if site.skip:
         own = " OR ".join(s.test("card", "nodes") for s in site.skip)
-        cards = cards.where(f"NOT ({own}) AND {dom.first('nodes', site.skip)} IS NULL")
+        cards = cards.where(f"coalesce(NOT ({own}), TRUE) AND {dom.first('nodes', site.skip)} IS NULL")
     # Elements, then their texts, each in a projection of its own.
     title_el = _element([*([OF_CARD] if site.card_text_title else []), *site.title])
     step = cards.withColumn("_title_el", title_el)
@@ -136,7 +141,8 @@ def card_postings(pages: DataFrame, site: CardSite) -> DataFrame:
     if site.deadline:
         columns["application_deadline"] = dates.parse_deadline(
             F.col("_deadline"), site.deadline_formats, site.deadline_label)
-    checks = [("short title", F.length(title) < site.min_title)]
+    checks = [("unparseable page", F.col("card.tag") == dom.BROKEN),
+              ("short title", F.length(title) < site.min_title)]
     if site.salary:
         pay = F.col("_salary")
         columns["salary_min"], columns["salary_max"] = salary.bounds(pay, site.salary_mode)
@@ -150,6 +156,15 @@ def card_postings(pages: DataFrame, site: CardSite) -> DataFrame:
         columns["external_id"] = site.external_id(url, href, title, F.col("card"), F.col("_link_el"))
     if site.remote:
         columns["remote"] = site.remote(title, columns["location"])
+    if site.title_in_link:
+        inside_link = ((F.col("_title_el.i") > F.col("_link_el.i"))
+                       & (F.col("_title_el.i") <= F.col("_link_el.stop")))
+        checks.append(("no title", ~F.coalesce(inside_link, F.lit(False))))
+    if site.title_in:
+        # A card that has this element takes its title from inside it or not at all.
+        holder = F.expr(dom.first("nodes", site.title_in))
+        outside = ((F.col("_title_el.i") <= holder["i"]) | (F.col("_title_el.i") > holder["stop"]))
+        checks.append(("no title", F.coalesce(holder.isNotNull() & outside, F.lit(False))))
     if site.need_link:
         checks.append(("no link", ~present(url)))
     if site.company_outside_title:
@@ -160,7 +175,9 @@ def card_postings(pages: DataFrame, site: CardSite) -> DataFrame:
         columns["job_type"], columns["location"] = chip_type_and_place(F.col("_chips"))
     columns.update({k: v() if callable(v) else F.lit(v) for k, v in site.constants.items()})
     if site.per_site:
-        step = cap_per_group(step, "page", site.per_site, ["pos"])
+        rank = F.row_number().over(Window.partitionBy("page").orderBy("pos"))
+        step = step.withColumn("_rank", rank)
+        checks.append(("beyond the cap of the site", F.col("_rank") > site.per_site))
     return shape(step, columns, checks)
 
 

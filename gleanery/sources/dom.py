@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from gleanery import vocab
 
 TEXT, RAW = "#text", "#raw"
+BROKEN = "#broken"
 
 NODE = T.StructType([
     T.StructField("i", T.IntegerType()),       # position in document order
@@ -108,11 +109,15 @@ class _Nodes(HTMLParser):
 
 
 def _nodes_of(html):
+    """The page's nodes; for markup that the parser gives up on, one node with the reason."""
     if html is None:
         return None
     parser = _Nodes()
-    parser.feed(html)
-    return parser.finish()
+    try:
+        parser.feed(html)
+        return parser.finish()
+    except Exception as e:  # the parser's own assertions, among others
+        return [{"i": 0, "stop": 0, "tag": BROKEN, "attrs": None, "text": f"{type(e).__name__}: {e}"}]
 
 
 def _without(nodes, tags):
@@ -208,6 +213,11 @@ def parse_blocks(html: pa.Array) -> pa.Array:
     return pa.array(found, type=pa.list_(_ARROW_BLOCK))
 
 
+def unreadable(nodes: str) -> str:
+    """Condition that a page is missing or could not be parsed."""
+    return f"({nodes} IS NULL OR coalesce(get({nodes}, 0).tag = '{BROKEN}', FALSE))"
+
+
 # --- selecting -----------------------------------------------------------
 
 

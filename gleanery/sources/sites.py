@@ -63,6 +63,11 @@ def id_job_id(url, href, title, card, link):
     return F.coalesce(blank_to_null(attr(card, "data-job-id")), last_segment(href))
 
 
+def _own_link(element):
+    """The link inside an element, else the element."""
+    return [Sel(("a",), within=element), element]
+
+
 _JOB_DIV = cls("job|listing|vacancy", "div")
 _JOBS_KES = ([(["$"], "USD")], "KES")
 _JOBS_GBP = ([(["$"], "USD")], "GBP")
@@ -81,8 +86,10 @@ SITES = [
         "myjobsinkenya", "https://www.myjobsinkenya.com",
         cards=[exact(word("job-list"), "div")],
         title=[Sel(("a",), attrs=(("href", ""),), within=Sel(("h4",))), ANY_LINK],
-        company=[exact(word("company"), "span")],
-        location=[exact(word("office-location"), "span")], job_type=[exact("job-type", "span")],
+        title_in=[Sel(("h4",))],
+        company=_own_link(exact(word("company"), "span")),
+        location=_own_link(exact(word("office-location"), "span")),
+        job_type=_own_link(exact("job-type", "span")),
         defaults={"location": "Kenya"}, external_id=id_pattern(r"/jobs/([^/]+)/view")),
     CardSite(
         "brightermonday", "https://www.brightermonday.co.ke",
@@ -122,6 +129,7 @@ SITES = [
         "google_search", "",
         cards=[exact(word("g"), "div"), exact("tF2Cxc|g", "div")],
         title=[Sel(("h3",), within=ANY_LINK)], link=[ANY_LINK], link_mode="http", need_link=True,
+        title_in_link=True,
         description=[exact("VwiC3b|snippet", "div")], constants={"location": "Kenya", "source": lambda: source_from_site(F.col("site"))}),
     CardSite(
         "jobwebkenya", "https://www.jobwebkenya.com",
@@ -139,14 +147,14 @@ SITES = [
         company=[cls("company|employer")], location=[cls("location|place")],
         deadline=[cls("deadline|closing|date")], deadline_label=vocab.DEADLINE_LABEL_WITH_DATE,
         job_type=[cls("type|employment")], lower_type=True, description=[cls("desc|summary|content")],
-        description_width=vocab.SNIPPET_WIDTH, defaults={"location": "Kenya"}, external_id=id_slug),
+        defaults={"location": "Kenya"}, external_id=id_slug),
     CardSite(
         "kenyajob", "https://www.kenyajob.com",
         cards=[(*by_class("job-listing", "job-item", "vacancy-item"), Sel(("article",))), _JOB_DIV],
         title=[cls("title|heading", *HEADS, "a"), Sel(("a",))], min_title=3,
         company=[cls("company|employer")], location=[cls("location|place")],
         deadline=[cls("deadline|closing|expir")], deadline_formats=vocab.DEADLINE_FORMATS_5,
-        description=[cls("desc|summary|excerpt")], description_width=vocab.SNIPPET_WIDTH,
+        description=[cls("desc|summary|excerpt")],
         defaults={"location": "Kenya"}, external_id=id_slug),
     CardSite(
         "summitrecruitment", "https://www.summitrecruitment-search.com",
@@ -293,7 +301,6 @@ _EMPLOYERS = [
 ]
 GREENHOUSE_SITES = ["givedirectly"]
 EMPLOYER_URLS = {name: (company, url) for name, company, url, *_ in _EMPLOYERS}
-SITE_CAP = 50
 
 EMPLOYERS = [
     CardSite(
@@ -301,6 +308,6 @@ EMPLOYERS = [
         title=title, min_title=3, link=[href(pattern, ignore_case=True), ANY_LINK],
         link_mode="slash", location=[cls("location|city|country")],
         job_type=[cls("type|contract|employment")], constants={"company": company},
-        external_id=id_href_segment, per_site=SITE_CAP)
+        external_id=id_href_segment)
     for name, company, url, cards, title, pattern in _EMPLOYERS
 ]

@@ -1,5 +1,7 @@
 """Tables inside pages: vacancy lists and requirement tables."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,10 +52,13 @@ def with_requirements(rows: DataFrame) -> DataFrame:
     return rows.withColumn("requirements", F.coalesce(F.array_join(lines, "\n"), F.lit("")))
 
 
-def institute_postings(lists: DataFrame, details: DataFrame, base: str) -> DataFrame:
+def institute_postings(lists: DataFrame, details: DataFrame, base: str,
+                       as_of: datetime | None = None) -> DataFrame:
     """Vacancy rows joined with their detail pages (ref, html); the first row of
-    a reference counts."""
-    rows = dedup_first(vacancy_rows(lists), ["ref"], ["page", "pos"])
+    a reference with a long enough title counts, or the first one if none has.
+    A missing posting date is `as_of`."""
+    listed = vacancy_rows(lists).withColumn("_bad", F.length("title") < 5)
+    rows = dedup_first(listed, ["ref"], ["_bad", "page", "pos", "title"]).drop("_bad")
     d = (details.groupBy("ref").agg(F.min("html").alias("html"))
          .withColumn("nodes", dom.parse_nodes("html")))
     rows = with_requirements(rows.join(d, "ref", "left"))
@@ -68,7 +73,7 @@ def institute_postings(lists: DataFrame, details: DataFrame, base: str) -> DataF
         "location": prose.place_with_country(place), "description": F.col("_duties"),
         "requirements": F.col("requirements"), "job_type": F.col("emp_type"),
         "url": url, "apply_url": url, "external_id": composite("kemri", F.col("ref")),
-        "posted_date": dates.labelled_date(html, ADVERTISED),
+        "posted_date": F.coalesce(dates.labelled_date(html, ADVERTISED), F.lit(as_of).cast("timestamp_ntz")),
         "application_deadline": dates.labelled_date(html, CLOSING),
     }, [
         ("no detail page", html.isNull()),

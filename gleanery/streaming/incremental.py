@@ -51,10 +51,11 @@ def current_rows(spark: SparkSession, out: str, columns: list[str]) -> DataFrame
 
 
 def compact_states(spark: SparkSession, out: str, to: str) -> None:
-    """Fold all batches into one under a new location, never in place."""
+    """Fold all batches into one under a new location, never in place. It has a
+    number that no batch of a stream can take, so a stream may go on there."""
     states = spark.read.parquet(f"{out}/states").drop("batch")
-    merge.fold_states(states).write.parquet(f"{to}/states/batch=0")
-    spark.read.parquet(f"{out}/loose").drop("batch").write.parquet(f"{to}/loose/batch=0")
+    merge.fold_states(states).write.parquet(f"{to}/states/batch=-1")
+    spark.read.parquet(f"{out}/loose").drop("batch").write.parquet(f"{to}/loose/batch=-1")
 
 
 def daily_counts(rows: DataFrame, time: str = "ts", delay: str = "2 days") -> DataFrame:

@@ -105,10 +105,6 @@ SECTION_HEADINGS = {
     ],
 }
 BOILERPLATE_TAGS = ["script", "style", "nav", "header", "footer", "aside"]
-DESCRIPTION_WIDTH = 5000
-REQUIREMENTS_WIDTH = 3000
-SNIPPET_WIDTH = 1000
-TITLE_ID_WIDTH = 80
 ERROR_WIDTH = 2000
 
 # Deadlines: the label removed first, and the formats tried in order

@@ -1,9 +1,11 @@
 """Page parsing, cards, detail pages and the registry."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.sources import details, dom, feeds, registry, sites
+from gleanery.sources import cards, details, dom, feeds, registry, sites
 from gleanery.sources.postings import accepted, merge_detail
 
 
@@ -89,7 +91,10 @@ def test_site_cap(spark):
     site = next(s for s in sites.EMPLOYERS if s.name == "amref")
     landed = registry.Landed(pages=pages(spark, "company_careers", html, site="amref", company="A", site_url=site.base))
     got = accepted(registry.extract(landed, ["company_careers"])).collect()
-    assert len(got) == sites.SITE_CAP and {r.source for r in got} == {"amref"}
+    assert len(got) == 70 and {r.source for r in got} == {"amref"}
+    capped = cards.card_postings(landed.pages, replace(site, per_site=50)).collect()
+    assert sorted(r.pos for r in capped if r.reject is None) == list(range(50))
+    assert {r.reject for r in capped if r.pos >= 50} == {"beyond the cap of the site"}
 
 
 def test_registry(spark):
@@ -112,3 +117,31 @@ def test_source_search(spark):
     df = spark.createDataFrame([("remoteok", 1, body)], "source string, page int, body string")
     out = registry.extract(registry.Landed(payloads=df), ["remoteok"], search="dev")
     assert sorted(r.external_id for r in accepted(out).collect()) == ["1", "2"]
+
+
+BROKEN = ["<![foo[ b ]]>", None]
+
+
+def test_unreadable_pages_are_quarantined(spark):
+    good = '<div class="base-card"><h3>Dev</h3><a href="/view/9">x</a></div>'
+    assert dom._nodes_of("<![foo[ b ]]>")[0]["tag"] == dom.BROKEN
+    landed = registry.Landed(pages=pages(spark, "linkedin", good, *BROKEN, "<!-- never closed"))
+    rows = registry.extract(landed, ["linkedin"]).collect()
+    assert sorted((r.page, r.reject) for r in rows if r.reject) == [(2, "unparseable page"), (3, "unparseable page")]
+    assert [r.title for r in rows if r.reject is None] == ["Dev"]
+
+
+def test_title_of_the_first_link_only(spark):
+    other = '<a href="https://else.test/1">Cached</a>'
+    card = '<div class="g">{}<a href="https://r.test/1"><h3>Dev</h3></a></div>'
+    html = card.format("") + card.format(other)
+    got = rows_of(spark, "google_search", html, site="indeed.com")
+    assert [(r.title, r.url) for r in got] == [("Dev", "https://r.test/1")]
+
+
+def test_own_link_of_a_label(spark):
+    card = ('<div class="job-list"><h4>{}</h4><a href="/jobs/b/view">Share</a>'
+            '<span class="company"><a>Acme</a>| verified</span><span class="office-location">Kisumu</span></div>')
+    html = card.format('<a href="/jobs/a/view">Dev</a>') + card.format("No link here")
+    got = rows_of(spark, "myjobsinkenya", html)
+    assert [(r.title, r.company, r.location) for r in got] == [("Dev", "Acme", "Kisumu")]
