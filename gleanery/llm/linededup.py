@@ -6,20 +6,21 @@ a word stay. Steps, all in DataFrame operations:
 
 1. How often each word occurs is counted over all texts in `SKETCH` hash
    buckets, a table of fixed size. Words are ordered by the logarithm of their
-   bucket's count, then by hash: any one order is right, rare words first is fast.
+   bucket's count, where that is equal by falling length, as longer words are
+   rarer, then by hash: any one order is right, rare words first is fast.
 2. Lines of equal sets become one, at their first place. The shuffle carries a
-   128-bit key of the set, its size and its prefix: the size - ceil(0.8 size) + 1
-   rarest words, of which similar sets must share one.
+   128-bit key of the set, its size and its prefix: the size - ceil(0.8 size) + 2
+   rarest words, of which similar sets must share two.
 3. Sets that differ in a few words form groups whose pairs grow with the square
    of the group. So each set is first compared with the earliest set that has
-   its size and one of its `LEADERS` rarest words; if they are similar it goes,
+   its size and two of its `LEADERS` rarest words; if they are similar it goes,
    and needs no other partner.
 4. The sets left over probe all earlier ones by their prefix words. A pair needs
-   sizes within the threshold (length filter) and enough words left from the
-   shared one on (positional filter).
+   sizes within the threshold (length filter), enough words left from a shared
+   one on (positional filter) and a second shared word.
 5. The whole sets of the pairs are fetched from their lines, and Jaccard is verified.
 
-Words are identified by 57 bits of hash and bucket, sets by 128 bits.
+Words are identified by their length and 52 bits of hash, sets by 128 bits.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ from gleanery.llm.common import SPACES, checkpointed, words, written
 
 THRESHOLD = 0.8
 SKETCH = 1 << 17
-LEADERS = 3
-#: Bits of a word's rank that hold its hash; those above hold how frequent it is.
-HASH_BITS = 57
+LEADERS = 4
+#: Bits of a word's rank that hold its hash; above are six for its length and six for how frequent it is.
+HASH_BITS = 52
 #: Bits of the packed entry that hold the position; size and the open flag lie above.
 POS_BITS = 31
 
@@ -62,19 +63,20 @@ def _ranks(line: Column, sketch: Column) -> Column:
     """The set of a line's words as sorted numbers, rare words first."""
     low = F.lit((1 << HASH_BITS) - 1).cast("long")
 
-    def rank(h: Column, levels: Column) -> Column:
-        level = F.substring(levels, F.pmod(h, F.lit(SKETCH)).cast("int") + 1, F.lit(1))
-        return F.shiftleft((F.ascii(level.cast("string")) - 48).cast("long"), HASH_BITS).bitwiseOR(
-            h.bitwiseAND(low))
+    def rank(w: Column) -> Column:
+        bucket = F.pmod(F.xxhash64(w), F.lit(SKETCH)).cast("int")
+        level = F.ascii(F.substring(sketch, bucket + 1, F.lit(1)).cast("string")) - 48
+        short = F.lit(63) - F.least(F.char_length(w), F.lit(63))
+        return F.shiftleft((level * 64 + short).cast("long"), HASH_BITS).bitwiseOR(
+            F.shiftrightunsigned(F.xxhash64(w), 64 - HASH_BITS).bitwiseAND(low))
 
-    hashes = F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.transform(hashes, lambda h: rank(h, sketch)))
+    return F.sort_array(F.array_distinct(F.transform(words(line), rank)))
 
 
 def first_lines(docs: DataFrame, sketch: Column, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n, size and prefix of the first line of each set of words."""
     ranked = _lines(docs).select("doc_id", "n", _ranks(F.col("line"), sketch).alias("ranks"))
-    prefix = (F.size("ranks") - F.ceil(F.size("ranks") * threshold - 1e-9) + 1).cast("int")
+    prefix = (F.size("ranks") - F.ceil(F.size("ranks") * threshold - 1e-9) + 2).cast("int")
     keyed = ranked.where(F.size("ranks") > 0).select(
         F.xxhash64("ranks").alias("k1"), F.xxhash64(F.lit(1), "ranks").alias("k2"),
         F.struct("doc_id", "n").alias("at"), F.size("ranks").alias("size"),
@@ -107,8 +109,13 @@ def near_repeats(docs: DataFrame, firsts: DataFrame, sketch: Column,
                  threshold: float = THRESHOLD) -> DataFrame:
     """Places (doc_id, n) among firsts that are similar to an earlier line."""
     place = F.struct("doc_id", "n").alias("at")
-    group = Window.partitionBy("word", "size").orderBy("at")
-    led = firsts.select(place, "size", F.explode(F.slice("prefix", 1, LEADERS)).alias("word"))
+    group = Window.partitionBy("two", "size").orderBy("at")
+    head = F.slice("prefix", 1, LEADERS)
+    twos = F.flatten(F.transform(head, lambda w, i: F.transform(
+        F.slice(head, i + 2, F.lit(LEADERS)), lambda v: F.xxhash64(w, v))))
+    # A smaller set has no similar one but its equals, which are one set already.
+    firsts = firsts.where(F.col("size") + 1 <= (F.col("size") * (1 / threshold) + 1e-9))
+    led = firsts.select(place, "size", F.explode(twos).alias("two"))
     pairs = led.withColumn("a", F.first("at").over(group)).where("a < at").select(
         "a", F.col("at").alias("b")).distinct()
     gone = checkpointed(_similar(pairs, docs, sketch, threshold))
@@ -127,12 +134,16 @@ def near_repeats(docs: DataFrame, firsts: DataFrame, sketch: Column,
     size = lambda m: F.shiftright(m, POS_BITS).bitwiseAND(mask)
     sa, sb, pa, pb = size("ma"), size("mb"), F.col("ma").bitwiseAND(mask), F.col("mb").bitwiseAND(mask)
     needed = F.ceil(threshold / (1 + threshold) * (sa + sb) - 1e-9)
-    pairs = left.join(right, "word").where(
+    rest = F.least(sa - pa, sb - pb)
+    met = left.join(right, "word").where(
         (F.col("a") < F.col("b"))
         & (F.shiftright("mb", 2 * POS_BITS) + sa * 0 == 1)
         & (F.least(sa, sb) >= threshold * F.greatest(sa, sb) - 1e-9)
-        & (F.least(sa - pa, sb - pb) >= needed)
-    ).select("a", "b").distinct()
+        # The first shared word has `needed` words left, itself included, the second one less.
+        & (rest >= needed - 1)
+    ).select("a", "b", (rest - needed).alias("spare"))
+    pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("spare").alias("spare")).where(
+        (F.col("spare") >= 0) & (F.col("shared") >= 2)).select("a", "b")
     return gone.unionByName(_similar(pairs, docs, sketch, threshold)).distinct()
 
 
@@ -154,7 +165,9 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     equal rows keep equal texts; a line that only one of several rows with the
     same id has at its place is judged at that place. Other columns pass through.
     """
-    kept = kept_lines(docs.select("doc_id", "text"), threshold)
+    if not 0.5 < threshold <= 1:
+        raise ValueError("the threshold must be above 0.5: similar sets must share two words")
+    kept = checkpointed(kept_lines(docs.select("doc_id", "text"), threshold))
     # One character per line up to the last kept one: 1 if it stays.
     marks = F.array_join(F.flatten(F.transform(
         F.array(F.sort_array(F.collect_set("n"))),
@@ -163,12 +176,21 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             F.lit("1"))))), "")
     stay = kept.groupBy("doc_id").agg(marks.cast("binary").alias("stay")).select(
         F.col("doc_id").alias("kept_id"), "stay")
+    # Documents that lose no line need no shuffle; their ids are not in the bit table.
+    total = _lines(docs).where(F.btrim("line", F.lit(SPACES)) != "").groupBy("doc_id").agg(
+        F.count("*").alias("total"))
+    touched = total.join(
+        kept.groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n_kept")),
+        F.col("doc_id").eqNullSafe(F.col("kept_id")), "left").where(
+        F.coalesce("n_kept", F.lit(0)) != F.col("total"))
+    loses = bits.test(bits.marked(touched, F.col("doc_id")), F.col("row.doc_id"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = rows.join(stay, F.col("row.doc_id").eqNullSafe(F.col("kept_id")), "left")
+    joined = rows.where(loses).join(stay, F.col("row.doc_id").eqNullSafe(F.col("kept_id")), "left")
     lines = F.filter(
         F.split("row.text", "\n", -1),
         lambda line, i: (F.btrim(line, F.lit(SPACES)) == "") | (
             F.substring(F.coalesce("stay", F.lit(b"")), i + 1, F.lit(1)) == F.lit(b"1")))
     text = F.array_join(lines, "\n")
     return joined.select(*[
-        (text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])
+        (text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns]).unionByName(
+        rows.where(~loses).select("row.*"))
