@@ -367,7 +367,7 @@ def section_by_heading(spark, sf):
     html = F.replace(F.replace(F.col("html"), F.lit("</article>"), F.concat(extra, F.lit("</article>"))),
                      F.lit("</h1>"), F.concat(F.lit("</h1><ul><li>top "), k, F.lit("</li></ul>")))
     changed = pages(spark, sf).select("page_id", html.alias("html"))
-    return details.page_sections(changed, _HEADINGS, ["page_id"])
+    return details.page_sections(changed, _HEADINGS, ["page_id"], (5000, 3000))
 
 
 _ARTICLE = "regexp_extract(html, '(?s)</h1>(.*?)</article>', 1)"

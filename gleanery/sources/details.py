@@ -18,10 +18,11 @@ COMPANY = {
 COMPANY_WIDTH, PLACE_WIDTH = 150, 100
 
 
-def page_sections(pages: DataFrame, headings: list[tuple[str, str]], key: list[str]) -> DataFrame:
-    """(key..., description, requirements) by the headings of each page."""
+def page_sections(pages: DataFrame, headings: list[tuple[str, str]], key: list[str],
+                  width: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+    """(key..., description, requirements) by the headings of each page, whole or cut to a width."""
     blocks = pages.select(*key, dom.parse_blocks("html").alias("blocks"))
-    described, required = prose.split_by_heading(F.col("blocks"), headings)
+    described, required = prose.split_by_heading(F.col("blocks"), headings, width=width)
     return blocks.select(*key, described.alias("description"), required.alias("requirements"))
 
 
