@@ -19,6 +19,7 @@ the shard, offset, length and number of ids of every record, for shuffled reads.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -31,8 +32,16 @@ from gleanery.llm.common import model_bytes
 
 END_ID = 1
 #: Words that a worker remembers the ids of; the memory starts anew when it is full.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 600_000
 _TOKENIZERS: dict = {}
+#: Lower-case letters of Latin-1 between printable ASCII characters that are neither letters,
+#: digits nor apostrophes: no normalisation changes them, and each run is one piece.
+_OTHER = r"([!-&(-/:-@\[-`{-~]*)"
+_PLAIN = re.compile(_OTHER + "([a-z\u00df-\u00f6\u00f8-\u00ff]+)" + _OTHER).fullmatch
+#: The printable stand-ins of byte-level vocabularies: the other bytes follow from U+0100 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_REST = [b for b in range(256) if b not in _PRINTABLE]
+_STAND_IN = {b: chr(b) if b in _PRINTABLE else chr(256 + _REST.index(b)) for b in range(256)}
 
 
 def masked(data: bytes) -> int:
@@ -70,48 +79,72 @@ def parse(data: bytes, at: int = 0):
 
 
 class _WordIds:
-    """Ids of words by a tokenizer whose pieces never reach over ASCII white space."""
+    """Ids of words by a tokenizer whose pieces never reach over ASCII white space.
+
+    Most new words are Latin-1 letters between printable ASCII characters: their
+    pieces are known without the normaliser and the splitter, and go to the
+    tokenizer's model directly. All others take the tokenizer's whole way.
+    """
 
     def __init__(self, model: bytes):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model.decode())
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, np.ndarray] = {}
+        self.model = self.tokenizer.model
+        self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str, width: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            marks = piece if piece.isascii() else "".join(map(_STAND_IN.__getitem__, piece.encode()))
+            ids = struct.pack(f"<{len(t := self.model.tokenize(marks))}{'H' if width == '<u2' else 'I'}",
+                              *[x.id for x in t])
+            self.pieces[piece] = ids
+        return ids
 
     def encode(self, texts: list[str | None], width: str) -> list[bytes]:
+        if len(self.known) + len(self.pieces) > MEMORY_WORDS:
+            self.known, self.pieces = {}, {}
         split = [(t or "").encode().split() for t in texts]
-        if len(self.known) > MEMORY_WORDS:
-            self.known = {}
-        known = self.known
-        new = list({w for ws in split for w in ws if w not in known})
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
+        known, hard = self.known, []
+        for w in set().union(*split).difference(known):
+            word = w.decode()
+            plain = _PLAIN(word.lower())
+            if plain is None or "<|" in word:
+                hard.append(w)
+            else:
+                before, letters, after = plain.groups()
+                ids = self._piece(letters, width)
+                if before:
+                    ids = self._piece(before, width) + ids
+                known[w] = ids + self._piece(after, width) if after else ids
+        for at in range(0, len(hard), 4096):
+            part = hard[at:at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(
                     [w.decode() for w in part], add_special_tokens=False)):
                 known[w] = np.array(e.ids, width).tobytes()
         end = np.array([END_ID], width).tobytes()
-        return [b"".join([known[w] for w in ws]) + end for ws in split]
+        return [b"".join(map(known.__getitem__, ws)) + end for ws in split]
 
 
-def _word_ids(model: bytes) -> _WordIds:
-    key = (zlib.crc32(model), len(model))
+def _word_ids(model: bytes, width: str) -> _WordIds:
+    key = (zlib.crc32(model), len(model), width)
     if key not in _TOKENIZERS:
         _TOKENIZERS[key] = _WordIds(model)
     return _TOKENIZERS[key]
 
 
 def _framed(doc_id: Column, text: Column, model, width: str) -> Column:
-    @F.pandas_udf("frame binary, n long")
-    def encode(doc_ids: pd.Series, texts: pd.Series) -> pd.DataFrame:
-        coder, size = _word_ids(model.value), np.dtype(width).itemsize
-        frames, counts = [], []
+    @F.pandas_udf("binary")
+    def encode(doc_ids: pd.Series, texts: pd.Series) -> pd.Series:
+        coder, frames = _word_ids(model.value, width), []
         values, missing = doc_ids.tolist(), doc_ids.isna().tolist()
         for at in range(0, len(texts), 256):
             for i, ids in enumerate(coder.encode(texts[at:at + 256].tolist(), width), at):
                 frames.append(frame(None if missing[i] else int(values[i]), ids)[:-1])
-                counts.append(len(ids) // size)
-        return pd.DataFrame({"frame": frames, "n": counts})
+        return pd.Series(frames, dtype=object)
 
     return encode(doc_id, text)
 
@@ -130,43 +163,54 @@ def write(docs: DataFrame, folder: str, model_path: str, shards: int | None = No
     data = model_bytes(model_path)
     width = "<u2" if Tokenizer.from_str(data.decode()).get_vocab_size() <= 1 << 16 else "<u4"
     model = spark.sparkContext.broadcast(data)
-    # Encoded before the sort: ids are shorter than the texts.
-    coded = docs.select("doc_id", _framed(F.col("doc_id").cast("long"), F.col("text"), model, width).alias("f"))
-    rows = coded.select("doc_id", "f.frame")
+    # Dealt before the encoding: the range exchange samples its input, which then runs twice.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dealt = rows.repartitionByRange(shards, "doc_id") if shards else rows.repartitionByRange("doc_id")
-    dealt.sortWithinPartitions("doc_id", "frame").select(F.col("frame").cast("string").alias("value")).write.option(
+    coded = dealt.sortWithinPartitions("doc_id", "text").select(
+        _framed(F.col("doc_id"), F.col("text"), model, width).alias("frame"))
+    coded.select(F.col("frame").cast("string").alias("value")).write.option(
         "lineSep", "\n").text(f"{folder}/shards")
-    records(spark, folder, width).select(
-        "shard", "offset", "length", "doc_id", "n_tokens").write.parquet(f"{folder}/index")
+    _scan(spark, folder, width).drop("place").write.parquet(f"{folder}/index")
     spark.createDataFrame([(width,)], "width string").write.json(f"{folder}/meta")
 
 
-def records(spark, folder: str, width: str | None = None) -> DataFrame:
-    """shard, place, offset, length, doc_id, n_tokens, ids (unsigned 32-bit) of every record, verified."""
-    if width is None:
-        width = spark.read.schema("width string").json(f"{folder}/meta").first()["width"]
+def _width(spark, folder: str) -> str:
+    return spark.read.schema("width string").json(f"{folder}/meta").first()["width"]
+
+
+_PLACE = "shard string, place long, offset long, length long, doc_id long, n_tokens long"
+
+
+def _scan(spark, folder: str, width: str, value: str | None = None, of=None) -> DataFrame:
+    """The place, doc_id and number of ids of every record, verified, and of(ids) as one more column."""
+    names = [c.split()[0] for c in _PLACE.split(", ")] + ([value.split()[0]] if value else [])
 
     def read(batches):
+        size = np.dtype(width).itemsize
         for batch in batches:
             for path, data in zip(batch["path"], batch["content"]):
                 rows = []
                 for place, (offset, length, doc_id, ids) in enumerate(parse(data)):
-                    ids = np.frombuffer(ids, width).astype("<u4")
-                    rows.append((path, place, offset, length, doc_id, len(ids), ids.tobytes()))
+                    row = (path, place, offset, length, doc_id, len(ids) // size)
+                    rows.append((*row, of(np.frombuffer(ids, width).astype("<u4").tobytes())) if of else row)
                     if len(rows) == 256:
-                        yield _batch(rows)
+                        yield _batch(rows, names)
                         rows = []
-                yield _batch(rows)
+                yield _batch(rows, names)
 
-    schema = "shard string, place long, offset long, length long, doc_id long, n_tokens long, ids binary"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/shards")
-    return files.where("length > 0").select("path", "content").mapInPandas(read, schema).withColumn(
+    return files.where("length > 0").select("path", "content").mapInPandas(
+        read, f"{_PLACE}, {value}" if value else _PLACE).withColumn(
         "shard", F.regexp_extract("shard", r"part-(\d+)", 1).cast("int"))
 
 
-def _batch(rows) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["shard", "place", "offset", "length", "doc_id", "n_tokens", "ids"])
-    return out.astype({"doc_id": "Int64"})
+def _batch(rows, names) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+
+
+def records(spark, folder: str) -> DataFrame:
+    """shard, place, offset, length, doc_id, n_tokens, ids (unsigned 32-bit) of every record, verified."""
+    return _scan(spark, folder, _width(spark, folder), "ids binary", lambda ids: ids)
 
 
 def digests(spark, folder: str) -> DataFrame:
@@ -175,8 +219,8 @@ def digests(spark, folder: str) -> DataFrame:
     start adds the ids of all shards before (from one row per shard) to those
     before in the shard, so that no task sees more than a shard.
     """
-    every = records(spark, folder).select(
-        "shard", "place", "doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    every = _scan(spark, folder, _width(spark, folder), "ids_crc32 long", zlib.crc32).select(
+        "shard", "place", "doc_id", "n_tokens", "ids_crc32")
     index = spark.read.parquet(f"{folder}/index")
     shards = index.groupBy("shard").agg(F.sum("n_tokens").alias("ids")).select(
         "shard", (F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")).alias("before"))
