@@ -8,9 +8,9 @@ counts by (source, size), which is all that the dual depends on.
 
 Rates become copies through a fixed offset u in (0, 1) that a document's id
 hashes to: floor(rate + u). The words so taken are a step function of lambda,
-so lambda is then narrowed, again by aggregations alone, to the step nearest
-to the target, and one document per source changes by one copy to close most of
-the rest.
+so one more aggregation finds the lambda near the optimum whose words come
+nearest to the target, and one document per source changes by one copy to close
+most of the rest.
 """
 
 from __future__ import annotations
@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 from gleanery.llm.common import checkpointed, word_count
 
 MOST = 3
-NEWTON, TOLERANCE = 40, 1e-9
-SECTIONS, ROUNDS = 64, 6
-#: One row per source is broadcast up to this many sources; beyond, rows meet by salted join.
-BROADCAST_SOURCES = 10_000
+#: Newton steps; the error squares with each, and what is left is closed with the rounding.
+NEWTON = 10
+#: Sections of [lambda - 1, lambda + 1] that the rounded words are counted in.
+SECTIONS = 4096
+#: Parts that the rows of one source are joined in.
 SALTS = 64
+#: Texts meet the solution by broadcast up to this many sources, else as salted rows.
+BROADCAST_SOURCES = 10_000
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -53,23 +56,25 @@ def targets(sizes: DataFrame) -> DataFrame:
         F.least("cap", open_level * F.col("w")), "cap").cast("double").alias("target"))
 
 
-def _meet(rows: DataFrame, state: DataFrame, few: bool, key: str = "doc_id") -> DataFrame:
-    """rows with the columns of their source's state."""
-    named = state.withColumnRenamed("source", "state_source")
-    same = F.col("source").eqNullSafe(F.col("state_source"))
-    if few:
-        return rows.join(F.broadcast(named), same).drop("state_source")
-    salted = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+def _meet(rows: DataFrame, state: DataFrame, key: str = "doc_id") -> DataFrame:
+    """rows with the columns of their source's state.
+
+    Salted by `key`, so that a source's rows meet in many tasks. The sides merge:
+    how many sources there are is not bounded, and a broadcast per iteration
+    would stay in the driver's memory.
+    """
+    salted = state.withColumnRenamed("source", "state_source").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     own = rows.withColumn("own_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-    return own.join(salted, same & (F.col("own_salt") == F.col("salt"))).drop(
-        "state_source", "salt", "own_salt")
+    same = F.col("source").eqNullSafe(F.col("state_source")) & (F.col("own_salt") == F.col("salt"))
+    return own.join(salted.hint("merge"), same).drop("state_source", "salt", "own_salt")
 
 
 def _rate() -> Column:
     return F.least(F.lit(float(MOST)), F.exp(F.col("lam") * F.col("z") / F.col("mean")))
 
 
-def solve(sizes: DataFrame, wanted: DataFrame, few: bool) -> DataFrame:
+def solve(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
     """source, target, mean and lam of the dual optimum; full where every rate is MOST."""
     counts = checkpointed(sizes.where("z > 0").groupBy("source", "z").agg(F.count("*").alias("k")))
     means = counts.groupBy(F.col("source").alias("s")).agg(
@@ -80,10 +85,10 @@ def solve(sizes: DataFrame, wanted: DataFrame, few: bool) -> DataFrame:
         ((F.col("source_size") == 0) | (F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12))
          ).alias("full"),
         F.coalesce(F.log(F.col("target") / F.col("source_size")), F.lit(0.0)).alias("lam"),
-        none.alias("lo"), none.alias("hi"), F.lit(1.0).alias("off")))
+        none.alias("lo"), none.alias("hi")))
     for _ in range(NEWTON):
         # The histogram has at most one row per source and size; its own key salts it.
-        met = _meet(counts, state, few, "z").where(~F.col("full"))
+        met = _meet(counts, state, "z").where(~F.col("full"))
         sums = met.groupBy("source").agg(
             F.sum(F.col("k") * F.col("z") * _rate()).alias("taken"),
             F.sum(F.when(_rate() < MOST, F.col("k") * F.col("z") * F.col("z") / F.col("mean") * _rate()
@@ -92,20 +97,17 @@ def solve(sizes: DataFrame, wanted: DataFrame, few: bool) -> DataFrame:
         step = state.join(sums, F.col("source").eqNullSafe(F.col("s")), "left").withColumns({
             "lo": F.when(gap < 0, F.col("lam")).otherwise(F.col("lo")),
             "hi": F.when(gap >= 0, F.col("lam")).otherwise(F.col("hi")),
-            "newton": F.when(F.col("slope") > 0, F.col("lam") - gap / F.col("slope")),
-            "off": F.coalesce(F.abs(gap) / F.col("target"), F.lit(0.0))})
+            "newton": F.when(F.col("slope") > 0, F.col("lam") - gap / F.col("slope"))})
         reach = 2 * (1 + F.abs("lam"))
         low, high = F.coalesce("lo", F.col("lam") - reach), F.coalesce("hi", F.col("lam") + reach)
         moved = (
-            F.when((F.col("newton") > low) & (F.col("newton") < high), F.col("newton"))
+            F.when(F.col("full") | (F.abs(gap) <= 1e-9 * F.col("target")), F.col("lam"))
+            .when((F.col("newton") > low) & (F.col("newton") < high), F.col("newton"))
             .when(F.col("lo").isNull(), low).when(F.col("hi").isNull(), high)
             .otherwise((low + high) / 2))
         state = checkpointed(step.select(
-            "source", "source_size", "target", "mean", "full",
-            F.when(F.col("off") <= TOLERANCE, F.col("lam")).otherwise(moved).alias("lam"), "lo", "hi", "off"))
-        if (state.agg(F.max("off")).first()[0] or 0) <= TOLERANCE:
-            break
-    return state.select("source", "source_size", "target", "mean", "full", "lam")
+            "source", "source_size", "target", "mean", "full", moved.alias("lam"), "lo", "hi"))
+    return state.drop("lo", "hi")
 
 
 def _offset(doc_id: Column) -> Column:
@@ -118,55 +120,37 @@ def _copies(lam: Column, mean: Column, full: Column, size: Column, doc_id: Colum
         F.least(F.floor(rate + _offset(doc_id)), F.lit(MOST))).cast("int")
 
 
-def round_rates(sizes: DataFrame, state: DataFrame, few: bool) -> DataFrame:
-    """The state with lam at the step of the copies' words that is nearest to the target."""
-    live = sizes.where("z > 0")
+def round_rates(sizes: DataFrame, state: DataFrame) -> DataFrame:
+    """The state with lam where the copies' words come nearest to the target, and the gap left."""
     steps = F.array(*[F.log(k - _offset(F.col("doc_id"))) * F.col("mean") / F.col("z")
                       for k in range(1, MOST + 1)])
-    none = F.lit(None).cast("double")
-    at = state.withColumns({"lo": F.col("lam") - 1, "hi": F.col("lam") + 1, "at_lo": none, "at_hi": none})
-    for _ in range(ROUNDS):
-        events = _meet(live, at.select("source", "mean", "full", "lo", "hi"), few).where(
-            ~F.col("full")).select("source", "z", "lo", "hi", F.explode(steps).alias("t"))
-        part = F.floor((F.col("t") - F.col("lo")) / (F.col("hi") - F.col("lo")) * SECTIONS)
-        # (lo, hi]: what is at or below lo is in section -1.
-        sections = events.select("source", "z", F.greatest(F.least(
-            F.when(F.col("t") <= F.col("lo"), -1).otherwise(part), F.lit(SECTIONS)),
-            F.lit(-1)).alias("b")).groupBy("source", "b").agg(F.sum("z").alias("words"))
-        every = at.where(~F.col("full")).select(
-            "source", "target", F.explode(F.sequence(F.lit(-1), F.lit(SECTIONS - 1))).alias("b"))
-        full = every.join(
-            sections.toDF("s", "sb", "words"),
-            F.col("source").eqNullSafe(F.col("s")) & (F.col("b") == F.col("sb")), "left").select(
-            "source", "target", "b", F.coalesce("words", F.lit(0)).alias("words"))
-        run = F.sum("words").over(Window.partitionBy("source").orderBy("b"))
-        hit = full.withColumn("run", run).where("run >= target").groupBy(F.col("source").alias("s")).agg(
-            F.min(F.struct("b", "run", "words")).alias("h"))
-        width = (F.col("hi") - F.col("lo")) / SECTIONS
-        joined = at.join(hit, F.col("source").eqNullSafe(F.col("s")), "left")
-        at = checkpointed(joined.select(
-            "source", "source_size", "target", "mean", "full", "lam",
-            F.when(F.col("h").isNull(), F.col("hi")).when(
-                F.col("h.b") == -1, F.col("lo") - 8 * SECTIONS * width).otherwise(
-                F.col("lo") + F.col("h.b") * width).alias("lo"),
-            F.when(F.col("h").isNull(), F.col("hi") + 8 * SECTIONS * width).when(
-                F.col("h.b") == -1, F.col("lo")).otherwise(
-                F.col("lo") + (F.col("h.b") + 1) * width).alias("hi"),
-            F.when(F.col("h.b") >= 0, F.col("h.run") - F.col("h.words")).cast("double").alias("at_lo"),
-            F.when(F.col("h.b") >= 0, F.col("h.run")).cast("double").alias("at_hi")))
-    below = F.col("target") - F.col("at_lo") < F.col("at_hi") - F.col("target")
-    return checkpointed(at.withColumn("below", below).select(
+    events = _meet(sizes.where("z > 0"), state.select("source", "mean", "full", "lam")).where(
+        ~F.col("full")).select("source", "z", "lam", F.explode(steps).alias("t"))
+    # Section b ends at lam - 1 + 2 (b + 1) / SECTIONS; -1 holds all steps before, SECTIONS all after.
+    part = F.ceil((F.col("t") - F.col("lam") + 1) / 2 * SECTIONS) - 1
+    words = events.groupBy("source", F.greatest(F.least(part, F.lit(SECTIONS)), F.lit(-1)).alias("b")).agg(
+        F.sum("z").alias("words"))
+    run = F.sum("words").over(Window.partitionBy("source").orderBy("b"))
+    ends = words.withColumn("run", run).where(F.col("b") < SECTIONS).select(
+        F.col("source").alias("s"), "b", F.col("run"))
+    goals = state.where(~F.col("full")).select("source", "target")
+    off = F.abs(F.col("run") - F.col("target"))
+    best = goals.join(ends, F.col("source").eqNullSafe(F.col("s"))).groupBy("s").agg(
+        F.min(F.struct(off.alias("off"), "b", "run")).alias("best"))
+    # Where even the first steps take too much, nothing is nearer.
+    some = F.coalesce(F.col("best.off") <= F.col("target"), F.lit(False))
+    return checkpointed(state.join(best, F.col("source").eqNullSafe(F.col("s")), "left").select(
         "source", "source_size", "target", "mean", "full",
-        F.when(F.col("full"), F.col("lam")).when(F.col("below"), F.col("lo")).otherwise(F.col("hi")).alias("lam"),
-        F.when(~F.col("full"), F.col("target") - F.when(F.col("below"), F.col("at_lo")).otherwise(
-            F.col("at_hi"))).alias("gap")))
+        F.when(F.col("full"), F.col("lam")).when(
+            some, F.col("lam") - 1 + 2 * (F.col("best.b") + 1) / SECTIONS).otherwise(-1e9).alias("lam"),
+        F.when(~F.col("full"), F.col("target") - F.when(some, F.col("best.run")).otherwise(0)).alias("gap")))
 
 
-def close_gaps(sizes: DataFrame, state: DataFrame, few: bool) -> DataFrame:
+def close_gaps(sizes: DataFrame, state: DataFrame) -> DataFrame:
     """The state with the document of each source that, by one copy more or less, comes nearest to closing its gap."""
     left = F.abs(F.abs("gap") - F.col("z"))
     copies = _copies(F.col("lam"), F.col("mean"), F.col("full"), F.col("z"), F.col("doc_id"))
-    best = _meet(sizes.where("z > 0"), state, few).where(
+    best = _meet(sizes.where("z > 0"), state).where(
         (left < F.abs("gap")) & F.col("doc_id").isNotNull()
         & F.when(F.col("gap") > 0, copies < MOST).otherwise(copies > 0)
     ).groupBy(F.col("source").alias("s")).agg(F.min(F.struct(
@@ -186,15 +170,19 @@ def mix(docs: DataFrame) -> DataFrame:
     """
     sizes = checkpointed(docs.select("doc_id", "source", word_count(F.col("text")).alias("z")))
     wanted = checkpointed(targets(sizes))
-    few = wanted.count() <= BROADCAST_SOURCES
-    state = close_gaps(sizes, round_rates(sizes, solve(sizes, wanted, few), few), few)
+    state = close_gaps(sizes, round_rates(sizes, solve(sizes, wanted)))
     rows = docs.select("doc_id", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        word_count(F.col("text")).alias("size"))
     rate = F.when(F.col("size") == 0, 1.0).when(F.col("full"), float(MOST)).otherwise(
         F.least(F.lit(float(MOST)), F.exp(F.col("lam") * F.col("size") / F.col("mean"))))
     change = F.when((F.col("changed") == F.col("doc_id")) & (F.col("size") > 0), F.col("change")).otherwise(0)
     copies = _copies(F.col("lam"), F.col("mean"), F.col("full"), F.col("size"), F.col("doc_id"))
-    return _meet(rows, state, few).select(
+    if wanted.count() <= BROADCAST_SOURCES:
+        named = F.broadcast(state.withColumnRenamed("source", "state_source"))
+        met = rows.join(named, F.col("source").eqNullSafe(F.col("state_source")))
+    else:
+        met = _meet(rows, state)
+    return met.select(
         "doc_id", "row", "size", "source_size", "target", rate.alias("rate"),
         F.greatest(F.lit(0), F.least(F.lit(MOST), copies + F.coalesce(change, F.lit(0)))).alias("copies")
     ).withColumn(
