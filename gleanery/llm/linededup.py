@@ -17,7 +17,9 @@ a word stay. Steps, all in DataFrame operations:
    and needs no other partner.
 4. The sets left over probe all earlier ones by their prefix words. A pair needs
    sizes within the threshold (length filter), enough words left from a shared
-   one on (positional filter) and a second shared word.
+   one on (positional filter) and a second shared word. A bitmap of 64 bits per
+   set bounds how many words one set has that the other lacks: each bit that
+   only one of them has stands for one such word at least.
 5. The whole sets of the pairs are fetched from their lines, and Jaccard is verified.
 
 Words are identified by their length and 52 bits of hash, sets by 128 bits.
@@ -73,17 +75,23 @@ def _ranks(line: Column, sketch: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(words(line), rank)))
 
 
+def _bitmap(ranks: Column) -> Column:
+    one = F.array(*[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
+    return F.aggregate(ranks, F.lit(0).cast("long"), lambda bits_, x: bits_.bitwiseOR(
+        F.get(one, x.bitwiseAND(F.lit(63)).cast("int"))))
+
+
 def first_lines(docs: DataFrame, sketch: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, n, size and prefix of the first line of each set of words."""
+    """doc_id, n, size, prefix and bitmap of the first line of each set of words."""
     ranked = _lines(docs).select("doc_id", "n", _ranks(F.col("line"), sketch).alias("ranks"))
     prefix = (F.size("ranks") - F.ceil(F.size("ranks") * threshold - 1e-9) + 2).cast("int")
     keyed = ranked.where(F.size("ranks") > 0).select(
         F.xxhash64("ranks").alias("k1"), F.xxhash64(F.lit(1), "ranks").alias("k2"),
         F.struct("doc_id", "n").alias("at"), F.size("ranks").alias("size"),
-        F.slice("ranks", 1, prefix).alias("prefix"))
+        F.slice("ranks", 1, prefix).alias("prefix"), _bitmap(F.col("ranks")).alias("bitmap"))
     return keyed.groupBy("k1", "k2").agg(
-        F.min("at").alias("at"), F.first("size").alias("size"), F.first("prefix").alias("prefix")
-    ).select("at.*", "size", "prefix")
+        F.min("at").alias("at"), *[F.first(c).alias(c) for c in ("size", "prefix", "bitmap")]
+    ).select("at.*", "size", "prefix", "bitmap")
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, sketch: Column, threshold: float) -> DataFrame:
@@ -124,12 +132,12 @@ def near_repeats(docs: DataFrame, firsts: DataFrame, sketch: Column,
         gone.select(F.col("doc_id").alias("gd"), F.col("n").alias("gn")),
         F.col("doc_id").eqNullSafe(F.col("gd")) & (F.col("n") == F.col("gn")), "left")
     entries = known.select(
-        place, "size", F.col("gn").isNull().cast("long").alias("open"),
+        place, "bitmap", "size", F.col("gn").isNull().cast("long").alias("open"),
         F.posexplode("prefix").alias("pos", "word")
-    ).select("word", "at", F.shiftleft(F.col("open"), 2 * POS_BITS).bitwiseOR(
+    ).select("word", "at", "bitmap", F.shiftleft(F.col("open"), 2 * POS_BITS).bitwiseOR(
         F.shiftleft(F.col("size").cast("long"), POS_BITS)).bitwiseOR(F.col("pos").cast("long")).alias("m"))
     # Both sides have the same columns, so one exchange serves the two.
-    left, right = entries.toDF("word", "a", "ma"), entries.toDF("word", "b", "mb")
+    left, right = entries.toDF("word", "a", "bits_a", "ma"), entries.toDF("word", "b", "bits_b", "mb")
     mask = F.lit((1 << POS_BITS) - 1).cast("long")
     size = lambda m: F.shiftright(m, POS_BITS).bitwiseAND(mask)
     sa, sb, pa, pb = size("ma"), size("mb"), F.col("ma").bitwiseAND(mask), F.col("mb").bitwiseAND(mask)
@@ -141,6 +149,8 @@ def near_repeats(docs: DataFrame, firsts: DataFrame, sketch: Column,
         & (F.least(sa, sb) >= threshold * F.greatest(sa, sb) - 1e-9)
         # The first shared word has `needed` words left, itself included, the second one less.
         & (rest >= needed - 1)
+        & (F.bit_count(F.col("bits_a").bitwiseAND(F.bitwise_not("bits_b"))) <= sa - needed)
+        & (F.bit_count(F.col("bits_b").bitwiseAND(F.bitwise_not("bits_a"))) <= sb - needed)
     ).select("a", "b", (rest - needed).alias("spare"))
     pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("spare").alias("spare")).where(
         (F.col("spare") >= 0) & (F.col("shared") >= 2)).select("a", "b")
