@@ -61,8 +61,8 @@ def id_regex(spark, sf):
 
 
 @query("id_slug_or_title", f"""{J} SELECT id,
-  coalesce(nullif(regexp_extract(trim(url), '/([^/]+)/?$', 1), ''), left(title, 80)) AS slug,
-  coalesce(nullif(regexp_extract(trim(url), '/(\\d+)', 1), ''), left(title, 80)) AS digits FROM jobs""")
+  coalesce(nullif(regexp_extract(trim(url), '/([^/]+)/?$', 1), ''), title) AS slug,
+  coalesce(nullif(regexp_extract(trim(url), '/(\\d+)', 1), ''), title) AS digits FROM jobs""")
 def id_slug_or_title(spark, sf):
     url, title = F.trim("url"), F.col("title")
     return view(spark, sf, "jobs").select(

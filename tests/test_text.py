@@ -159,7 +159,9 @@ def test_between(spark):
     text = "<h4>Duties:</h4><p>a</p> <p>b</p><h4>Next:</h4>"
     assert column(spark, [text], lambda c: prose.between(c, "Duties:", "Next:")) == ["a\nb"]
     assert column(spark, [text], lambda c: prose.between(c, "Missing:", "Next:")) == [""]
-    assert column(spark, ["S:" + "x" * 6000], lambda c: F.length(prose.between(c, "S:", "none"))) == [5000]
+    open_end = ["S:" + "x" * 6000]
+    assert column(spark, open_end, lambda c: F.length(prose.between(c, "S:", "none"))) == [6000]
+    assert column(spark, open_end, lambda c: F.length(prose.between(c, "S:", "none", reach=5000))) == [5000]
 
 
 def test_latched_split(spark):
