@@ -1,8 +1,9 @@
 """The registered queries of the llm operators, and SQL where it can express them.
 
-Without SQL: op2 (iterations), op3 (byte-level BPE), op5 and op6 (trained
-models), op8 (a tokenizer's ids) and op9 (spans by overlapping patterns); they
-are tested against brute force, round trips or held-out labels.
+Without SQL: op2 (iterations), op3 (byte-level BPE), op4 (XXH64 and reachability),
+op5 and op6 (trained models), op8 (a tokenizer's ids) and op9 (spans by
+overlapping patterns); they are tested against brute force, round trips or
+held-out labels.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import (bpe, covertree, linededup, mixing, passages, records, rules, secret_scan,
-                          simhash, toxicity)
+from gleanery.llm import (bpe, covertree, linededup, mixing, oracles, passages, records, rules,
+                          secret_scan, simhash, toxicity)
 from gleanery.llm.common import shared_folder, table
 
 QUERIES, ORACLES = {}, {}
@@ -33,7 +34,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-@query("op1_line_dedup")
+@query("op1_line_dedup", oracles.LINE_DEDUP)
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -67,7 +68,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
-@query("op7_quality_rules")
+@query("op7_quality_rules", oracles.QUALITY_RULES)
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(documents(spark, sf_dir))
 
@@ -84,6 +85,6 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(documents(spark, sf_dir))
 
 
-@query("op10_cover_tree")
+@query("op10_cover_tree", oracles.TOP_K)
 def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
