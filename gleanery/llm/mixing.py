@@ -7,10 +7,15 @@ Newton iterations. Each iteration is one aggregation over the table of document
 counts by (source, size), which is all that the dual depends on.
 
 Rates become copies through a fixed offset u in (0, 1) that a document's id
-hashes to: floor(rate + u). The words so taken are a step function of lambda,
-so one more aggregation finds the lambda near the optimum whose words come
-nearest to the target, and one document per source changes by one copy to close
-most of the rest.
+hashes to: floor(rate + u). The words so taken are a step function of lambda.
+Sections of lambda are narrowed, round by round and each by one aggregation, to
+the single step at the target, and lambda ends on its nearer side. Where that
+step is a long document, the words it leaves are made up by a lambda of their
+own for the documents no longer than the gap, and so on; at last one document
+per source changes by one copy.
+
+The loops end by tests on the state, which is written and read again, so that
+the driver keeps no plan or broadcast of the iterations before.
 """
 
 from __future__ import annotations
@@ -18,13 +23,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import checkpointed, word_count
+from gleanery.llm.common import word_count, written
 
 MOST = 3
-#: Newton steps; the error squares with each, and what is left is closed with the rounding.
-NEWTON = 10
-#: Sections of [lambda - 1, lambda + 1] that the rounded words are counted in.
+#: Share of a source's target by which its rates may miss it.
+TOLERANCE = 1e-9
+#: Parts of the interval that lambda is known to lie in, looked at in one iteration.
+GRID = 16
+#: Sections that the rounded words are counted in, per round.
 SECTIONS = 4096
+#: Share of the target that is left to the change of one document.
+CLOSE = 1e-3
 #: Parts that the rows of one source are joined in.
 SALTS = 64
 #: Texts meet the solution by broadcast up to this many sources, else as salted rows.
@@ -75,39 +84,53 @@ def _rate() -> Column:
 
 
 def solve(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """source, target, mean and lam of the dual optimum; full where every rate is MOST."""
-    counts = checkpointed(sizes.where("z > 0").groupBy("source", "z").agg(F.count("*").alias("k")))
-    means = counts.groupBy(F.col("source").alias("s")).agg(
-        (F.sum(F.col("k") * F.col("z")) / F.sum("k")).alias("mean"))
-    none = F.lit(None).cast("double")
-    state = checkpointed(wanted.join(means, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "source", "source_size", "target", F.coalesce("mean", F.lit(1.0)).alias("mean"),
-        ((F.col("source_size") == 0) | (F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12))
-         ).alias("full"),
-        F.coalesce(F.log(F.col("target") / F.col("source_size")), F.lit(0.0)).alias("lam"),
-        none.alias("lo"), none.alias("hi")))
-    for _ in range(NEWTON):
+    """source, source_size, target, mean, full and lam of the dual optimum; full where every rate is MOST.
+
+    lo and hi enclose lambda from the start: the words taken are at most
+    source_size * exp(lam * least / mean) for lam < 0 and at least that with the
+    mean size of a word's document. An iteration looks at GRID + 1 points of the
+    interval and the Newton point, so that the interval shrinks by GRID at least.
+    """
+    counts = written(sizes.where("z > 0").groupBy("source", "z").agg(F.count("*").alias("k")))
+    words = F.col("k").cast("double") * F.col("z")
+    shapes = counts.groupBy(F.col("source").alias("s")).agg(
+        (F.sum(words) / F.sum("k")).alias("mean"), F.min("z").alias("least"),
+        (F.sum(words * F.col("z")) / F.sum(words)).alias("heavy"))
+    ratio, scale = F.log(F.col("target") / F.col("source_size")), F.col("mean") / F.col("least")
+    full = (F.col("source_size") == 0) | (F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12))
+    state = wanted.join(shapes, F.col("source").eqNullSafe(F.col("s")), "left").select(
+        "source", "source_size", "target", F.coalesce("mean", F.lit(1.0)).alias("mean"), full.alias("full"),
+        F.when(ratio < 0, ratio * scale).otherwise(0.0).alias("lo"),
+        F.when(ratio < 0, ratio * F.col("mean") / F.col("heavy")).otherwise(
+            F.log(F.lit(float(MOST))) * scale).alias("hi"),
+        F.coalesce(ratio, F.lit(0.0)).alias("lam"), full.alias("settled"))
+    state = written(state)
+    points = F.concat(F.transform(F.sequence(F.lit(0), F.lit(GRID)), lambda j: F.col("lo") + (
+        F.col("hi") - F.col("lo")) * j / GRID), F.array("lam"))
+    while not state.where("NOT settled").isEmpty():
         # The histogram has at most one row per source and size; its own key salts it.
-        met = _meet(counts, state, "z").where(~F.col("full"))
-        sums = met.groupBy("source").agg(
-            F.sum(F.col("k") * F.col("z") * _rate()).alias("taken"),
+        met = _meet(counts, state.where("NOT settled"), "z").select(
+            "source", "z", "k", "mean", "target", F.posexplode(points).alias("j", "lam"))
+        gap = F.sum(F.col("k") * F.col("z") * _rate()) - F.max("target")
+        sums = met.groupBy("source", "j").agg(
+            F.max("lam").alias("at"), gap.alias("gap"),
             F.sum(F.when(_rate() < MOST, F.col("k") * F.col("z") * F.col("z") / F.col("mean") * _rate()
-                         ).otherwise(0.0)).alias("slope")).withColumnRenamed("source", "s")
-        gap = F.col("taken") - F.col("target")
-        step = state.join(sums, F.col("source").eqNullSafe(F.col("s")), "left").withColumns({
-            "lo": F.when(gap < 0, F.col("lam")).otherwise(F.col("lo")),
-            "hi": F.when(gap >= 0, F.col("lam")).otherwise(F.col("hi")),
-            "newton": F.when(F.col("slope") > 0, F.col("lam") - gap / F.col("slope"))})
-        reach = 2 * (1 + F.abs("lam"))
-        low, high = F.coalesce("lo", F.col("lam") - reach), F.coalesce("hi", F.col("lam") + reach)
-        moved = (
-            F.when(F.col("full") | (F.abs(gap) <= 1e-9 * F.col("target")), F.col("lam"))
-            .when((F.col("newton") > low) & (F.col("newton") < high), F.col("newton"))
-            .when(F.col("lo").isNull(), low).when(F.col("hi").isNull(), high)
-            .otherwise((low + high) / 2))
-        state = checkpointed(step.select(
-            "source", "source_size", "target", "mean", "full", moved.alias("lam"), "lo", "hi"))
-    return state.drop("lo", "hi")
+                         ).otherwise(0.0)).alias("slope"))
+        found = sums.groupBy(F.col("source").alias("s")).agg(
+            F.max(F.when(F.col("gap") < 0, F.col("at"))).alias("low"),
+            F.min(F.when(F.col("gap") >= 0, F.col("at"))).alias("high"),
+            F.min(F.struct(F.abs("gap").alias("off"), "at", "gap", "slope")).alias("best"))
+        step = state.join(found, F.col("source").eqNullSafe(F.col("s")), "left").withColumns({
+            "lo": F.coalesce("low", "lo"), "hi": F.coalesce("high", "hi"),
+            "newton": F.when(F.col("best.slope") > 0, F.col("best.at") - F.col("best.gap") / F.col("best.slope"))})
+        near = F.col("settled") | (F.col("best.off") <= TOLERANCE * F.col("target")) | (
+            F.col("hi") - F.col("lo") <= 1e-15 * F.greatest(F.abs("lo"), F.abs("hi")))
+        state = written(step.select(
+            "source", "source_size", "target", "mean", "full", "lo", "hi",
+            F.when(F.col("settled"), F.col("lam")).when(near, F.col("best.at")).when(
+                (F.col("newton") > F.col("lo")) & (F.col("newton") < F.col("hi")), F.col("newton")).otherwise(
+                (F.col("lo") + F.col("hi")) / 2).alias("lam"), near.alias("settled")))
+    return state.drop("lo", "hi", "settled")
 
 
 def _offset(doc_id: Column) -> Column:
@@ -120,43 +143,106 @@ def _copies(lam: Column, mean: Column, full: Column, size: Column, doc_id: Colum
         F.least(F.floor(rate + _offset(doc_id)), F.lit(MOST))).cast("int")
 
 
-def round_rates(sizes: DataFrame, state: DataFrame) -> DataFrame:
-    """The state with lam where the copies' words come nearest to the target, and the gap left."""
+def _lam(size: Column) -> Column:
+    """lambda for documents of a size: that of the last level that holds for it."""
+    return F.element_at(F.filter("lams", lambda level: size <= level["upto"]), -1)["lam"]
+
+
+def _nearest(sizes: DataFrame, goals: DataFrame) -> DataFrame:
+    """source s, cut, run and short: the lambda where the copies' words come nearest to a goal, and these words.
+
+    goals has source, mean, lam (where to look first), upto and goal; documents of
+    more than upto words do not count. Each round counts the steps of the section
+    that crosses the goal in SECTIONS new ones, until it is one step. short: the
+    words of all copies do not reach the goal. Sources without a document to
+    count are left out.
+    """
     steps = F.array(*[F.log(k - _offset(F.col("doc_id"))) * F.col("mean") / F.col("z")
                       for k in range(1, MOST + 1)])
-    events = _meet(sizes.where("z > 0"), state.select("source", "mean", "full", "lam")).where(
-        ~F.col("full")).select("source", "z", "lam", F.explode(steps).alias("t"))
-    # Section b ends at lam - 1 + 2 (b + 1) / SECTIONS; -1 holds all steps before, SECTIONS all after.
-    part = F.ceil((F.col("t") - F.col("lam") + 1) / 2 * SECTIONS) - 1
-    words = events.groupBy("source", F.greatest(F.least(part, F.lit(SECTIONS)), F.lit(-1)).alias("b")).agg(
-        F.sum("z").alias("words"))
-    run = F.sum("words").over(Window.partitionBy("source").orderBy("b"))
-    ends = words.withColumn("run", run).where(F.col("b") < SECTIONS).select(
-        F.col("source").alias("s"), "b", F.col("run"))
-    goals = state.where(~F.col("full")).select("source", "target")
-    off = F.abs(F.col("run") - F.col("target"))
-    best = goals.join(ends, F.col("source").eqNullSafe(F.col("s"))).groupBy("s").agg(
-        F.min(F.struct(off.alias("off"), "b", "run")).alias("best"))
-    # Where even the first steps take too much, nothing is nearer.
-    some = F.coalesce(F.col("best.off") <= F.col("target"), F.lit(False))
-    return checkpointed(state.join(best, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "source", "source_size", "target", "mean", "full",
-        F.when(F.col("full"), F.col("lam")).when(
-            some, F.col("lam") - 1 + 2 * (F.col("best.b") + 1) / SECTIONS).otherwise(-1e9).alias("lam"),
-        F.when(~F.col("full"), F.col("target") - F.when(some, F.col("best.run")).otherwise(0)).alias("gap")))
+    none = F.lit(None).cast("double")
+    at = written(goals.select(
+        "source", "mean", "upto", "goal", (F.col("lam") - 1).alias("lo"), (F.col("lam") + 1).alias("hi"),
+        F.lit(0).cast("long").alias("base"), none.alias("prev"), none.alias("next"), none.alias("cut"),
+        F.lit(0).cast("long").alias("run"), F.lit(False).alias("short"), F.lit(False).alias("done")))
+    first = True
+    while not at.where("NOT done").isEmpty():
+        events = _meet(sizes.where("z > 0"), at.where("NOT done")).where("z <= upto").select(
+            "source", "mean", "upto", "goal", "lo", "hi", "base", "prev", "next", "z", F.explode(steps).alias("t"))
+        if not first:
+            events = events.where("t BETWEEN lo AND hi")
+        # The first round has all steps before lo in section -1, and all from hi on in section SECTIONS.
+        part = F.floor((F.col("t") - F.col("lo")) / (F.col("hi") - F.col("lo")) * SECTIONS)
+        same = [F.max(c).alias(c) for c in ("mean", "upto", "goal", "base", "prev", "next")]
+        parts = events.groupBy("source", F.greatest(F.least(part, F.lit(SECTIONS)), F.lit(-1)).alias("b")).agg(
+            F.sum("z").alias("words"), F.min("t").alias("lo"), F.max("t").alias("hi"), *same)
+        order = Window.partitionBy("source").orderBy("b")
+        runs = parts.withColumns({
+            "run": F.col("base") + F.sum("words").over(order),
+            "prev": F.coalesce(F.lag("hi").over(order), "prev"),
+            "next": F.coalesce(F.lead("lo").over(order), "next")})
+        short = F.col("run") < F.col("goal")
+        crossing = runs.groupBy("source").agg(F.min(F.struct(
+            short.alias("short"), F.when(short, -F.col("b")).otherwise(F.col("b")).alias("k"), "run", "words", "mean",
+            "upto", "goal", "lo", "hi", "prev", "next")).alias("x")).select("source", "x.*")
+        low = F.col("run") - F.col("words")
+        after = F.col("short") | (F.col("run") - F.col("goal") <= F.col("goal") - low)
+        below, above = (F.col("prev") + F.col("lo")) / 2, (F.col("hi") + F.col("next")) / 2
+        crossed = crossing.select(
+            "source", "mean", "upto", "goal", "lo", "hi", low.alias("base"), "prev", "next",
+            F.when(after, F.coalesce(above, F.col("hi") + 1)).otherwise(
+                F.coalesce(below, F.col("lo") - 1)).alias("cut"),
+            F.when(after | (F.col("lo") < F.col("hi")), F.col("run")).otherwise(low).alias("run"),
+            "short", (F.col("short") | (F.col("lo") == F.col("hi"))).alias("done"))
+        at, first = written(at.where("done").unionByName(crossed)), False
+    return at.select(F.col("source").alias("s"), "cut", "run", "short")
+
+
+def round_rates(sizes: DataFrame, state: DataFrame) -> DataFrame:
+    """The state with lams, lambda by size, where the copies' words come nearest to the target, and the gap left.
+
+    The second level and later ones hold for documents no longer than the gap
+    that the one before left, and each leaves less.
+    """
+    none = F.lit(None).cast("double")
+    every = F.lit((1 << 63) - 1)
+    at = written(state.withColumns({
+        "lams": F.array(F.struct(every.alias("upto"), "lam")), "gap": none, "open": ~F.col("full"),
+        "upto": every, "goal": F.col("target")}))
+    first = True
+    while not at.where("open").isEmpty():
+        found = _nearest(sizes, at.where("open").select("source", "mean", "lam", "upto", "goal"))
+        step = at.join(found, F.col("source").eqNullSafe(F.col("s")), "left")
+        hit = F.col("open") & F.col("cut").isNotNull()
+        gap = F.when(hit, F.col("goal") - F.col("run")).otherwise(F.col("gap"))
+        level = F.array(F.struct("upto", F.col("cut").alias("lam")))
+        lams = F.when(hit, level if first else F.concat("lams", level)).otherwise(F.col("lams"))
+        more = hit & ~F.col("short") & (F.abs(gap) > F.greatest(CLOSE * F.col("target"), F.lit(1.0))) & (
+            F.col("gap").isNull() | (F.abs(gap) < F.abs("gap")))
+        at = written(step.select(
+            "source", "source_size", "target", "mean", "full", F.coalesce("cut", "lam").alias("lam"),
+            lams.alias("lams"), gap.alias("gap"), more.alias("open"),
+            F.floor(F.abs(gap)).cast("long").alias("upto")))
+        now = _copies(_lam(F.col("z")), F.col("mean"), F.col("full"), F.col("z"), F.col("doc_id"))
+        small = _meet(sizes.where("z > 0"), at.where("open")).where("z <= upto").groupBy(
+            F.col("source").alias("s")).agg(F.sum(now * F.col("z")).alias("words"))
+        at, first = at.join(small, F.col("source").eqNullSafe(F.col("s")), "left").withColumns({
+            "open": F.col("open") & F.col("words").isNotNull(),
+            "goal": F.col("words") + F.col("gap")}).drop("s", "words"), False
+        at = written(at)
+    return at.drop("open", "upto", "goal")
 
 
 def close_gaps(sizes: DataFrame, state: DataFrame) -> DataFrame:
     """The state with the document of each source that, by one copy more or less, comes nearest to closing its gap."""
     left = F.abs(F.abs("gap") - F.col("z"))
-    copies = _copies(F.col("lam"), F.col("mean"), F.col("full"), F.col("z"), F.col("doc_id"))
+    copies = _copies(_lam(F.col("z")), F.col("mean"), F.col("full"), F.col("z"), F.col("doc_id"))
     best = _meet(sizes.where("z > 0"), state).where(
         (left < F.abs("gap")) & F.col("doc_id").isNotNull()
         & F.when(F.col("gap") > 0, copies < MOST).otherwise(copies > 0)
     ).groupBy(F.col("source").alias("s")).agg(F.min(F.struct(
         left.alias("left"), F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("id"))).alias("best"))
-    return checkpointed(state.join(best, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "source", "source_size", "target", "mean", "full", "lam",
+    return written(state.join(best, F.col("source").eqNullSafe(F.col("s")), "left").select(
+        "source", "source_size", "target", "mean", "full", "lams",
         F.col("best.id").alias("changed"), F.when(F.col("gap") > 0, 1).otherwise(-1).alias("change")))
 
 
@@ -168,15 +254,15 @@ def mix(docs: DataFrame) -> DataFrame:
     one source take equal copies. taken = copies * size; copies are 0 to MOST.
     Equal input gives equal output; an empty table gives an empty one.
     """
-    sizes = checkpointed(docs.select("doc_id", "source", word_count(F.col("text")).alias("z")))
-    wanted = checkpointed(targets(sizes))
+    sizes = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("z")))
+    wanted = written(targets(sizes))
     state = close_gaps(sizes, round_rates(sizes, solve(sizes, wanted)))
     rows = docs.select("doc_id", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        word_count(F.col("text")).alias("size"))
     rate = F.when(F.col("size") == 0, 1.0).when(F.col("full"), float(MOST)).otherwise(
-        F.least(F.lit(float(MOST)), F.exp(F.col("lam") * F.col("size") / F.col("mean"))))
+        F.least(F.lit(float(MOST)), F.exp(_lam(F.col("size")) * F.col("size") / F.col("mean"))))
     change = F.when((F.col("changed") == F.col("doc_id")) & (F.col("size") > 0), F.col("change")).otherwise(0)
-    copies = _copies(F.col("lam"), F.col("mean"), F.col("full"), F.col("size"), F.col("doc_id"))
+    copies = _copies(_lam(F.col("size")), F.col("mean"), F.col("full"), F.col("size"), F.col("doc_id"))
     if wanted.count() <= BROADCAST_SOURCES:
         named = F.broadcast(state.withColumnRenamed("source", "state_source"))
         met = rows.join(named, F.col("source").eqNullSafe(F.col("state_source")))

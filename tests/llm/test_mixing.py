@@ -72,3 +72,28 @@ def test_odd_rows(spark, odd):
 
 def test_empty(spark, empty):
     assert mixing.repeated(empty).collect() == []
+
+
+def _off(spark, rows):
+    """{source: (gap, target)} of documents (doc_id, source, words)."""
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n int").select(
+        "doc_id", "source", F.expr("trim(repeat('w ', n))").alias("text"))
+    got = mixing.mix(docs).groupBy("row.source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"))
+    return {r.source: (r.taken - r.target, r.target) for r in got.collect()}
+
+
+def test_long_tailed_source(spark):
+    # "a" is cut to a sixth: the many short documents and few long ones need a lambda far from the first guess,
+    # and one section of lambda holds many steps of the long ones.
+    rows = [(i, "a", 2 + i % 5) for i in range(20000)] + [(50000 + i, "a", 3000 + i % 97) for i in range(100)]
+    rows += [(100000 + i, s, 40 + i % 30) for s in "bc" for i in range(40)]
+    for s, (gap, target) in _off(spark, rows).items():
+        assert abs(gap) <= max(1e-3 * target, 1), (s, gap, target)
+
+
+def test_gap_of_a_long_document(spark):
+    # The target of "z" lies between two copies of its long document: short ones make up for the gap.
+    rows = [(i, "z", 5) for i in range(3000)] + [(9000, "z", 20000)]
+    rows += [(100000 + 1000 * k + i, s, 50) for k, s in enumerate("xy") for i in range(550)]
+    for s, (gap, target) in _off(spark, rows).items():
+        assert abs(gap) <= max(1e-3 * target, 50), (s, gap, target)
