@@ -355,6 +355,15 @@ _EXTRA = ("<h2>Job Requirements</h2><ul><li>first {k}</li><li><b>se</b>cond</li>
           "<p>too short</p><h3>Benefits</h3><ol><li>offered {k}</li></ol><p>a dropped paragraph below the benefits</p>")
 
 
+def _headed(spark, sf):
+    """Pages with lists above, sections of requirements and benefits below their own text."""
+    k = F.col("page_id").cast("string")
+    extra = F.replace(F.lit(_EXTRA), F.lit("{k}"), k)
+    html = F.replace(F.replace(F.col("html"), F.lit("</article>"), F.concat(extra, F.lit("</article>"))),
+                     F.lit("</h1>"), F.concat(F.lit("</h1><ul><li>top "), k, F.lit("</li></ul>")))
+    return pages(spark, sf).select("page_id", html.alias("html"))
+
+
 @query("section_by_heading", f"""WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body FROM pages),
 b AS (SELECT page_id, array_to_string({_nodes("regexp_extract(body, '(?s)<h1>(.*?)</h1>', 1)")}, '') AS head,
   list_filter(list_transform(string_split(body, '<p>')[2:], lambda p: array_to_string({_nodes('p')}, '')), lambda t: length(t) > 20) AS paras FROM a)
@@ -362,12 +371,18 @@ SELECT page_id, left(array_to_string(list_concat(['top ' || page_id], CASE WHEN
     ['offered ' || page_id]), chr(10)), 5000) AS description,
   array_to_string(['first ' || page_id, 'second', 'a paragraph of more than twenty'], chr(10)) AS requirements FROM b""")
 def section_by_heading(spark, sf):
-    k = F.col("page_id").cast("string")
-    extra = F.replace(F.lit(_EXTRA), F.lit("{k}"), k)
-    html = F.replace(F.replace(F.col("html"), F.lit("</article>"), F.concat(extra, F.lit("</article>"))),
-                     F.lit("</h1>"), F.concat(F.lit("</h1><ul><li>top "), k, F.lit("</li></ul>")))
-    changed = pages(spark, sf).select("page_id", html.alias("html"))
-    return details.page_sections(changed, _HEADINGS, ["page_id"], (5000, 3000))
+    return details.page_sections(_headed(spark, sf), _HEADINGS, ["page_id"], (5000, 3000))
+
+
+@query("section_by_heading_whole", f"""WITH p AS (SELECT page_id, regexp_replace(html, '&amp;?', '&amp;', 'g') AS html FROM pages),
+a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body FROM p),
+b AS (SELECT page_id, array_to_string({_nodes("regexp_extract(body, '(?s)<h1>(.*?)</h1>', 1)")}, '') AS head,
+  list_filter(list_transform(string_split(body, '<p>')[2:], lambda p: array_to_string({_nodes('p')}, '')), lambda t: length(t) > 20) AS paras FROM a)
+SELECT page_id, array_to_string(list_concat(['top ' || page_id], CASE WHEN contains(lower(head), 'a') OR head = '' THEN paras ELSE [] END,
+    ['offered ' || page_id]), chr(10)) AS description,
+  array_to_string(['first ' || page_id, 'second', 'a paragraph of more than twenty'], chr(10)) AS requirements FROM b""")
+def section_by_heading_whole(spark, sf):
+    return details.page_sections(_headed(spark, sf), _HEADINGS, ["page_id"])
 
 
 _ARTICLE = "regexp_extract(html, '(?s)</h1>(.*?)</article>', 1)"
