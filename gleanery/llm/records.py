@@ -83,14 +83,16 @@ class _WordIds:
 
     Most new words are Latin-1 letters between printable ASCII characters: their
     pieces are known without the normaliser and the splitter, and go to the
-    tokenizer's model directly. All others take the tokenizer's whole way.
+    tokenizer's model directly. All others take the tokenizer's whole way. With
+    literal, special tokens spelt out in a text are split like other text, else
+    they get their own id, as in the library.
     """
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, literal: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model.decode())
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
         self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -132,7 +134,7 @@ class _WordIds:
 def _word_ids(model: bytes, width: str) -> _WordIds:
     key = (zlib.crc32(model), len(model), width)
     if key not in _TOKENIZERS:
-        _TOKENIZERS[key] = _WordIds(model)
+        _TOKENIZERS[key] = _WordIds(model, literal=False)
     return _TOKENIZERS[key]
 
 

@@ -89,3 +89,15 @@ def test_damage_is_seen(spark, odd, tmp_path):
 def test_empty(spark, empty, tmp_path):
     records.write(empty, str(tmp_path / "out"), PATH)
     assert records.digests(spark, str(tmp_path / "out")).collect() == []
+
+
+def test_special_tokens_have_their_own_id(spark, tmp_path):
+    library = Tokenizer.from_file(PATH)
+    texts = ["end of text <|endoftext|> again <|startoftext|>x", "a<|endoftext|>b", "<|ENDOFTEXT|> <|end", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    records.write(docs, str(tmp_path / "out"), PATH, shards=2)
+    ids = [library.encode(t, add_special_tokens=False).ids + [records.END_ID] for t in texts]
+    assert 49407 in ids[0] and 49406 in ids[0]
+    got = records.digests(spark, str(tmp_path / "out")).orderBy("doc_id").collect()
+    assert [(r.start, r.n_tokens, r.ids_crc32) for r in got] == [
+        (sum(map(len, ids[:k])), len(v), zlib.crc32(np.array(v, "<u4").tobytes())) for k, v in enumerate(ids)]
