@@ -1,5 +1,6 @@
 """Scans, browsing, lifecycle, cleaning and monitoring over the job view."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.fixtures import EVENTS_AS_OF, JOBS_AS_OF, table, view, with_views
@@ -7,6 +8,7 @@ from checks.registry import query
 from gleanery import vocab
 from gleanery.functions import text as tx
 from gleanery.operators import catalog, clean, lifecycle, monitor
+from gleanery.session import work_dir
 
 J = with_views("jobs")
 L = with_views("scrape_logs")
@@ -304,6 +306,25 @@ def sort_jobs(spark, sf):
     return out
 
 
+@query("sort_jobs_all", f"{J}, {VISIBLE} " + " UNION ALL ".join(
+    f"SELECT '{c} {o}' AS ordering, id, row_number() OVER (ORDER BY {_order_sql(c, o)}) AS rank FROM visible"
+    for c, o in _ORDERS))
+def sort_jobs_all(spark, sf):
+    base, path = shown(spark, sf), work_dir(spark)
+    for c, o in _ORDERS:
+        # The place grows with the order: partitions first, then rows in them.
+        catalog.sort_jobs(base, c, o).select(
+            F.lit(f"{c} {o}").alias("ordering"), "id", F.monotonically_increasing_id().alias("place")
+        ).write.mode("append").parquet(path)
+    placed = spark.read.parquet(path).withColumn("part", F.shiftright("place", 33))
+    parts = placed.groupBy("ordering", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("ordering").orderBy("part")
+    starts = parts.withColumn("start", F.sum("n").over(before) - F.col("n"))
+    inside = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(starts, ["ordering", "part"]).select(
+        "ordering", "id", (F.col("start") + inside + 1).alias("rank"))
+
+
 @query("browse_page", f"""{J}, {VISIBLE} SELECT id, title, company, location, source, scraped_at
   FROM visible ORDER BY scraped_at DESC NULLS FIRST, id LIMIT 20 OFFSET 40""")
 def browse_page(spark, sf):

@@ -198,6 +198,14 @@ def snapshot_roundtrip(spark, sf):
     return stored.where("source = 'indeed'").select("id", "title", "source", "scraped_at")
 
 
+@query("snapshot_roundtrip_all", f"""{with_views('jobs')} SELECT id, title, source, scraped_at FROM jobs""")
+def snapshot_roundtrip_all(spark, sf):
+    path = work_dir(spark)
+    rows = tables.evolve(view(spark, sf, "jobs"), schema.JOBS).select(*schema.JOBS.fieldNames())
+    tables.write_snapshot(rows, path)
+    return tables.read_table(spark, "jobs", path).select("id", "title", "source", "scraped_at")
+
+
 @query("clean_documents", """SELECT doc_id, nullif(trim(regexp_replace(regexp_replace(replace(replace(replace(text,
   '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '<[^>]+>', ' ', 'g'),
   '[\\s\\x{0b}\\x{a0}\\x{85}\\x{2028}\\x{2029}]+', ' ', 'g')), '') AS text FROM documents""")
