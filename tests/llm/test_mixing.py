@@ -83,8 +83,8 @@ def _off(spark, rows):
 
 
 def test_long_tailed_source(spark):
-    # "a" is cut to a sixth: the many short documents and few long ones need a lambda far from the first guess,
-    # and one section of lambda holds many steps of the long ones.
+    # "b" and "c" stop at their caps and "a" gives up a few hundredths, among many short documents and few long ones:
+    # one section of lambda holds the steps of several long ones.
     rows = [(i, "a", 2 + i % 5) for i in range(20000)] + [(50000 + i, "a", 3000 + i % 97) for i in range(100)]
     rows += [(100000 + i, s, 40 + i % 30) for s in "bc" for i in range(40)]
     for s, (gap, target) in _off(spark, rows).items():
