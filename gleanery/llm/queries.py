@@ -1,8 +1,8 @@
 """The registered queries of the llm operators, and SQL where it can express them.
 
 Without SQL: op2 (iterations), op3 (byte-level BPE), op4 (XXH64 and reachability),
-op5 and op6 (trained models), op8 (a tokenizer's ids) and op9 (spans by
-overlapping patterns); they are tested against brute force, round trips or
+op5 and op6 (trained models), op8 (a tokenizer's ids), op9 (spans by overlapping
+patterns) and op13 (every string of 100 bytes); they are tested against brute force, round trips or
 held-out labels.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm import (bpe, covertree, linededup, mixing, oracles, passages, records, rules,
-                          secret_scan, simhash, toxicity)
+                          secret_scan, simhash, suffixdedup, toxicity)
 from gleanery.llm.common import shared_folder, table
 
 QUERIES, ORACLES = {}, {}
@@ -88,3 +88,10 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_cover_tree", oracles.TOP_K)
 def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op13_suffix_dedup")
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixdedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
