@@ -54,3 +54,28 @@ scored AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d
   FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20"""
+
+#: All phrases of up to five words of every piece; cuts by joins with the counts of both parts.
+COLLOCATIONS = """WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+worded AS MATERIALIZED (SELECT lang, row_number() OVER () AS id, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+each AS (SELECT lang, id, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM worded),
+led AS MATERIALIZED (SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4, lead(w1, 4) OVER p AS w5
+  FROM each WINDOW p AS (PARTITION BY id ORDER BY i)),
+grams AS (SELECT lang, 1 AS k, w1 AS phrase FROM led UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM led WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, concat_ws(' ', w1, w2, w3) FROM led WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, concat_ws(' ', w1, w2, w3, w4) FROM led WHERE w4 IS NOT NULL
+  UNION ALL SELECT lang, 5, concat_ws(' ', w1, w2, w3, w4, w5) FROM led WHERE w5 IS NOT NULL),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+counts AS MATERIALIZED (SELECT lang, phrase, k, count(*) AS f, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, phrase, k HAVING count(*) >= 100),
+cuts AS (SELECT c.lang, c.phrase, c.f AS a, j, l.f AS l, r.f AS r, n,
+    CAST((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM counts c JOIN (SELECT unnest([1, 2, 3, 4]) AS j) ON j < c.k JOIN totals t ON t.lang = c.lang
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:j], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_ AS (SELECT DISTINCT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, f FROM counts,
+  (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(2, 5)) AS m) WHERE m < k AND i + m - 1 <= k)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest o WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = o.lang AND i.phrase = o.phrase AND 100 * i.f >= 100 * o.a)
+QUALIFY rank <= 2000"""

@@ -2,8 +2,8 @@
 
 Without SQL: op2 (iterations), op3 (byte-level BPE), op4 (XXH64 and reachability),
 op5 and op6 (trained models), op8 (a tokenizer's ids), op9 (spans by overlapping
-patterns) and op13 (every string of 100 bytes); they are tested against brute force, round trips or
-held-out labels.
+patterns), op12 (cheapest edits) and op13 (every string of 100 bytes); they are
+tested against brute force, round trips or held-out labels.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import (bpe, covertree, linededup, mixing, oracles, passages, records, rules,
+from gleanery.llm import (bpe, collocations, covertree, dialogue, linededup, mixing, oracles, passages, records, rules,
                           secret_scan, simhash, suffixdedup, toxicity)
 from gleanery.llm.common import shared_folder, table
 
@@ -90,6 +90,16 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query("op11_collocations", oracles.COLLOCATIONS)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir).select("lang", "text"))
+
+
+@query("op12_dialogue_repair")
+def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.report(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_suffix_dedup")
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffixdedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
