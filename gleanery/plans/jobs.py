@@ -1,5 +1,6 @@
 """The scheduled jobs as Spark plans: ingest, refresh and alerts."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,7 +12,8 @@ from gleanery.functions.text import blank_to_null
 from gleanery.operators import clean, lifecycle, match, merge
 from gleanery.session import work_dir
 from gleanery.sources import registry, tables
-from gleanery.sources.postings import accepted, quarantine
+from gleanery.sources.postings import UNREADABLE, accepted, quarantine
+from gleanery.sources.snapshots import Table, retried
 
 #: Pages of several lists may share a number, so the row's content decides last.
 ORDER = ["page", "pos", "content"]
@@ -37,16 +39,17 @@ def stored_shape(rows: DataFrame, as_of: datetime) -> DataFrame:
 
 def source_runs(spark: SparkSession, raw: DataFrame, counts: DataFrame,
                 sources: list[str] | None) -> DataFrame:
-    """One row per registered source of a run, whatever tags its rows carry and
-    also if it found nothing; a source all of whose pages were unreadable has failed."""
+    """One row per registered source of a run, whatever tags its rows carry and also
+    if it found nothing; a source has failed if all it was given was unreadable."""
     names = spark.createDataFrame([(s.name,) for s in registry.chosen(sources)], "source string")
     seen = raw.groupBy("run").agg(
         F.count_if(F.col("reject").isNull()).alias("jobs_found"),
-        F.count_if(F.col("reject") == "unparseable page").alias("broken"))
+        *[F.count_if(F.col("reject") == reason).alias(name) for reason, name in UNREADABLE.items()])
     runs = names.join(seen, F.col("source") == F.col("run"), "left").drop("run").join(
         counts, F.col("source") == F.col("run"), "left").drop("run")
-    failed = (F.col("broken") > 0) & (F.col("jobs_found") == 0)
-    return runs.withColumn("error", F.when(failed, F.concat(F.col("broken"), F.lit(" unparseable pages"))))
+    broken = [F.when(F.col(name) > 0, F.concat_ws(" ", F.col(name), F.lit(name))) for name in UNREADABLE.values()]
+    error = F.concat_ws(", ", *broken)
+    return runs.withColumn("error", F.when((error != "") & (F.col("jobs_found") == 0), error)).drop(*UNREADABLE.values())
 
 
 def ingest(spark: SparkSession, landed: registry.Landed, target: DataFrame, as_of: datetime, *,
@@ -86,6 +89,34 @@ def full_refresh(spark: SparkSession, landed: registry.Landed, target: DataFrame
     return Ingested(expired, run.log, run.quarantine)
 
 
+def refresh_stored(spark: SparkSession, landed: registry.Landed, jobs: Table, log: Table,
+                   clock: Callable[[], datetime], **options) -> Ingested:
+    """A full refresh of stored tables, logged from its start to its end.
+
+    Every source is logged as running before anything is read. The new table takes
+    the place of the old one in one step, and only if it was written to the end;
+    then the runs are closed with the time of their end, as failed with the error if
+    there was one. Rows of a run are appended, never changed: `tables.latest_runs`
+    reads the log.
+    """
+    plan = options.get("plan")
+    names = None if plan is None else [row[0] for row in plan]
+    started = clock()
+    runs = spark.createDataFrame([(s.name,) for s in registry.chosen(names)], "source string")
+    retried(lambda: log.append(tables.open_log(runs, started)))
+    try:
+        run = full_refresh(spark, landed, jobs.read(), started, **options)
+        retried(lambda: jobs.switch(run.jobs, partition="source", order="scraped_at"))
+    except Exception as failure:
+        nothing = [F.lit(None).cast("bigint").alias(c) for c in ("jobs_found", "jobs_new", "jobs_updated")]
+        failed = runs.select("source", *nothing, F.lit(f"{type(failure).__name__}: {failure}").alias("error"))
+        retried(lambda: log.append(tables.run_log(failed, started, clock())))
+        raise
+    closed = run.log.withColumn("finished_at", lifecycle.at(clock()))
+    retried(lambda: log.append(closed))
+    return Ingested(jobs.read(), closed, run.quarantine)
+
+
 def quick_refresh(spark: SparkSession, landed: registry.Landed, target: DataFrame, as_of: datetime,
                   staging: str | None = None) -> Ingested:
     return full_refresh(spark, landed, target, as_of, plan=vocab.QUICK_PLAN, staging=staging)

@@ -12,6 +12,8 @@ from gleanery import schema
 from gleanery.functions.text import blank_to_null, present
 
 PLACE = ["page", "pos"]
+#: Reasons that stand for a whole page or body, not for one posting of it.
+UNREADABLE = {"unparseable page": "unparseable pages", "malformed body": "malformed bodies"}
 COLUMNS = schema.RAW_POSTING.fieldNames()
 
 

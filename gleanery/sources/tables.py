@@ -81,6 +81,27 @@ def open_log(runs: DataFrame, started_at: datetime) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("finished_at"))
 
 
+def latest_runs(log: DataFrame) -> DataFrame:
+    """One row per run of an appended log: its closing row, or the row it was opened with.
+
+    A run that was closed twice, as after a failure between writing and noting it,
+    counts with its later end.
+    """
+    closed = F.struct(F.col("finished_at").isNotNull().alias("c"), F.col("finished_at").alias("t"))
+    row = F.struct(*[c for c in log.columns if c not in ("source", "started_at")])
+    return log.groupBy("source", "started_at").agg(F.max_by(row, closed).alias("r")).select(*[
+        F.col(c) if c in ("source", "started_at") else F.col(f"r.{c}").alias(c) for c in log.columns])
+
+
+def run_totals(log: DataFrame) -> DataFrame:
+    """Totals per start time of the runs as of their last rows: sources by status, and jobs."""
+    by_status = [F.count_if(F.col("status") == s).alias(s) for s in ("success", "empty", "failed", "running")]
+    return log.groupBy("started_at").agg(
+        F.count("*").alias("sources"), *by_status,
+        *[F.sum(c).alias(c) for c in ("jobs_found", "jobs_new", "jobs_updated")],
+        F.max("finished_at").alias("finished_at"))
+
+
 def manual_postings(requests: DataFrame, as_of: datetime) -> DataFrame:
     """Manually entered postings: source manual, link equal to the apply link,
     unreadable deadline NULL, posted and stamped now."""

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gleanery import schema
 from gleanery.operators import merge
+from gleanery.sources.snapshots import Table, retried
 
 
 def file_stream(spark: SparkSession, path: str, fields: T.StructType, pattern: str = "*.parquet",
@@ -33,10 +34,32 @@ def upsert_stream(rows: DataFrame, out: str, checkpoint: str, order: list[str])
     last, first = merge.policy([c for c in rows.columns if c in schema.LAST_WINS + schema.FIRST_WINS])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        keyed, loose = merge.split_keyed(batch)
-        merge.key_states(keyed, order, last, first).write.mode("overwrite").parquet(
-            f"{out}/states/batch={batch_id}")
-        loose.write.mode("overwrite").parquet(f"{out}/loose/batch={batch_id}")
+        batch.persist()  # two writes of one batch
+        try:
+            keyed, loose = merge.split_keyed(batch)
+            merge.key_states(keyed, order, last, first).write.mode("overwrite").parquet(
+                f"{out}/states/batch={batch_id}")
+            loose.write.mode("overwrite").parquet(f"{out}/loose/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def upsert_stored(rows: DataFrame, table: Table, checkpoint: str, order: list[str], *,
+                  stream: str = "stream", compact_after: int | None = None,
+                  partition: str | None = None) -> StreamingQuery:
+    """Merge every micro-batch into a stored table, as `merge.merge_upsert` would one after the other.
+
+    The table notes the last batch of each stream in the version that holds it, so a
+    batch replayed after a failure counts once. Readers see the table before or after a
+    batch. After `compact_after` batches the states are folded into the base.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        version = retried(lambda: table.upsert(batch, order, stream, batch_id))
+        if compact_after and len(version.states) >= compact_after:
+            retried(lambda: table.compact(partition))
 
     return (rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
