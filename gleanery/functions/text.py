@@ -1,11 +1,13 @@
 """Text and category normalisation as Column builders."""
 
 import html
+import json
+import zlib
+from functools import lru_cache
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gleanery import vocab
 
@@ -84,28 +86,82 @@ def word_pattern(words: list[str]) -> str:
     return rf"(?<![\w])(?:{quoted})(?![\w])"
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_rare(s: pd.Series) -> pd.Series:
-    return s.map(html.unescape, na_action="ignore")
+#: Slots that the names of references are dealt to, about one name in two of them.
+_SLOTS = 4096
+#: The longest name that may stand without its semicolon.
+_OPEN_NAME = max(len(n) for n in html5 if not n.endswith(";"))
+_REFERENCE = r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+@lru_cache(1)
+def _name_table() -> str:
+    """The named references by slot, as JSON: one literal that is read once per plan."""
+    slots = [[] for _ in range(_SLOTS)]
+    for name, text in html5.items():
+        slots[zlib.crc32(name.encode()) % _SLOTS].append({"n": name, "t": text})
+    return json.dumps(slots, ensure_ascii=False, separators=(",", ":"))
+
+
+def _named(name: Column) -> Column:
+    """What a named reference (without its `&`) stands for; NULL for none."""
+    slots = F.from_json(F.lit(_name_table()), "array<array<struct<n: string, t: string>>>")
+    slot = F.get(slots, F.pmod(F.crc32(name.cast("binary")), F.lit(_SLOTS)).cast("int"))
+    return F.get(F.filter(slot, lambda e: e["n"] == name), F.lit(0))["t"]
+
+
+def _open_name(head: Column) -> Column:
+    """The longest name without semicolon that `head` begins with, replaced; `head` as it was if there is none."""
+    sizes = F.filter(F.sequence(F.lit(_OPEN_NAME), F.lit(2)), lambda n: n < F.char_length(head))
+    found = F.get(F.filter(F.transform(sizes, lambda n: F.concat(
+        _named(F.left(head, n)), F.substring(head, n + 1, F.char_length(head)))), lambda t: t.isNotNull()), F.lit(0))
+    return F.coalesce(found, F.concat(F.lit("&"), head))
+
+
+def _numbered(head: Column) -> Column:
+    """The character of `#123;` or `#x7b;`; what is no character follows the rules for browsers."""
+    digits = F.rtrim(F.ltrim(F.regexp_replace(head, "^#[xX]?", ""), F.lit("0")), F.lit(";"))
+    base = F.when(head.rlike("^#[xX]"), 16).otherwise(10)
+    # The first codes stand for what the standard library says they do.
+    low = F.array(*[F.lit(html.unescape(f"&#{n};")) for n in range(0xA0)])
+
+    def character(n: Column) -> Column:
+        wide = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return (F.when(n < 0xA0, F.get(low, n.cast("int")))
+                .when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd")
+                .when(n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE), "")
+                .otherwise(wide))
+
+    number = F.when(F.length(digits) > 7, 0x110000).when(digits == "", 0).otherwise(F.when(
+        base == 16, F.conv(digits, 16, 10)).otherwise(digits).cast("long"))
+    return let(number.cast("long"), character)
+
+
+def _resolved(part: Column) -> Column:
+    """A text that followed an ampersand, its reference replaced."""
+    def with_head(head: Column) -> Column:
+        meant = F.when(F.startswith(head, F.lit("#")), _numbered(head)).otherwise(
+            F.coalesce(_named(head), _open_name(head)))
+        return F.when(head == "", F.concat(F.lit("&"), part)).otherwise(
+            F.concat(meant, F.substring(part, F.char_length(head) + 1, F.char_length(part))))
+    return let(F.regexp_extract(part, _REFERENCE, 0), with_head)
 
 
 def unescape_html(c: Column) -> Column:
-    """Character references to characters.
+    """Character references to characters, as the standard library reads them.
 
-    The common references are replaced natively (`&amp;` last, which equals one
-    pass). Only texts holding another possible reference reach the Arrow UDF.
+    The common references are replaced at once (`&amp;` last, which equals one pass).
+    Texts with another possible reference are cut at the ampersands; names are found in
+    a constant table by their checksum, unterminated ones by their longest known prefix.
     """
     common = "|".join(e[1:-1] for e in _COMMON_ENTITIES)
     rest = F.regexp_replace(c, f"&(?:{common});", "")
-    rare = c.contains("&") & rest.rlike(r"&[^\t\n\f <&;]")
+    rare = rest.rlike(r"&[^\t\n\f <&;]")
     native = c
     for entity, char in _COMMON_ENTITIES.items():
         native = F.replace(native, F.lit(entity), F.lit(char))
-    return (
-        F.when(~c.contains("&"), c)
-        .when(rare, _unescape_rare(F.when(rare, c)))
-        .otherwise(native)
-    )
+    parts = F.split(c, "&")
+    every = F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(_resolved(p))), "")
+    return F.when(~c.contains("&"), c).when(rare, every).otherwise(native)
 
 
 def squeeze(c: Column) -> Column:
