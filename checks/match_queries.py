@@ -73,6 +73,26 @@ def document_listed_hits(spark, sf):
     return match.keyword_hits(*document_words(spark, sf), columns=["doc_id"])
 
 
+_MANY = """people AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'engineer, data' ELSE
+  lower(replace(p.p_name, ' ', ', ')) || ', k' || (o_orderkey % 10000) END AS job_interests
+  FROM orders JOIN part p ON p.p_partkey = o_orderkey % (SELECT max(p_partkey) FROM part) + 1)"""
+_SKEWED = _TOKENS.replace("FROM users", "FROM people")
+
+
+@query("user_recommendations_skewed", f"""{with_views('jobs')}, {_MANY}, {_SKEWED}, {_HITS}, {_TOP}
+SELECT user_id, rank, job_id FROM top""")
+def user_recommendations_skewed(spark, sf):
+    """One interest held by a third of all users, thousands of keywords, the newest jobs first."""
+    orders, part = table(spark, sf, "orders"), table(spark, sf, "part")
+    last = part.agg(F.max("p_partkey").alias("n")).scalar()
+    words = F.concat(F.lower(F.replace("p_name", F.lit(" "), F.lit(", "))), F.lit(", k"),
+                     (F.col("o_orderkey") % 10000).cast("string"))
+    users = orders.withColumn("p_partkey", F.col("o_orderkey") % last + 1).join(part, "p_partkey").select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderkey") % 3 == 0, "engineer, data").otherwise(words).alias("job_interests"))
+    return match.user_top_matches(view(spark, sf, "jobs"), users, slices=(0.05,))
+
+
 @query("user_top_matches", f"{JU}, {_TOKENS}, {_HITS}, {_TOP} SELECT user_id, rank, job_id FROM top")
 def user_top_matches(spark, sf):
     return match.user_top_matches(*both(spark, sf))

@@ -1,10 +1,10 @@
 """Whole jobs, table writes and streams."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from checks import fixtures
+from checks import fixtures, merge_queries
 from checks.fixtures import JOBS_AS_OF, table, view, with_views
 from checks.registry import query
 from checks.source_queries import _ADZUNA, _CARD_SQL, _REMOTIVE, some_landed
@@ -15,6 +15,7 @@ from gleanery.session import work_dir
 from gleanery.sources import registry, tables
 from gleanery.sources.registry import Landed
 from gleanery.sources.postings import union_all
+from gleanery.sources.snapshots import Table
 from gleanery.streaming import incremental as inc
 
 NOW = datetime(2024, 2, 1)
@@ -242,6 +243,87 @@ def stream_upsert(spark, sf):
     return inc.current_rows(spark, out, STORED)
 
 
+@query("stream_upsert_stored", f"{O} {merge_queries._MERGED}")
+def stream_upsert_stored(spark, sf):
+    """Three micro-batches, one of them replayed, merged into a stored table."""
+    target, late = merge_queries.halves(spark, sf)
+    stored = Table(spark, work_dir(spark))
+    stored.switch(target, partition="source", order="scraped_at")
+    landed, checkpoint = work_dir(spark), work_dir(spark)
+    days = [f"ts < {merge_queries.CUT} + INTERVAL 4 DAYS",
+            f"ts >= {merge_queries.CUT} + INTERVAL 4 DAYS AND ts < {merge_queries.CUT} + INTERVAL 8 DAYS",
+            f"ts >= {merge_queries.CUT} + INTERVAL 8 DAYS"]
+    for number, when in enumerate(days):
+        batch = late.where(when)
+        batch.coalesce(1).write.mode("append").parquet(landed)
+        stream = inc.file_stream(spark, landed, late.schema)
+        inc.upsert_stored(stream, stored, checkpoint, merge_queries.ORDER).awaitTermination()
+        stored.upsert(batch, merge_queries.ORDER, "stream", number)
+    return stored.read().select(*merge_queries.STORED)
+
+
+@query("snapshot_switch", f"""{with_views('jobs')} SELECT 'before' AS reader, id, source, title FROM jobs
+UNION ALL SELECT 'after', id, source, upper(title) FROM jobs WHERE id % 2 = 0
+UNION ALL SELECT 'appended', id, source, title FROM jobs WHERE id % 3 = 0
+UNION ALL SELECT 'appended', id, source, upper(title) FROM jobs WHERE id % 2 = 0""")
+def snapshot_switch(spark, sf):
+    """Readers of three versions of a table, all read after the last of them was made."""
+    rows = view(spark, sf, "jobs").select("id", "source", "title")
+    stored = Table(spark, work_dir(spark))
+    stored.switch(rows, partition="source")
+    before = stored.read()
+    stored.switch(before.where("id % 2 = 0").withColumn("title", F.upper("title")), partition="source")
+    after = stored.read()
+    stored.append(rows.where("id % 3 = 0"))
+    readers = {"before": before, "after": after, "appended": stored.read()}
+    return union_all([df.select(F.lit(name).alias("reader"), "id", "source", "title") for name, df in readers.items()])
+
+
+@query("run_log_closed", """SELECT event_type AS source, TIMESTAMP '2024-02-01' AS started_at,
+  CASE WHEN count(*) % 2 = 0 THEN 'success' ELSE 'running' END AS status,
+  CAST(CASE WHEN count(*) % 2 = 0 THEN count(*) ELSE 0 END AS INTEGER) AS jobs_found,
+  CASE WHEN count(*) % 2 = 0 THEN TIMESTAMP '2024-02-01 00:07:00' END AS finished_at FROM events GROUP BY event_type""")
+def run_log_closed(spark, sf):
+    """An appended log: every run is opened, some are closed, one of them twice."""
+    runs = table(spark, sf, "events").groupBy(F.col("event_type").alias("source")).agg(
+        F.count("*").alias("jobs_found"), *[F.lit(None).cast("bigint").alias(c) for c in ("jobs_new", "jobs_updated")],
+        F.lit(None).cast("string").alias("error"))
+    log, ended = Table(spark, work_dir(spark)), runs.where("jobs_found % 2 = 0")
+    log.append(tables.open_log(runs, NOW))
+    for minutes in (3, 7):
+        log.append(tables.run_log(ended, NOW, NOW + timedelta(minutes=minutes)))
+    return tables.latest_runs(log.read()).select("source", "started_at", "status", "jobs_found", "finished_at")
+
+
+@query("run_log_failed_inputs", f"""SELECT 'adzuna' AS source, 'failed' AS status, 0 AS jobs_found,
+  count(DISTINCT floor(p_partkey / 20)) || ' malformed bodies' AS error_message FROM part
+UNION ALL SELECT 'remotive', 'success', CAST(count(*) AS INTEGER), NULL FROM ({_REMOTIVE})
+UNION ALL SELECT 'indeed', 'failed', 0, count(*) || ' unparseable pages' FROM pages""")
+def run_log_failed_inputs(spark, sf):
+    """Sources all of whose bodies or pages are unreadable have failed; one without bad input has not."""
+    found = some_landed(spark, sf)
+    bodies = found.payloads.withColumn("body", F.when(F.col("source") == "adzuna", F.left("body", F.lit(9))).otherwise(F.col("body")))
+    pages = table(spark, sf, "pages").select(
+        F.lit("indeed").alias("source"), F.col("page_id").cast("int").alias("page"), F.lit(None).cast("string").alias("html"))
+    run = plans.ingest(spark, Landed(pages=pages, payloads=bodies), stored_jobs(spark, sf), NOW,
+                       sources=["adzuna", "remotive", "indeed"])
+    return run.log.select("source", "status", "jobs_found", "error_message")
+
+
+@query("run_log_totals", """SELECT TIMESTAMP '2024-02-01' AS started_at, count(*) AS sources,
+  count(*) FILTER (n % 2 = 0) AS success, count(*) FILTER (n % 2 = 1) AS failed,
+  CAST(sum(CASE WHEN n % 2 = 0 THEN n ELSE 0 END) AS BIGINT) AS jobs_found
+FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)""")
+def run_log_totals(spark, sf):
+    """Totals of a run over all sources."""
+    n = F.count("*")
+    runs = table(spark, sf, "events").groupBy(F.col("event_type").alias("source")).agg(
+        F.when(n % 2 == 0, n).alias("jobs_found"), F.when(n % 2 == 1, "lost").alias("error"),
+        *[F.lit(None).cast("bigint").alias(c) for c in ("jobs_new", "jobs_updated")])
+    return tables.run_totals(tables.run_log(runs, NOW, NOW)).select(
+        "started_at", "sources", "success", "failed", "jobs_found")
+
+
 @query("stream_daily", f"""{O} SELECT date_trunc('day', ts) AS time, source, count(*) AS count FROM obs GROUP BY 1, 2""")
 def stream_daily(spark, sf):
     out = work_dir(spark)

@@ -73,3 +73,56 @@ def test_tokens(spark):
     df = spark.createDataFrame([("Python, SQL  ai",), (" AI ",), ("a b",), ("",), (None,)], "s string")
     got = [r.t for r in df.select(match.interest_tokens(F.col("s")).alias("t")).collect()]
     assert got == [["python", "sql"], ["ai"], ["a b"], None, None]
+
+
+@pytest.mark.parametrize("slices", [(), (0.1,), (0.02, 0.3)])
+def test_slices_do_not_change_the_best(spark, jobs, slices):
+    _, df = jobs
+    kws = spark.createDataFrame([(k,) for k in KEYWORDS], "keyword string")
+    def best(s):
+        return sorted(tuple(r) for r in match.top_hits(
+            df, kws, columns=["id", "scraped_at"], slices=s).select("keyword", "id").collect())
+    assert best(slices) == best(()) != []
+
+
+def test_old_jobs_are_matched_for_rare_keywords_only(spark):
+    """Of 1,000 jobs a common word fills its five places from the newest tenth."""
+    df = spark.range(1000).select(
+        "id", F.when(F.col("id") == 3, "rare").otherwise("common").alias("title"), F.lit(None).cast("string").alias("description"),
+        F.lit(True).alias("is_active"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("scraped_at"))
+    kws = spark.createDataFrame([("common",), ("rare",)], "keyword string")
+    seen = []
+    real = match.keyword_hits
+    match.keyword_hits = lambda j, k, **o: seen.append((j.count(), sorted(r.keyword for r in k.collect()))) or real(j, k, **o)
+    try:
+        got = match.top_hits(df, kws, columns=["id", "scraped_at"], slices=(0.1,)).collect()
+    finally:
+        match.keyword_hits = real
+    assert sorted(r.id for r in got if r.keyword == "common") == [995, 996, 997, 998, 999]
+    assert [r.id for r in got if r.keyword == "rare"] == [3]
+    assert [k for _, k in seen] == [["common", "rare"], ["rare"]] and seen[0][0] <= 101 and sum(n for n, _ in seen) == 1000
+
+
+def test_keywords_are_looked_up_by_their_rarest_piece(spark):
+    texts = ["the data of the team"] * 50 + ["the zebra of the team"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, _t string").withColumn(
+        "_d", F.lit(None).cast("string"))
+    words = match._words_of(match._identified(df))
+    kws = spark.createDataFrame([("the zebra",), ("team",), ("a%of",), ("none the",)], "keyword string")
+    found = {(r.keyword, r.word) for r in match.word_keywords(words, kws, True).collect()}
+    # "the" and "of" are in every text, "zebra" in one; no text holds "none", so nothing is looked up.
+    assert {w for k, w in found if k == "the zebra"} == {"zebra"}
+    assert {w for k, w in found if k == "team"} == {"team"}
+    assert not [w for k, w in found if k == "none the"]
+    candidates = words.join(match.word_keywords(words, kws, True), "word").where("keyword = 'the zebra'")
+    assert candidates.count() == 1
+
+
+def test_hot_keys_are_dealt_out(spark):
+    rows = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    one = spark.createDataFrame([("hot", 1), ("1", 2), ("none", 3)], "k string, v int")
+    for how, n in (("inner", 2001), ("left", 6000)):
+        got = match.join_hot(rows, one, "k", how)
+        assert got.count() == n and got.where("v IS NOT NULL").count() == 2001
+    dealt = match.join_hot(rows, one, "k")
+    assert "_salt" in dealt._jdf.queryExecution().optimizedPlan().toString()
