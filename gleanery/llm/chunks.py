@@ -59,19 +59,21 @@ class Hasher:
         self.inverse[0] = 1
         np.cumprod(self.inverse, out=self.inverse)
 
-    def at(self, data: np.ndarray, positions: np.ndarray, length: int) -> np.ndarray:
-        """Hashes of data[p:p + length] for the ascending positions; length is below 4096."""
+    def at(self, data: np.ndarray, positions: np.ndarray, length: int | np.ndarray) -> np.ndarray:
+        """Hashes of data[p:p + length] for the ascending positions; lengths, one or many, are below 4096."""
         out = np.empty(len(positions), np.uint64)
-        sums = np.zeros(BLOCK + length + 1, np.uint64)
+        many = isinstance(length, np.ndarray)
+        longest = int(length.max(initial=0)) if many else length
+        sums = np.zeros(BLOCK + longest + 1, np.uint64)
         for base in range(0, len(data), BLOCK):
             a, b = np.searchsorted(positions, (base, base + BLOCK))
             if a == b:
                 continue
-            part = self.numbers[data[base:base + BLOCK + length]]
+            part = self.numbers[data[base:base + BLOCK + longest]]
             part *= self.powers[:len(part)]
             np.cumsum(part, out=sums[1:len(part) + 1])
             p = positions[a:b] - base
-            h = sums[p + length] - sums[p]
+            h = sums[p + (length[a:b] if many else length)] - sums[p]
             h *= self.inverse[p]
             out[a:b] = mixed(h)
         return out

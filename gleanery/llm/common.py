@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Characters between words: space and U+0009 to U+000D; every other code point is part of a word.
 SPACES = " \t\n\u000b\f\r"
+#: Spark drops the shuffle files of a query when the query has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
@@ -60,10 +62,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder: columnar, for what is large or read in parts.
 
-    The table stays until the folder of the application is removed.
+    The table stays until the folder of the application is removed; what was shuffled
+    to make it goes as soon as it is written.
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf, was = df.sparkSession.conf, df.sparkSession.conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, was)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

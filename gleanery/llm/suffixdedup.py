@@ -14,19 +14,22 @@ samples are and the ranks of the sampled suffixes, down to depth LENGTH - d, are
 1. Texts are packed into chunks. Each chunk sends the names (hashes) of its samples'
    first `NAME` (44) bytes, each once; a name found in no other place rules all
    strings out that lean on it, which leaves a small part of the samples.
-2. Suffix buckets: the samples left, with the 56 bytes on either side, are dealt by
-   name. A bucket is sorted alone, a slice of names at a time: once by the suffixes
-   from the sample on, once by what lies before it, read backward, both with the
-   common prefix of neighbours. From these come, for every distance d, the rank of
-   the sample to depth LENGTH - d and the rank of the d bytes before it; the ties that
-   remain are equal strings, and all but the earliest are repeats.
-3. Every chunk sorts its own samples in this way first. Only strings that are the
-   first of their kind in the chunk go to a shuffled bucket, so copies cost nothing.
-4. A name with more than `HOT` samples in all would make one large bucket; its
-   strings are dealt one by one by a 128-bit hash of the whole string instead.
-
-Bytes are compared, not hashes, but for step 4. Memory is bounded by a chunk, a bucket
-of names and `HOT` samples of one name.
+2. What the strings that lean on a sample can reach, 56 bytes on either side of the
+   name, is its context. Chunks send one hash per distinct context. Of samples with
+   equal contexts all but the first repeat it in every string; a name with one context
+   is done. So copies, however many, cost a hash per chunk, and only contexts that
+   differ around a shared name, one sample each, are sorted.
+3. Suffix buckets: these samples are dealt by name with their contexts. A bucket is
+   sorted alone, a slice of names at a time: once by the suffixes from the sample on,
+   once by what lies before it, read backward, both with the common prefix of
+   neighbours. From these come, for every distance d, the rank of the sample to depth
+   LENGTH - d and the rank of the d bytes before it; the ties that remain are equal
+   strings, and all but the earliest are repeats.
+4. A name with more than `HOT` contexts would make one large bucket; its strings are
+   dealt one by one by a 128-bit hash of the whole string instead.
+
+Names and contexts are told apart by more than 96 bits of hash together, strings in buckets by
+their bytes. Memory is bounded by a chunk, a bucket of names and `HOT` contexts.
 """
 
 from __future__ import annotations
@@ -38,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.chunks import CHUNK_BYTES, Hasher, bucketed, next_chunk, ragged
+from gleanery.llm.chunks import BASE, CHUNK_BYTES, Hasher, bucketed, mixed, next_chunk, ragged
+from gleanery.llm.common import written
 
 LENGTH = 100
 #: A perfect difference set. Every remainder modulo 57 but 0 is one difference of two of these.
@@ -51,15 +55,21 @@ SIDE = PERIOD - 1
 BUCKET_BYTES = 8 << 20
 #: Samples sorted at a time; a name is not divided.
 SLICE = 1 << 16
-#: Samples of one name up to which they are dealt by it.
+#: Contexts of one name up to which they are dealt by it.
 HOT = 100_000
 
-_META = np.dtype([("id", "<i8"), ("hash", "<u8"), ("chunk", "<i8"), ("doc", "<u4"), ("at", "<u4"),
-                  ("member", "<u4"), ("some", "u1"), ("left", "u1"), ("right", "u1")])
+#: A text's place in the order of texts.
+_DOC = np.dtype([("id", "<i8"), ("hash", "<u8"), ("some", "u1"), ("doc", "<u4")])
+#: What becomes of a context: its strings repeat an earlier sample's, are sorted with its bucket, or are dealt one by one.
+REPEATED, SORTED, SINGLE = 1, 2, 3
+#: What is sent about a sample besides its bytes. As columns, which compress better than rows.
+_SAMPLE = {"doc": "<u4", "at": "<u4", "member": "<u4", "left": "u1", "right": "u1"}
 _PACKED = "chunk long, ids array<long>, hashes array<long>, sizes array<long>, data binary"
-_NAMES = "bucket int, chunk long, names binary, often binary"
-_SHARED = "chunk long, bucket int, shared binary, hot binary"
-_DEALT = "bucket int, chunk long, kind int, a binary, b binary"
+_NAMES = "bucket int, chunk long, names binary"
+_SHARED = "chunk long, bucket int, shared binary"
+_CONTEXTS = "bucket int, chunk long, names binary, contexts binary, doc binary, docs binary"
+_STATES = "chunk long, bucket int, names binary, states binary"
+_DEALT = "bucket int, chunk long, kind int, bytes binary, samples binary, docs binary"
 _MASKS = "chunk long, kind int, members binary, masks binary"
 _RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, stop: long>>, kept binary"
 
@@ -111,6 +121,12 @@ class _Chunk:
         self.rank = np.empty(len(self.ids), np.int64)
         self.rank[np.lexsort((np.arange(len(self.ids)), self.hashes, self.ids, self.some))] = np.arange(len(self.ids))
 
+    def places(self, docs: np.ndarray) -> bytes:
+        """What orders these texts."""
+        out = np.zeros(len(docs), _DOC)
+        out["id"], out["hash"], out["some"], out["doc"] = self.ids[docs], self.hashes[docs], self.some[docs], docs
+        return out.tobytes()
+
     def samples(self) -> tuple[np.ndarray, np.ndarray]:
         """Where samples lie that a string can lean on, ascending, and the texts they are in."""
         count = np.where(self.sizes >= LENGTH, self.sizes - NAME + 1, 0)
@@ -122,19 +138,18 @@ class _Chunk:
         return self.starts[doc] + k // len(COVER) * PERIOD + cover[k % len(COVER)], doc
 
     def codes(self, at: np.ndarray, buckets: int) -> np.ndarray:
-        """The names at these positions: the bucket, then 40 bits."""
+        """The names at these positions: the bucket, then 32 bits."""
         h = _hasher(0).at(self.data, at, NAME)
-        return ((h & np.uint64(0xFFFFFF)) * np.uint64(buckets) >> np.uint64(24) << np.uint64(40)) | (h >> np.uint64(24))
+        return ((h & np.uint64(0xFFFFFF)) * np.uint64(buckets) >> np.uint64(24) << np.uint64(32)) | (h >> np.uint64(32))
 
 
-def _packed5(codes: np.ndarray) -> bytes:
-    return codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+def _low(codes: np.ndarray) -> bytes:
+    """The part of names that tells them apart within a bucket."""
+    return codes.astype("<u4").tobytes()
 
 
-def _unpacked5(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return out.reshape(-1).view("<u8")
+def _name(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<u4").astype(np.uint64)
 
 
 def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,49 +164,135 @@ def _rows(rows: list[tuple], fields: list[tuple]) -> pa.Table:
         zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
 
 
+def _by_bucket(codes: np.ndarray, buckets: int):
+    """The slices of ascending codes that lie in one bucket."""
+    cuts = np.searchsorted(codes, np.arange(buckets + 1).astype(np.uint64) << np.uint64(32))
+    for bucket in np.flatnonzero(np.diff(cuts)):
+        yield int(bucket), slice(cuts[bucket], cuts[bucket + 1])
+
+
 def _names(buckets: int):
-    fields = [("bucket", pa.int32()), ("chunk", pa.int64()), ("names", pa.binary()), ("often", pa.binary())]
+    fields = [("bucket", pa.int32()), ("chunk", pa.int64()), ("names", pa.binary())]
 
     def names(table: pa.Table) -> pa.Table:
         chunk = _Chunk(table)
-        codes, counts = _counted(chunk.codes(chunk.samples()[0], buckets))
-        cuts = np.searchsorted(codes, np.arange(buckets + 1).astype(np.uint64) << np.uint64(40))
-        rows = []
-        for bucket in np.flatnonzero(np.diff(cuts)):
-            part = slice(cuts[bucket], cuts[bucket + 1])
-            often = counts[part] > 1
-            rows.append((int(bucket), chunk.number, _packed5(codes[part]), _packed5(codes[part][often])
-                         + counts[part][often].astype("<u4").tobytes()))
-        return _rows(rows, fields)
+        codes = _counted(chunk.codes(chunk.samples()[0], buckets))[0]
+        return _rows([(bucket, chunk.number, _low(codes[part])) for bucket, part in _by_bucket(codes, buckets)], fields)
     return names
 
 
-def _shared(hot: int):
-    fields = [("chunk", pa.int64()), ("bucket", pa.int32()), ("shared", pa.binary()), ("hot", pa.binary())]
-
-    def shared(table: pa.Table) -> pa.Table:
-        lists = [_unpacked5(x) for x in table.column("names").to_pylist()]
-        known, times = _counted(np.concatenate(lists))
-        total = times.copy()
-        for data in table.column("often").to_pylist():
-            n = len(data) // 9
-            np.add.at(total, np.searchsorted(known, _unpacked5(data[:5 * n])),
-                      np.frombuffer(data[5 * n:], "<u4").astype(total.dtype) - 1)
-        bucket, rows = table.column("bucket")[0].as_py(), []
-        for number, names in zip(table.column("chunk").to_pylist(), lists, strict=True):
-            at = np.searchsorted(known, names)
-            rows.append((number, bucket, _packed5(names[times[at] > 1]), _packed5(names[total[at] > hot])))
-        return _rows(rows, fields)
-    return shared
+def _shared(table: pa.Table) -> pa.Table:
+    fields = [("chunk", pa.int64()), ("bucket", pa.int32()), ("shared", pa.binary())]
+    lists = [_name(x) for x in table.column("names").to_pylist()]
+    known, times = _counted(np.concatenate(lists))
+    known = known[times > 1]
+    bucket = table.column("bucket")[0].as_py()
+    return _rows([(number, bucket, _low(names[_among(names, known)])) for number, names in zip(
+        table.column("chunk").to_pylist(), lists, strict=True)], fields)
 
 
-def _context(chunk: _Chunk, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The name and `SIDE` bytes before and after each, and how many of those lie in the text."""
-    data = np.concatenate([np.zeros(SIDE, np.uint8), chunk.data, np.zeros(SIDE, np.uint8)])
-    views = np.lib.stride_tricks.sliding_window_view(data, NAME + 2 * SIDE)
-    left = np.minimum(at - chunk.starts[doc], SIDE).astype(np.uint8)
-    right = np.minimum(chunk.ends[doc] - at - NAME, SIDE).astype(np.uint8)
-    return views[at], left, right
+def _among(codes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(codes), bool)
+    return known[np.minimum(np.searchsorted(known, codes), len(known) - 1)] == codes
+
+
+class _Members:
+    """The samples of a chunk whose names are found elsewhere, by name and context."""
+
+    def __init__(self, chunk: _Chunk, buckets: int, shared: np.ndarray):
+        at, doc = chunk.samples()
+        codes = chunk.codes(at, buckets)
+        known, counts = _counted(codes)
+        mine = np.flatnonzero(_among(codes, np.union1d(known[counts > 1], shared)))
+        at, doc, codes = at[mine], doc[mine], codes[mine]
+        left = np.minimum(at - chunk.starts[doc], SIDE)
+        right = np.minimum(chunk.ends[doc] - at - NAME, SIDE)
+        # Positions less what lies before them ascend, but for those near the start of a text.
+        begin = at - left
+        order = np.argsort(begin, kind="stable")
+        context = np.empty(len(at), np.uint64)
+        context[order] = _hasher(3).at(chunk.data, begin[order], (left + NAME + right)[order])
+        context = mixed(context ^ (left << 8 | right).astype(np.uint64) * np.uint64(BASE))
+        place = chunk.rank[doc] * (int(chunk.sizes.max(initial=0)) + 1) + at - chunk.starts[doc]
+        order = np.lexsort((place, context, codes))
+        self.at, self.doc, self.codes, self.context = at[order], doc[order], codes[order], context[order]
+        first = np.ones(len(at), bool)
+        first[1:] = (self.codes[1:] != self.codes[:-1]) | (self.context[1:] != self.context[:-1])
+        #: The first sample of each context, and for every sample which context it has.
+        self.first, self.which = np.flatnonzero(first), np.cumsum(first) - 1
+
+
+def _contexts(buckets: int):
+    fields = [("bucket", pa.int32()), ("chunk", pa.int64()),
+              *[(c, pa.binary()) for c in ("names", "contexts", "doc", "docs")]]
+
+    def contexts(key, table: pa.Table, shared: pa.Table) -> pa.Table:
+        chunk = _Chunk(table)
+        found = [np.uint64(b) << np.uint64(32) | _name(x) for b, x in zip(
+            shared.column("bucket").to_pylist(), shared.column("shared").to_pylist(), strict=True)]
+        common = np.sort(np.concatenate([np.zeros(0, np.uint64), *found]))
+        members, rows = _Members(chunk, buckets, common), []
+        codes = members.codes[members.first]
+        known, counts = _counted(codes)
+        sent = _among(codes, np.union1d(known[counts > 1], common))  # other names have one context here and no other chunk
+        one, codes = members.first[sent], codes[sent]
+        for bucket, part in _by_bucket(codes, buckets):
+            docs, doc = np.unique(members.doc[one[part]], return_inverse=True)
+            rows.append((bucket, chunk.number, _low(codes[part]), members.context[one[part]].astype("<u8").tobytes(),
+                         doc.astype("<u4").tobytes(), chunk.places(docs)))
+        return _rows(rows, fields)
+    return contexts
+
+
+def _ranks(numbers: np.ndarray, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The rank of each text in the order of texts, the same in all rows, and where those of each row begin."""
+    docs = [np.frombuffer(x, _DOC) for x in docs]
+    base = np.cumsum([0, *(len(x) for x in docs)])
+    all_ = np.concatenate(docs)
+    keys = [all_["doc"], np.repeat(numbers, np.diff(base)), all_["hash"], all_["id"], all_["some"]]
+    order = np.lexsort(keys)
+    new = np.zeros(len(order), bool)
+    for key in keys:
+        new[1:] |= key[order][1:] != key[order][:-1]
+    rank = np.empty(len(all_), np.int64)
+    rank[order] = np.cumsum(new)
+    return rank, base
+
+
+def _joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+
+
+def _states(hot: int):
+    fields = [("chunk", pa.int64()), ("bucket", pa.int32()), ("names", pa.binary()), ("states", pa.binary())]
+
+    def states(table: pa.Table) -> pa.Table:
+        numbers = np.asarray(table.column("chunk"))
+        rank, base = _ranks(numbers, table.column("docs").to_pylist())
+        sizes = [len(x) // 4 for x in table.column("names").to_pylist()]
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        name, context = _joined(table, "names", "<u4"), _joined(table, "contexts", "<u8")
+        order = np.lexsort((rank[base[row] + _joined(table, "doc", "<u4")], context, name))
+        name, context = name[order], context[order]
+        new_name = np.concatenate([[True], name[1:] != name[:-1]])
+        new = new_name | np.concatenate([[True], context[1:] != context[:-1]])
+        group = np.cumsum(new_name) - 1
+        count = np.bincount(group, weights=new)[group]
+        sorted_ = np.where(~new, REPEATED, np.where(count > hot, SINGLE, np.where(count > 1, SORTED, 0))).astype(np.uint8)
+        # A name all of whose contexts are done is not told; of the others every context is, in the order it came.
+        told = np.bincount(group, weights=sorted_)[group] > 0
+        state, say = np.empty(len(order), np.uint8), np.empty(len(order), bool)
+        state[order], say[order] = sorted_, told
+        name = _joined(table, "names", "<u4")
+        bucket, starts = table.column("bucket")[0].as_py(), np.cumsum([0, *sizes])
+        rows = []
+        for i, number in enumerate(numbers):
+            part = np.flatnonzero(say[starts[i]:starts[i + 1]]) + starts[i]
+            if len(part):
+                rows.append((int(number), bucket, name[part].tobytes(), state[part].tobytes()))
+        return _rows(rows, fields)
+    return states
 
 
 def _valid(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -216,7 +317,8 @@ def _sorted_bytes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def repeats(context: np.ndarray, left: np.ndarray, right: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Bit d of each sample: the string d bytes before it equals one of a sample of smaller rank.
 
-    context, left, right: as of `_context`. Fewer than 2^21 samples.
+    context: `SIDE` bytes, the name, `SIDE` bytes, of which left and right lie in the text.
+    Fewer than 2^21 samples.
     """
     m = len(context)
     if m >= 1 << 21:
@@ -261,85 +363,88 @@ def _sliced(starts: np.ndarray, total: int):
 
 
 def _deal(buckets: int):
-    fields = [("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())]
-
-    def codes_of(table: pa.Table, column: str) -> np.ndarray:
-        found = [np.uint64(b) << np.uint64(40) | _unpacked5(x) for b, x in zip(
-            table.column("bucket").to_pylist(), table.column(column).to_pylist(), strict=True)]
-        return np.sort(np.concatenate([np.zeros(0, np.uint64), *found]))
-
-    def among(codes: np.ndarray, known: np.ndarray) -> np.ndarray:
-        if not len(known):
-            return np.zeros(len(codes), bool)
-        return known[np.minimum(np.searchsorted(known, codes), len(known) - 1)] == codes
+    fields = [("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()),
+              *[(c, pa.binary()) for c in ("bytes", "samples", "docs")]]
 
-    def deal(key, table: pa.Table, shared: pa.Table) -> pa.Table:
+    def deal(key, table: pa.Table, states: pa.Table) -> pa.Table:
         chunk = _Chunk(table)
-        at, doc = chunk.samples()
-        codes = chunk.codes(at, buckets)
-        known, counts = _counted(codes)
-        both = np.union1d(known[counts > 1], codes_of(shared, "shared"))
-        mine = np.flatnonzero(among(codes, both))
-        at, doc, codes = at[mine], doc[mine], codes[mine]
-        order = np.argsort(codes, kind="stable")
-        at, doc, codes = at[order], doc[order], codes[order]
-        often = among(codes, codes_of(shared, "hot"))
-        rank = chunk.rank[doc] * (int(chunk.sizes.max(initial=0)) + 1) + at - chunk.starts[doc]
-        masks, rows = np.zeros(len(at), np.uint64), []
-        new = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, int)
-        for a, b in _sliced(new, len(at)):
-            context, left, right = _context(chunk, at[a:b], doc[a:b])
-            masks[a:b] = repeats(context, left, right, rank[a:b])
-            open_ = _valid(left, right) & ~masks[a:b]
-            go = np.flatnonzero(open_)
-            meta = np.zeros(len(go), _META)
-            d = doc[a:b][go]
-            meta["id"], meta["hash"], meta["some"] = chunk.ids[d], chunk.hashes[d], chunk.some[d]
-            meta["chunk"], meta["doc"], meta["at"] = chunk.number, d, at[a:b][go] - chunk.starts[d]
-            meta["member"], meta["left"], meta["right"] = a + go, left[go], right[go]
-            cold = ~often[a:b][go]
-            # Codes ascend, so the rows of a bucket lie together; a bucket gets one row per slice.
-            home = (codes[a:b][go] >> np.uint64(40)).astype(np.int64)
-            for rows_of, kind in ((np.flatnonzero(cold), 0), (np.flatnonzero(~cold), 2)):
-                if kind == 2:
-                    rows.extend(_strings(chunk.number, context[go[rows_of]], meta[rows_of], open_[go[rows_of]], buckets))
+        found = states.sort_by("bucket")
+        codes = np.concatenate([np.zeros(0, np.uint64), *(np.uint64(b) << np.uint64(32) | _name(x) for b, x in zip(
+            found.column("bucket").to_pylist(), found.column("names").to_pylist(), strict=True))])
+        members = _Members(chunk, buckets, np.unique(codes))
+        # The contexts of the names told are in the order in which they were sent.
+        state = np.zeros(len(members.first), np.uint8)
+        state[_among(members.codes[members.first], np.unique(codes))] = _joined(found, "states", "u1")
+
+        masks, rows = np.zeros(len(members.at), np.uint64), []
+        later = np.ones(len(members.at), bool)
+        later[members.first] = state == REPEATED
+        left = np.minimum(members.at - chunk.starts[members.doc], SIDE).astype(np.uint8)
+        right = np.minimum(chunk.ends[members.doc] - members.at - NAME, SIDE).astype(np.uint8)
+        masks[later] = _valid(left[later], right[later])
+        padded = np.concatenate([np.zeros(SIDE, np.uint8), chunk.data, np.zeros(SIDE + NAME, np.uint8)])
+        views = np.lib.stride_tricks.sliding_window_view(padded, NAME + 2 * SIDE)
+        for kind in (SORTED, SINGLE):
+            go = members.first[state == kind]
+            home = (members.codes[go] >> np.uint64(32)).astype(np.int64)
+            for part in np.split(go, np.flatnonzero(np.diff(home)) + 1):
+                if not len(part):
                     continue
-                cuts = np.flatnonzero(np.diff(home[rows_of])) + 1
-                for part in np.split(rows_of, cuts):
-                    if len(part):
-                        rows.append((int(home[part[0]]), chunk.number, 0, context[go[part]].tobytes(), meta[part].tobytes()))
-        if len(at):
-            rows.append((-1 - chunk.number % buckets, chunk.number, 1, at.astype("<u4").tobytes(), masks.tobytes()))
+                docs, doc = np.unique(members.doc[part], return_inverse=True)
+                context = views[members.at[part]]
+                sample = {"doc": doc, "at": members.at[part] - chunk.starts[members.doc[part]], "member": part,
+                          "left": left[part], "right": right[part]}
+                if kind == SORTED:
+                    bucket = int(members.codes[part[0]] >> np.uint64(32))
+                    rows.append((bucket, chunk.number, 0, context.tobytes(), _columns(sample), chunk.places(docs)))
+                else:
+                    rows.extend(_strings(chunk.number, context, sample, chunk.places(docs), buckets))
+        own = np.flatnonzero(masks | np.isin(np.arange(len(masks)), members.first[state > REPEATED]))
+        if len(own):
+            rows.append((-1 - chunk.number % buckets, chunk.number, 1, np.stack([own, members.at[own]]).astype("<u4").tobytes(),
+                         masks[own].tobytes(), b""))
         return _rows(rows, fields)
     return deal
 
 
-def _strings(number: int, context: np.ndarray, meta: np.ndarray, open_: np.ndarray, buckets: int):
-    """Rows with one entry for each open string of the samples, dealt by 128 bits of hash."""
-    one, data = np.arange(len(context)) * context.shape[1], context.reshape(-1)
-    found = []
+def _columns(sample: dict[str, np.ndarray]) -> bytes:
+    return b"".join(sample[c].astype(kind).tobytes() for c, kind in _SAMPLE.items())
+
+
+def _samples(table: pa.Table) -> dict[str, np.ndarray]:
+    """The samples of all rows, with their chunks and `rank`, that of their text and place."""
+    parts, width = table.column("samples").to_pylist(), sum(np.dtype(k).itemsize for k in _SAMPLE.values())
+    out, at, sizes = {}, 0, [len(x) // width for x in parts]
+    for c, kind in _SAMPLE.items():
+        item = np.dtype(kind).itemsize
+        out[c] = np.concatenate([np.frombuffer(x[at * n:(at + item) * n], kind) for x, n in zip(parts, sizes, strict=True)])
+        at += item
+    numbers = np.asarray(table.column("chunk"))
+    rank, base = _ranks(numbers, table.column("docs").to_pylist())
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    out["chunk"], out["text"] = numbers[row], rank[base[row] + out["doc"]]
+    return out
+
+
+def _strings(number: int, context: np.ndarray, sample: dict[str, np.ndarray], docs: bytes, buckets: int):
+    """Rows with one entry for each string that leans on these samples, dealt by 128 bits of hash.
+
+    An entry's `at` is where the string starts, its `left` the distance to the sample.
+    """
+    begin, data, found = np.arange(len(context)) * context.shape[1], context.reshape(-1), []
+    valid = _valid(sample["left"], sample["right"])
     for d in range(PERIOD):
-        rows = np.flatnonzero(open_ & np.uint64(1 << d))
-        if len(rows):
-            p = one[rows] + SIDE - d
-            entry = np.zeros(len(rows), [("k1", "<u8"), ("k2", "<u8"), ("d", "u1"), ("meta", _META)])
-            entry["k1"], entry["k2"] = _hasher(1).at(data, p, LENGTH), _hasher(2).at(data, p, LENGTH)
-            entry["d"], entry["meta"] = d, meta[rows]
-            entry["meta"]["at"] -= np.uint32(d)
-            found.append(entry)
-    if found:
-        entries = np.concatenate(found)
-        home = (entries["k1"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-        order = np.argsort(home, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
-            yield buckets + int(home[part[0]]), number, 2, entries[part].tobytes(), b""
-
-
-def _order(meta: np.ndarray) -> np.ndarray:
-    """The rank of each place: null ids, ids, then a hash of the text where rows share an id."""
-    rank = np.empty(len(meta), np.int64)
-    rank[np.lexsort([meta[c] for c in ("at", "doc", "chunk", "hash", "id", "some")])] = np.arange(len(meta))
-    return rank
+        rows = np.flatnonzero(valid & np.uint64(1 << d))
+        p = begin[rows] + SIDE - d
+        found.append((_hasher(1).at(data, p, LENGTH), _hasher(2).at(data, p, LENGTH), rows, np.full(len(rows), d)))
+    k1, k2, rows, d = (np.concatenate(x) for x in zip(*found, strict=True))
+    entry = {c: sample[c][rows] for c in _SAMPLE} | {"at": sample["at"][rows] - d, "left": d}
+    home = ((k1 >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(home, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
+        if len(part):
+            yield (buckets + int(home[part[0]]), number, 2, np.stack([k1[part], k2[part]]).tobytes(),
+                   _columns({c: entry[c][part] for c in _SAMPLE}), docs)
 
 
 def _masks(chunks: np.ndarray, members: np.ndarray, masks: np.ndarray) -> list[tuple]:
@@ -354,29 +459,32 @@ def _solve(table: pa.Table) -> pa.Table:
     fields = [("chunk", pa.int64()), ("kind", pa.int32()), ("members", pa.binary()), ("masks", pa.binary())]
     kind, rows = table.column("kind")[0].as_py(), []
     if kind == 1:
-        rows = [(c, 1, a, b) for c, a, b in zip(*(table.column(x).to_pylist() for x in ("chunk", "a", "b")), strict=True)]
+        rows = list(zip(table.column("chunk").to_pylist(), [1] * len(table),
+                        table.column("bytes").to_pylist(), table.column("samples").to_pylist(), strict=True))
     elif kind == 2:
-        entries = np.concatenate([np.frombuffer(x, [("k1", "<u8"), ("k2", "<u8"), ("d", "u1"), ("meta", _META)])
-                                  for x in table.column("a").to_pylist()])
-        entries = entries[np.lexsort((_order(entries["meta"]), entries["k2"], entries["k1"]))]
-        new = np.ones(len(entries), bool)
-        new[1:] = (entries["k1"][1:] != entries["k1"][:-1]) | (entries["k2"][1:] != entries["k2"][:-1])
-        heads = entries["meta"][np.flatnonzero(new)[np.cumsum(new) - 1]]
+        x = _samples(table)
+        keys = [np.frombuffer(b, "<u8").reshape(2, -1) for b in table.column("bytes").to_pylist()]
+        k1, k2 = np.concatenate(keys, axis=1)
+        order = np.lexsort((x["at"], x["text"], k2, k1))
+        new = np.ones(len(order), bool)
+        new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
+        head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
         # The same string comes once for every sample it has.
-        later = np.flatnonzero(np.any([entries["meta"][c] != heads[c] for c in ("chunk", "doc", "at")], axis=0))
-        meta = entries["meta"][later]
-        rows = _masks(meta["chunk"], meta["member"], np.uint64(1) << entries["d"][later].astype(np.uint64))
+        later = order[(x["text"][order] != x["text"][head]) | (x["at"][order] != x["at"][head])]
+        rows = _masks(x["chunk"][later], x["member"][later], np.uint64(1) << x["left"][later].astype(np.uint64))
     else:
-        context = np.frombuffer(b"".join(table.column("a").to_pylist()), np.uint8).reshape(-1, NAME + 2 * SIDE)
-        meta = np.frombuffer(b"".join(table.column("b").to_pylist()), _META)
-        order, rank = np.argsort(np.ascontiguousarray(context[:, SIDE:SIDE + NAME]).view(f"S{NAME}").ravel(), kind="stable"), _order(meta)
+        x = _samples(table)
+        context = _joined(table, "bytes", "u1").reshape(-1, NAME + 2 * SIDE)
+        rank = np.empty(len(context), np.int64)
+        rank[np.lexsort((x["at"], x["text"]))] = np.arange(len(rank))
+        order = np.argsort(np.ascontiguousarray(context[:, SIDE:SIDE + NAME]).view(f"S{NAME}").ravel(), kind="stable")
         name = context[order, SIDE:SIDE + NAME]
         new = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]).any(1)]))
-        masks = np.zeros(len(meta), np.uint64)
-        for a, b in _sliced(new, len(meta)):
+        masks = np.zeros(len(context), np.uint64)
+        for a, b in _sliced(new, len(context)):
             part = order[a:b]
-            masks[part] = repeats(context[part], meta["left"][part], meta["right"][part], rank[part])
-        rows = _masks(meta["chunk"], meta["member"], masks)
+            masks[part] = repeats(context[part], x["left"][part], x["right"][part], rank[part])
+        rows = _masks(x["chunk"], x["member"], masks)
     return _rows(rows, fields)
 
 
@@ -389,11 +497,11 @@ def _cut(key, table: pa.Table, found: pa.Table) -> pa.Table:
     data, total = chunk.data, len(chunk.data)
     covered = np.zeros(total, bool)
     if own is not None:
-        at = np.frombuffer(members[own], "<u4").astype(np.int64)
+        numbers, at = np.frombuffer(members[own], "<u4").reshape(2, -1).astype(np.int64)
         all_ = np.frombuffer(masks[own], "<u8").copy()
         for i, k in enumerate(kinds):
             if k != 1:
-                np.bitwise_or.at(all_, np.frombuffer(members[i], "<u4"), np.frombuffer(masks[i], "<u8"))
+                np.bitwise_or.at(all_, np.searchsorted(numbers, np.frombuffer(members[i], "<u4")), np.frombuffer(masks[i], "<u8"))
         starts = np.zeros(total + 1, np.int32)
         for d in range(PERIOD):
             starts[at[(all_ & np.uint64(1 << d)) > 0] - d] = 1
@@ -433,8 +541,11 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes
     chunks = bucketed(rows.mapInArrow(_pack(chunk_bytes), _PACKED))
     total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = min(1 << 22, 1 + total // bucket_bytes)
-    shared = chunks.groupBy("chunk").applyInArrow(_names(buckets), _NAMES).groupBy("bucket").applyInArrow(
-        _shared(hot), _SHARED)
-    dealt = chunks.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_deal(buckets), _DEALT)
+    by_chunk = chunks.groupBy("chunk")
+    shared = by_chunk.applyInArrow(_names(buckets), _NAMES).groupBy("bucket").applyInArrow(_shared, _SHARED)
+    states = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(_contexts(buckets), _CONTEXTS).groupBy(
+        "bucket").applyInArrow(_states(hot), _STATES)
+    states = written(states)
+    dealt = by_chunk.cogroup(states.groupBy("chunk")).applyInArrow(_deal(buckets), _DEALT)
     masks = dealt.groupBy("bucket").applyInArrow(_solve, _MASKS)
-    return chunks.groupBy("chunk").cogroup(masks.groupBy("chunk")).applyInArrow(_cut, _RESULT)
+    return by_chunk.cogroup(masks.groupBy("chunk")).applyInArrow(_cut, _RESULT)
