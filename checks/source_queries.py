@@ -1,12 +1,15 @@
 """Extraction from landed payloads and pages, checked against the rows the
 payloads were assembled from."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from checks import landed
 from checks.fixtures import with_views, view
 from checks.registry import query
-from gleanery import vocab
+from gleanery import schema, vocab
+from gleanery.plans import jobs as plans
 from gleanery.sources import cards, details, feeds, registry, sites, tabular
 from gleanery.sources.postings import accepted, quarantine
 
@@ -179,6 +182,38 @@ def institute_postings(spark, sf):
                                  "job_type", "posted_date", "application_deadline")
 
 
+@query("quarantine_tables", f"""SELECT CAST(floor({K} / 20) + 1 AS INTEGER) AS page, 'unparseable page' AS reject FROM part
+WHERE floor({K} / 20) % 3 = 1 GROUP BY 1""")
+def quarantine_tables(spark, sf):
+    """List pages of tables, a third of them missing or malformed: each is reported, through the registry."""
+    pages = landed.vacancy_pages(spark, sf)
+    k = (F.col("page") - 1) % 3
+    html = F.when((k == 1) & (F.col("page") % 2 == 0), F.concat(F.lit("<![foo[ b ]]>"), "html")).when(k != 1, F.col("html"))
+    source = registry.Landed(pages=pages.withColumn("html", html), detail_pages=landed.vacancy_details(spark, sf).withColumn(
+        "url", F.lit(None).cast("string")))
+    return quarantine(registry.extract(source, ["kemri"])).where("reject = 'unparseable page'").select("page", "reject")
+
+
+@query("undated_postings", f"""SELECT 'kemri_R' || CAST(floor({K} / 2) AS BIGINT) AS external_id,
+  CASE WHEN floor({K} / 2) % 2 = 0 THEN TIMESTAMP '2024-01-05' ELSE TIMESTAMP '2024-02-01' END AS posted_date
+FROM part WHERE {_VALID} AND floor({K} / 2) IN (SELECT {K} FROM part) GROUP BY 1, 2
+UNION ALL SELECT 'openedcareer_' || {K}, CASE WHEN {K} % 28 < 9 THEN TIMESTAMP '2024-02-01' WHEN {K} % 28 >= 19 THEN {TS} END
+FROM part WHERE {GOOD} AND {K} % 5 <> 0 AND {K} % 7 <> 0""")
+def undated_postings(spark, sf):
+    """Posting dates that are missing or unreadable, through a run: one source fills both, one the unreadable only."""
+    own = landed.vacancy_details(spark, sf).withColumn("url", F.lit(None).cast("string"))
+    odd = F.regexp_extract("ref", "([0-9]+)", 1).cast("long") % 2 == 1
+    own = own.withColumn("html", F.when(odd, F.replace("html", F.lit("Advertised Date: 1/5/24"))).otherwise(F.col("html")))
+    # Dates of the first nine days cannot be read, those of the next ten are not there.
+    unreadable = F.regexp_replace("body", '"date_gmt":"2024-01-0', '"date_gmt":"soon-0')
+    posts = landed.payloads(spark, sf, ("openedcareer",)).withColumn(
+        "body", F.regexp_replace(unreadable, '"date_gmt":"2024-01-1', '"other":"2024-01-1'))
+    source = registry.Landed(pages=landed.vacancy_pages(spark, sf), detail_pages=own, payloads=posts)
+    empty = spark.createDataFrame([], schema.JOBS)
+    run = plans.ingest(spark, source, empty, datetime(2024, 2, 1), sources=["kemri", "openedcareer"])
+    return run.jobs.select("external_id", "posted_date")
+
+
 # --- cards ---------------------------------------------------------------
 
 _D = f"(1 + {K} % 9)"

@@ -131,25 +131,31 @@ def apply_link(html: Column, own: str, words=("apply", "read more")) -> Column:
     return F.replace(F.get(F.filter(links, fits), F.lit(0))["href"], F.lit("&amp;"), F.lit("&"))
 
 
-def extract_location(text: Column) -> Column:
+def extract_location(text: Column, labels: list[str] | None = None, countries: list[str] | None = None,
+                     cities: list[str] | None = None, city_countries: list[str] | None = None) -> Column:
     """A labelled place ending in a known country, else the first known city in
     list order with its country if named anywhere, else ''."""
-    labels = "|".join(vocab.LOCATION_LABELS)
-    countries = "|".join(vocab.LOCATION_COUNTRIES)
+    labels = "|".join(map(_literal, vocab.LOCATION_LABELS if labels is None else labels))
+    countries = "|".join(map(_literal, vocab.LOCATION_COUNTRIES if countries is None else countries))
     pattern = rf"(?i)(?:{labels})[:\s]*([A-Za-z\s,\-]+(?:{countries}))"
     labelled = F.when(text.rlike(pattern), strip(F.regexp_extract(text, pattern, 1)))
-    city = F.coalesce(*[F.when(text.contains(c), c) for c in vocab.CITIES])
-    country = F.coalesce(*[F.when(text.contains(c), ", " + c) for c in vocab.CITY_COUNTRIES], F.lit(""))
+    named = vocab.CITY_COUNTRIES if city_countries is None else city_countries
+    city = F.coalesce(*[F.when(text.contains(c), c) for c in (vocab.CITIES if cities is None else cities)],
+                      F.lit(None).cast("string"))
+    country = F.coalesce(*[F.when(text.contains(c), ", " + c) for c in named], F.lit(""))
     return F.coalesce(labelled, F.concat(city, country), F.when(text.isNotNull(), F.lit("")))
 
 
-def prose_job_type(text: Column) -> Column:
+def _literal(word: str) -> str:
+    """A word as a pattern that matches it alone."""
+    return f"\\Q{word}\\E"
+
+
+def prose_job_type(text: Column, ladder: list[tuple[str, list[str]]] | None = None) -> Column:
     """Job type named in a text, by an ordered substring ladder; '' if none."""
-    low, ladder = F.lower(text), None
-    for value, words in vocab.PROSE_JOB_TYPES:
-        cond = contains_any(low, words)
-        ladder = F.when(cond, value) if ladder is None else ladder.when(cond, value)
-    return ladder.otherwise("")
+    low = F.lower(text)
+    steps = [F.when(contains_any(low, words), value) for value, words in ladder or vocab.PROSE_JOB_TYPES]
+    return F.coalesce(*steps, F.lit(""))
 
 
 def pattern_job_type(text: Column) -> Column:

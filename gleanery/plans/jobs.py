@@ -1,7 +1,7 @@
 """The scheduled jobs as Spark plans: ingest, refresh and alerts."""
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,7 +62,7 @@ def ingest(spark: SparkSession, landed: registry.Landed, target: DataFrame, as_o
     and a lost executor costs a re-read instead of a re-parse.
     """
     staging = staging or work_dir(spark)
-    raw = registry.extract(landed, sources, search)
+    raw = registry.extract(replace(landed, as_of=as_of), sources, search)
     raw.write.mode("overwrite").parquet(f"{staging}/raw")
     raw = spark.read.parquet(f"{staging}/raw")
     good = accepted(raw)

@@ -16,7 +16,8 @@ def work_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL:

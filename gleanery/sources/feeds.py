@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,13 +179,15 @@ FEEDS = {
 }
 
 
-def wordpress_postings(landed: DataFrame) -> DataFrame:
-    """Posts with an outside apply link and a description of 50 characters."""
+def wordpress_postings(landed: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Posts with an outside apply link and a description of 50 characters. A
+    posting date that is there but cannot be read is `as_of`; a missing one stays missing."""
     rows = explode_items(landed.where(F.col("source") == "openedcareer"), "")
     item = Item(F.col("item"))
     rows = rows.withColumn("_text", prose.html_to_text(item.text("content.rendered")))
     cols = {"source": F.lit("openedcareer"), **_wordpress(item)}
-    # A missing date stays missing; one that cannot be read is filled at ingestion.
+    cols["posted_date"] = F.coalesce(cols["posted_date"], F.when(
+        present(item.text("date_gmt")), F.lit(as_of).cast("timestamp_ntz")))
     full = F.length(strip(unescape_html(item.text("title.rendered"))))
     return shape(rows, cols, [
         ("malformed body", F.col("bad")),

@@ -1,7 +1,8 @@
 """The registered sources and the multi-source extraction."""
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +28,14 @@ class Landed:
     payloads: DataFrame | None = None
     detail_pages: DataFrame | None = None
     detail_payloads: DataFrame | None = None
+    #: When the run takes place; where a source's rules fill a posting date, it is filled with this.
+    as_of: datetime | None = None
 
     def limited(self, plan: DataFrame) -> "Landed":
         """Only the planned sources and their first max_pages pages."""
         def cut(df):
             return None if df is None else limit_pages(df, plan)
-        return Landed(cut(self.pages), cut(self.payloads), self.detail_pages, self.detail_payloads)
+        return replace(self, pages=cut(self.pages), payloads=cut(self.payloads))
 
 
 @dataclass(frozen=True)
@@ -136,10 +139,10 @@ def _build() -> dict[str, Source]:
     out["bamboohr"] = Source("bamboohr", ("payloads", "detail_payloads"), lambda x: feeds.ats_postings(
         x.payloads, x.detail_payloads))
     out["openedcareer"] = Source("openedcareer", ("payloads",),
-                                 lambda x: feeds.wordpress_postings(x.payloads))
+                                 lambda x: feeds.wordpress_postings(x.payloads, x.as_of))
     out["kemri"] = Source("kemri", ("pages", "detail_pages"), lambda x: tabular.institute_postings(
         _pages_of(x, "kemri"), x.detail_pages.where(F.col("source") == "kemri"),
-        "https://erecruitment.kemri.go.ke:7070"))
+        "https://erecruitment.kemri.go.ke:7070", x.as_of))
     return out
 
 

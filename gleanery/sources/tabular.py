@@ -24,13 +24,17 @@ CLOSING = "Closing Date:"
 
 def vacancy_rows(pages: DataFrame) -> DataFrame:
     """Rows of the first table of each page after its header: at least seven
-    cells, a reference, and status active."""
-    parsed = pages.select("page", dom.parse_nodes("html").alias("nodes"))
+    cells, a reference, and status active. A page that is missing or unreadable
+    gives one row that is `broken`."""
+    parsed = pages.select("page", dom.parse_nodes("html").alias("nodes")).withColumn(
+        "broken", F.expr(dom.unreadable("nodes")))
+    cells = F.when(F.col("broken"), F.array(F.array().cast("array<string>"))).otherwise(
+        F.expr(dom.table_cells("nodes", "table")))
     rows = parsed.withColumn("table", F.expr(dom.first("nodes", [dom.Sel(("table",))]))).select(
-        "page", F.posexplode(F.expr(dom.table_cells("nodes", "table"))).alias("pos", "cells"))
-    full = rows.where((F.col("pos") > 0) & (F.size("cells") >= len(CELLS)))
-    named = full.select("page", "pos", *[F.get("cells", F.lit(k)).alias(c) for k, c in enumerate(CELLS)])
-    return named.where((F.col("ref") != "") & (F.lower("status") == "active"))
+        "page", "broken", F.posexplode(cells).alias("pos", "cells"))
+    full = rows.where(F.col("broken") | (F.col("pos") > 0) & (F.size("cells") >= len(CELLS)))
+    named = full.select("page", "pos", "broken", *[F.get("cells", F.lit(k)).alias(c) for k, c in enumerate(CELLS)])
+    return named.where(F.col("broken") | (F.col("ref") != "") & (F.lower("status") == "active"))
 
 
 def with_requirements(rows: DataFrame) -> DataFrame:
@@ -58,7 +62,9 @@ def institute_postings(lists: DataFrame, details: DataFrame, base: str,
     a reference with a long enough title counts, or the first one if none has.
     A missing posting date is `as_of`."""
     listed = vacancy_rows(lists).withColumn("_bad", F.length("title") < 5)
-    rows = dedup_first(listed, ["ref"], ["_bad", "page", "pos", "title"]).drop("_bad")
+    # Broken pages have no reference; each is a row of its own.
+    listed = listed.withColumn("_own", F.when(F.col("broken"), F.col("page")))
+    rows = dedup_first(listed, ["ref", "_own"], ["_bad", "page", "pos", "title"]).drop("_bad", "_own")
     d = (details.groupBy("ref").agg(F.min("html").alias("html"))
          .withColumn("nodes", dom.parse_nodes("html")))
     rows = with_requirements(rows.join(d, "ref", "left"))
@@ -76,6 +82,7 @@ def institute_postings(lists: DataFrame, details: DataFrame, base: str,
         "posted_date": F.coalesce(dates.labelled_date(html, ADVERTISED), F.lit(as_of).cast("timestamp_ntz")),
         "application_deadline": dates.labelled_date(html, CLOSING),
     }, [
+        ("unparseable page", F.col("broken")),
         ("no detail page", html.isNull()),
         ("short title", F.length("title") < 5),
         ("short description", ~F.coalesce(F.length("_duties") >= 30, F.lit(False))),
