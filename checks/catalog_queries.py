@@ -332,6 +332,16 @@ def browse_page(spark, sf):
     return catalog.page(cols, 3, 20)
 
 
+@query("browse_deep_page", f"""{J}, {VISIBLE}, ranked AS (SELECT id, title, scraped_at, 
+  row_number() OVER (ORDER BY scraped_at DESC NULLS FIRST, id) AS rank, count(*) OVER () AS n FROM visible)
+SELECT id, title, scraped_at, rank FROM ranked WHERE rank > ((n - 1) // 20) * 20 OR (rank > (n // 40) * 20 AND rank <= (n // 40) * 20 + 20)""")
+def browse_deep_page(spark, sf):
+    """The last page and one from the middle, read by their place in a written order."""
+    ranked = catalog.Ranked(shown(spark, sf).select("id", "title", "scraped_at"))
+    last, middle = (ranked.total - 1) // 20 + 1, ranked.total // 40 + 1
+    return ranked.page(last).unionByName(ranked.page(middle)).distinct()
+
+
 @query("browse_total", f"""{J}, {VISIBLE} SELECT count(*) AS total,
   greatest(CAST(ceil(count(*) / 20.0) AS BIGINT), 1) AS pages FROM visible""")
 def browse_total(spark, sf):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanery import vocab
 from gleanery.functions.text import any_of, escape_like, like_pattern
 from gleanery.operators.lifecycle import at, source_is_junk, title_is_junk
+from gleanery.session import work_dir
 
 SORT_COLUMNS = ("scraped_at", "posted_date", "title", "company")
 MAX_PAGE = 1000
@@ -68,12 +69,52 @@ def sort_jobs(jobs: DataFrame, sort_by: str = "scraped_at", order: str = "desc")
 
 def page(jobs: DataFrame, number: int = 1, per_page: int = 20,
          sort_by: str = "scraped_at", order: str = "desc") -> DataFrame:
-    """One page as a distributed top-k; see `page_after` for deep paging."""
+    """One page as a distributed top-k; see `page_after` and `Ranked` for deep paging."""
     if number < 1 or not 1 <= per_page <= MAX_PAGE:
         raise ValueError("page starts at 1 and per_page lies between 1 and 1000")
     return sort_jobs(jobs, sort_by, order).offset((number - 1) * per_page).limit(per_page)
 
 
+class Ranked:
+    """A written order of rows in which any page is read by its place.
+
+    The ids are sorted once over ranges of the order, so no task sees more than its
+    range; the rank of a row is its place in its range plus the rows of the ranges
+    before, one number per range. A page is a range of ranks: only the files, and in
+    them the row groups, that hold it are read, however deep it lies. Rows are looked
+    up by the ids of the page, of which there are `MAX_PAGE` at most.
+    """
+
+    def __init__(self, jobs: DataFrame, sort_by: str = "scraped_at", order: str = "desc", rows_per_file: int = 1_000_000):
+        spark, path = jobs.sparkSession, work_dir(jobs.sparkSession)
+        keys = sort_keys(sort_by, order)
+        local = jobs.select("id", sort_by).repartitionByRange(*keys).sortWithinPartitions(*keys).select(
+            "id", F.spark_partition_id().alias("part"),
+            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+        local.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+        self._ids = spark.read.schema("id bigint, part int, place bigint").parquet(path)
+        self._jobs, self._begins, total = jobs, {}, 0
+        for part, n in sorted(self._ids.groupBy("part").agg(F.count("*")).collect()):  # one row per range
+            self._begins[part] = (total, n)
+            total += n
+        self.total = total
+
+    def page(self, number: int = 1, per_page: int = 20) -> DataFrame:
+        """The rows of a page with their `rank`, from 1; none beyond the last page."""
+        if number < 1 or not 1 <= per_page <= MAX_PAGE:
+            raise ValueError("page starts at 1 and per_page lies between 1 and 1000")
+        first = (number - 1) * per_page
+        wanted, rank = F.lit(False), F.lit(None).cast("bigint")
+        for part, (begin, n) in self._begins.items():
+            if begin < first + per_page and first < begin + n:
+                here = (F.col("part") == part) & F.col("place").between(
+                    max(first - begin, 0), min(first + per_page - begin, n) - 1)
+                wanted = wanted | here
+                rank = F.when(F.col("part") == part, F.col("place") + begin + 1).otherwise(rank)
+        found = self._ids.where(wanted).select(F.col("id").alias("_id"), rank.alias("rank"))
+        return self._jobs.join(F.broadcast(found), F.col("id") == F.col("_id")).drop("_id")
+
+
 def page_after(jobs: DataFrame, last_value, last_id: int, per_page: int = 20,
                sort_by: str = "scraped_at", order: str = "desc") -> DataFrame:
     """The page following the row (last_value, last_id): cost does not grow
