@@ -11,7 +11,7 @@ from checks.registry import query
 from gleanery import schema, vocab
 from gleanery.plans import jobs as plans
 from gleanery.sources import cards, details, feeds, registry, sites, tabular
-from gleanery.sources.postings import accepted, quarantine
+from gleanery.sources.postings import accepted, merge_detail, quarantine
 
 K = "p_partkey"
 TS = f"(TIMESTAMP '2024-01-01 10:00:00' + to_days(CAST({K} % 28 AS INTEGER)))"
@@ -302,6 +302,22 @@ def detail_fields(spark, sf):
     return details.detail_fields(landed.posting_pages(spark, sf), "brightermonday")
 
 
+@query("detail_newest_capture", f"""SELECT 'brightermonday' AS source, 'https://b.test/' || {K} AS url,
+  CASE WHEN {K} % 4 = 0 THEN 'Listed' ELSE p_brand || CASE {K} % 4 WHEN 1 THEN ' A' WHEN 2 THEN ' Z' ELSE ' M' END END AS company FROM part""")
+def detail_newest_capture(spark, sf):
+    """Detail pages captured up to three times, rows in no order: the newest counts, whatever it says."""
+    page = landed.posting_pages(spark, sf).withColumn("k", F.regexp_extract("url", "([0-9]+)$", 1).cast("long"))
+    made = page.select("*", F.explode(F.expr("""CASE k % 4 WHEN 0 THEN array()
+      WHEN 1 THEN array(named_struct('t', 1, 'c', ' Z'), named_struct('t', 3, 'c', ' A'), named_struct('t', 2, 'c', ' M'))
+      WHEN 2 THEN array(named_struct('t', 3, 'c', ' Z'), named_struct('t', 2, 'c', ' A'))
+      ELSE array(named_struct('t', CAST(NULL AS INT), 'c', ' Z'), named_struct('t', 1, 'c', ' M')) END""")).alias("v"))
+    captured = made.select("url", F.regexp_replace("html", "(<a href=\"/companies/x\">[^<]*)", F.concat(
+        F.lit("$1"), F.col("v.c"))).alias("html"), F.date_add(F.lit("2024-01-01"), F.col("v.t")).cast("timestamp_ntz").alias("captured_at"))
+    listing = page.select(F.lit("brightermonday").alias("source"), "url", F.lit("Listed").alias("company"))
+    shuffled = captured.orderBy(F.xxhash64("url", "html"))
+    return merge_detail(listing, details.detail_fields(shuffled, "brightermonday"))
+
+
 # --- whole runs ----------------------------------------------------------
 
 

@@ -31,8 +31,10 @@ def _short(c: Column, width: int) -> Column:
 
 
 def detail_fields(pages: DataFrame, style: str) -> DataFrame:
-    """Per url: description, requirements, company, location, job type, salary."""
-    rows = pages.select("url", dom.parse_content("html").alias("nodes"),
+    """Per page: url, description, requirements, company, location, job type, salary,
+    and when it was captured if the pages say so."""
+    place = ["url", *[c for c in ("captured_at",) if c in pages.columns]]
+    rows = pages.select(*place, dom.parse_content("html").alias("nodes"),
                         dom.parse_blocks("html").alias("blocks"))
     described, required = prose.split_by_heading(F.col("blocks"), vocab.SECTION_HEADINGS[style])
     names = {f"company{k}": s for k, s in enumerate(COMPANY[style])}
@@ -66,4 +68,4 @@ def detail_fields(pages: DataFrame, style: str) -> DataFrame:
         labelled = strip(F.regexp_replace("label_text", r"(?i)company\s*:\s*", ""))
         company = F.coalesce(company, _short(labelled, COMPANY_WIDTH))
     columns["company"] = company
-    return rows.select("url", *[v.alias(k) for k, v in columns.items()])
+    return rows.select(*place, *[v.alias(k) for k, v in columns.items()])

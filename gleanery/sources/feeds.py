@@ -12,7 +12,7 @@ from gleanery.functions import dates, prose, salary
 from gleanery.functions.text import (blank_to_null, present, strip, title_case,
                                      unescape_html)
 from gleanery.functions.urls import composite, first_present, last_segment
-from gleanery.sources.postings import shape
+from gleanery.sources.postings import latest_capture, shape
 
 
 class Item:
@@ -203,7 +203,7 @@ def ats_postings(listing: DataFrame, details: DataFrame) -> DataFrame:
     rows = explode_items(listing.where(F.col("source") == "bamboohr"), "result", ("page", "site"))
     i = Item(F.col("item"))
     rows = rows.withColumn("item_id", i.text("id"))
-    d = (details.groupBy("site", "item_id").agg(F.min("body").alias("body"))
+    d = (latest_capture(details, ["site", "item_id"], ["body"])
          .withColumn("opening", F.try_variant_get(F.try_parse_json("body"), "$.result.jobOpening", "variant"))
          .select("site", "item_id",
                  F.try_variant_get("opening", "$.description", "string").alias("_html"),

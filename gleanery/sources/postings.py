@@ -96,13 +96,24 @@ def cap_per_group(rows: DataFrame, group: str, n: int, order: list[str]) -> Data
     return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
 
 
+def latest_capture(rows: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """One row per key of rows landed several times: the newest by `captured_at` if
+    they have that column, unstamped ones first; among equal stamps the largest content.
+
+    An aggregate that combines before the shuffle; captures may come in any order.
+    """
+    row = F.struct(*columns)
+    stamp = F.col("captured_at") if "captured_at" in rows.columns else F.lit(None).cast("timestamp_ntz")
+    best = F.max_by(row, F.struct(stamp.isNotNull().alias("s"), stamp.alias("t"), row.alias("r"))).alias("_c")
+    return rows.groupBy(*key).agg(best).select(*key, "_c.*")
+
+
 def merge_detail(listing: DataFrame, detail: DataFrame, key: str = "url") -> DataFrame:
     """Detail fields over listing fields, where they are not empty. A missing
-    detail page is fine. Detail rows are unique per key before the join; rows
-    without a key skip it."""
+    detail page is fine; of several captures the newest counts. Rows without a
+    key skip the join."""
     fields = [c for c in detail.columns if c in listing.columns and c != key]
-    one = (detail.where(present(F.col(key))).groupBy(key)
-           .agg(F.min_by(F.struct(*fields), F.struct(*fields)).alias("d")))
+    one = latest_capture(detail.where(present(F.col(key))), [key], fields).select(key, F.struct(*fields).alias("d"))
     keyed = listing.where(present(F.col(key))).join(one, key, "left")
 
     def pick(c: str) -> Column:

@@ -9,7 +9,7 @@ from gleanery.functions import dates, prose
 from gleanery.functions.text import blank_to_null, present
 from gleanery.functions.urls import composite
 from gleanery.sources import dom
-from gleanery.sources.postings import dedup_first, shape
+from gleanery.sources.postings import dedup_first, latest_capture, shape
 
 CELLS = ["ref", "title", "emp_type", "positions", "deadline", "grade", "status"]
 
@@ -65,7 +65,7 @@ def institute_postings(lists: DataFrame, details: DataFrame, base: str,
     # Broken pages have no reference; each is a row of its own.
     listed = listed.withColumn("_own", F.when(F.col("broken"), F.col("page")))
     rows = dedup_first(listed, ["ref", "_own"], ["_bad", "page", "pos", "title"]).drop("_bad", "_own")
-    d = (details.groupBy("ref").agg(F.min("html").alias("html"))
+    d = (latest_capture(details, ["ref"], ["html"])
          .withColumn("nodes", dom.parse_nodes("html")))
     rows = with_requirements(rows.join(d, "ref", "left"))
     job, place = prose.split_last(F.col("title"), " - ")
