@@ -347,6 +347,21 @@ def source_plan_limit(spark, sf):
     return some_landed(spark, sf).limited(plan).pages.select("source", "page")
 
 
+@query("planned_search", f"""SELECT DISTINCT 'page' AS kind, 'linkedin' AS source, CAST(floor({K} / 20) + 1 AS INTEGER) AS page FROM part
+WHERE CAST(floor({K} / 20) + 1 AS INTEGER) <= 2 AND CAST(floor({K} / 20) AS INTEGER) % 2 = 0
+UNION ALL SELECT 'run', 'aijobs', CAST(count(*) AS INTEGER) FROM part WHERE {GOOD} AND contains(lower(p_name), 'green')""")
+def planned_search(spark, sf):
+    """A plan's words: pages fetched for another search do not count, feeds search their own rows."""
+    pages = landed.card_pages(spark, sf, ("linkedin",)).withColumns({
+        "search_query": F.when(F.col("page") % 2 == 1, "developer").otherwise("software developer"),
+        "location": F.lit("Kenya")})
+    kept = registry.Landed(pages=pages).limited(registry.plan_table(spark, vocab.QUICK_PLAN)).pages
+    feed = registry.Landed(payloads=landed.payloads(spark, sf, ("aijobs",)))
+    found = accepted(registry.extract(feed, ["aijobs"], {"aijobs": "green", "remoteok": "steel"}))
+    return kept.select(F.lit("page").alias("kind"), "source", "page").distinct().unionByName(
+        found.agg(F.count("*").cast("int").alias("page")).select(F.lit("run").alias("kind"), F.lit("aijobs").alias("source"), "page"))
+
+
 _BAD = f"count(DISTINCT floor({K} / 20)) FILTER (NOT ({GOOD}))"
 
 

@@ -4,7 +4,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery import schema, vocab
@@ -37,32 +37,42 @@ def stored_shape(rows: DataFrame, as_of: datetime) -> DataFrame:
         "id": ident, "scraped_at": lifecycle.at(as_of), "is_active": F.lit(True)})
 
 
-def source_runs(spark: SparkSession, raw: DataFrame, counts: DataFrame,
+def observed(raw: DataFrame, sources: list[str] | None) -> tuple[DataFrame, Observation]:
+    """raw, whose rows are counted by source and by kind of reject while they are written."""
+    seen, counts = Observation(), []
+    for s in registry.chosen(sources):
+        mine = F.col("run") == s.name
+        counts.append(F.count_if(mine & F.col("reject").isNull()).alias(f"{s.name} jobs_found"))
+        counts += [F.count_if(mine & (F.col("reject") == reason)).alias(f"{s.name} {name}")
+                   for reason, name in UNREADABLE.items()]
+    return raw.observe(seen, *counts), seen
+
+
+def source_runs(spark: SparkSession, seen: dict[str, int], counts: DataFrame,
                 sources: list[str] | None) -> DataFrame:
     """One row per registered source of a run, whatever tags its rows carry and also
     if it found nothing; a source has failed if all it was given was unreadable."""
-    names = spark.createDataFrame([(s.name,) for s in registry.chosen(sources)], "source string")
-    seen = raw.groupBy("run").agg(
-        F.count_if(F.col("reject").isNull()).alias("jobs_found"),
-        *[F.count_if(F.col("reject") == reason).alias(name) for reason, name in UNREADABLE.items()])
-    runs = names.join(seen, F.col("source") == F.col("run"), "left").drop("run").join(
-        counts, F.col("source") == F.col("run"), "left").drop("run")
-    broken = [F.when(F.col(name) > 0, F.concat_ws(" ", F.col(name), F.lit(name))) for name in UNREADABLE.values()]
-    error = F.concat_ws(", ", *broken)
-    return runs.withColumn("error", F.when((error != "") & (F.col("jobs_found") == 0), error)).drop(*UNREADABLE.values())
+    rows = []
+    for s in registry.chosen(sources):
+        found = seen[f"{s.name} jobs_found"]
+        broken = ", ".join(f"{seen[f'{s.name} {name}']} {name}" for name in UNREADABLE.values() if seen[f"{s.name} {name}"])
+        rows.append((s.name, found, broken if broken and not found else None))
+    runs = spark.createDataFrame(rows, "source string, jobs_found bigint, error string")
+    return runs.join(counts, F.col("source") == F.col("run"), "left").drop("run")
 
 
 def ingest(spark: SparkSession, landed: registry.Landed, target: DataFrame, as_of: datetime, *,
-           sources: list[str] | None = None, search: str | None = None,
+           sources: list[str] | None = None, search: str | dict[str, str] | None = None,
            staging: str | None = None, newest_wins: bool = False) -> Ingested:
     """Extract, clean, merge and log one run.
 
     The extracted rows are written once to a staging folder all executors share:
     pages are parsed a single time for the merge, the counts and the quarantine,
-    and a lost executor costs a re-read instead of a re-parse.
+    and a lost executor costs a re-read instead of a re-parse. They are counted
+    while they are written.
     """
     staging = staging or work_dir(spark)
-    raw = registry.extract(replace(landed, as_of=as_of), sources, search)
+    raw, seen = observed(registry.extract(replace(landed, as_of=as_of), sources, search), sources)
     raw.write.mode("overwrite").parquet(f"{staging}/raw")
     raw = spark.read.parquet(f"{staging}/raw")
     good = accepted(raw)
@@ -70,7 +80,7 @@ def ingest(spark: SparkSession, landed: registry.Landed, target: DataFrame, as_o
     batch = batch.withColumn("content", F.to_json(F.struct(*sorted(c for c in batch.columns if c != "content"))))
     batch.write.mode("overwrite").parquet(f"{staging}/clean")
     batch = spark.read.parquet(f"{staging}/clean")
-    runs = source_runs(spark, raw, merge.merge_counts(target, batch, "actual", by="run"), sources)
+    runs = source_runs(spark, seen.get, merge.merge_counts(target, batch, "actual", by="run"), sources)
     target = tables.evolve(target, schema.JOBS).select(*schema.JOBS.fieldNames())
     merged = merge.merge_upsert(target, batch, ORDER, newest_wins=newest_wins)
     return Ingested(merged, tables.run_log(runs, as_of, as_of), quarantine(raw))
@@ -79,11 +89,12 @@ def ingest(spark: SparkSession, landed: registry.Landed, target: DataFrame, as_o
 def full_refresh(spark: SparkSession, landed: registry.Landed, target: DataFrame, as_of: datetime, *,
                  plan: list[tuple] | None = None, staging: str | None = None,
                  search: str | None = None) -> Ingested:
-    """All sources and all landed pages in one union, then expiry; with a plan,
-    its sources and their first pages only."""
+    """All sources and all landed pages in one union, then expiry; with a plan, its
+    sources only, their first pages, and the search word and place it has for them."""
     names = None if plan is None else [row[0] for row in plan]
     if plan is not None:
         landed = landed.limited(registry.plan_table(spark, plan))
+        search = search or {row[0]: row[1] for row in plan if row[1]}
     run = ingest(spark, landed, target, as_of, sources=names, staging=staging, search=search)
     expired = lifecycle.expire_all(run.jobs, as_of).drop("expired")
     return Ingested(expired, run.log, run.quarantine)

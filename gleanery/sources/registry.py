@@ -51,10 +51,15 @@ def plan_table(spark: SparkSession, plan: list[tuple]) -> DataFrame:
 
 
 def limit_pages(landed: DataFrame, plan: DataFrame) -> DataFrame:
-    """Pages within the budget of their source. The plan is a local table of one
+    """Pages within the budget of their source. Pages that carry the search word and
+    place they were fetched for count only for a plan that asks for those; a
+    missing one and an empty one are the same. The plan is a local table of one
     row per source, which the planner broadcasts by its known size."""
-    budget = plan.select("source", "max_pages")
+    asked = [c for c in ("search_query", "location") if c in landed.columns]
+    budget = plan.select("source", "max_pages", *[F.coalesce(c, F.lit("")).alias(f"_{c}") for c in asked])
     kept = landed.join(budget, "source").where(F.col("page") <= F.col("max_pages"))
+    for c in asked:
+        kept = kept.where(F.coalesce(F.col(c), F.lit("")) == F.col(f"_{c}"))
     return kept.select(*landed.columns)
 
 
@@ -158,15 +163,18 @@ def chosen(names: list[str] | None = None) -> list[Source]:
     return [REGISTRY[n] for n in names]
 
 
-def extract(landed: Landed, names: list[str] | None = None, search: str | None = None) -> DataFrame:
+def extract(landed: Landed, names: list[str] | None = None,
+            search: str | dict[str, str] | None = None) -> DataFrame:
     """Raw postings of all or the named sources as one union, with `reject`.
-    Sources whose input was not landed are left out."""
+    Sources whose input was not landed are left out. `search` is one word for
+    all sources that search their rows themselves, or a word per source."""
     parts = []
     for s in chosen(names):
         if any(getattr(landed, n) is None for n in s.needs):
             continue
         rows = s.extract(landed).withColumn("run", F.lit(s.name))
-        if search and s.search_columns:
-            rows = query_filter(rows, search, s.search_columns)
+        word = search.get(s.name) if isinstance(search, dict) else search
+        if word and s.search_columns:
+            rows = query_filter(rows, word, s.search_columns)
         parts.append(rows)
     return check_widths(union_all(parts))
