@@ -15,7 +15,8 @@ a word stay. Steps, all in DataFrame operations:
    of the group. So each set is first compared with the earliest set that has
    its size and two of its `LEADERS` rarest words; if they are similar it goes,
    and needs no other partner.
-4. The sets left over probe all earlier ones by their prefix words. A pair needs
+4. The sets left over probe each other by their prefix words, and those that are left
+   then probe the earlier ones that went in step 3. A pair needs
    sizes within the threshold (length filter), enough words left from a shared
    one on (positional filter) and a second shared word. A bitmap of 64 bits per
    set bounds how many words one set has that the other lacks: each bit that
@@ -31,14 +32,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm import bits
-from gleanery.llm.common import SPACES, checkpointed, words, written
+from gleanery.llm.common import SPACES, words, written
 
 THRESHOLD = 0.8
 SKETCH = 1 << 17
 LEADERS = 4
 #: Bits of a word's rank that hold its hash; above are six for its length and six for how frequent it is.
 HASH_BITS = 52
-#: Bits of the packed entry that hold the position; size and the open flag lie above.
+#: Bits of the packed entry that hold the position; the size lies above.
 POS_BITS = 31
 
 
@@ -48,17 +49,15 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("n", "line"))
 
 
-def rarity(docs: DataFrame) -> Column:
-    """`SKETCH` bytes, one character per bucket: "0" plus the bit length of its word count.
-
-    A literal, as Spark allows no subquery inside a lambda function.
-    """
+def rarity(docs: DataFrame) -> DataFrame:
+    """One row with `sketch`: `SKETCH` bytes, one character per bucket, "0" plus the bit length of its word count."""
     counts = docs.select(F.explode(words(F.col("text"))).alias("w")).groupBy(
         F.pmod(F.xxhash64("w"), F.lit(SKETCH)).cast("int").alias("slot")).agg(F.count("*").alias("k"))
-    levels = bytearray(b"0" * SKETCH)
-    for slot, k in counts.collect():  # one row per bucket at most
-        levels[slot] = 48 + k.bit_length()
-    return F.lit(bytes(levels))
+    every = docs.sparkSession.range(SKETCH).select(F.col("id").cast("int").alias("slot"))
+    level = F.char(F.lit(48) + F.coalesce(F.length(F.bin("k")), F.lit(0)))
+    dense = every.join(counts, "slot", "left").agg(F.array_sort(F.collect_list(F.struct(
+        "slot", level.alias("c")))).alias("s"))
+    return written(dense.select(F.array_join("s.c", "").cast("binary").alias("sketch")))
 
 
 def _ranks(line: Column, sketch: Column) -> Column:
@@ -81,9 +80,15 @@ def _bitmap(ranks: Column) -> Column:
         F.get(one, x.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def first_lines(docs: DataFrame, sketch: Column, threshold: float = THRESHOLD) -> DataFrame:
+def _ranked(lines: DataFrame, sketch: DataFrame, *columns) -> DataFrame:
+    """columns and the ranks of each line. The sketch is a column, as it would be long as a literal of every plan."""
+    return lines.withColumn("sketch", sketch.scalar()).select(
+        *columns, _ranks(F.col("line"), F.col("sketch")).alias("ranks"))
+
+
+def first_lines(docs: DataFrame, sketch: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n, size, prefix and bitmap of the first line of each set of words."""
-    ranked = _lines(docs).select("doc_id", "n", _ranks(F.col("line"), sketch).alias("ranks"))
+    ranked = _ranked(_lines(docs), sketch, "doc_id", "n")
     prefix = (F.size("ranks") - F.ceil(F.size("ranks") * threshold - 1e-9) + 2).cast("int")
     keyed = ranked.where(F.size("ranks") > 0).select(
         F.xxhash64("ranks").alias("k1"), F.xxhash64(F.lit(1), "ranks").alias("k2"),
@@ -94,67 +99,83 @@ def first_lines(docs: DataFrame, sketch: Column, threshold: float = THRESHOLD) -
     ).select("at.*", "size", "prefix", "bitmap")
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, sketch: Column, threshold: float) -> DataFrame:
-    """Distinct places (doc_id, n) of the later line b of the pairs (a, b) that are similar."""
-    pairs = checkpointed(pairs)
+def _similar(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
+    """Distinct places (doc_id, n) of the later line b of the pairs (a, b) that are similar, written."""
+    pairs = written(pairs)
     places = pairs.select("a.*").unionByName(pairs.select("b.*")).distinct()
     flags = bits.marked(places, F.struct("doc_id", "n"))
     lines = _lines(docs).where(bits.test(flags, F.struct("doc_id", "n")))
     # Repeated rows of a doc_id have the same lines; of other rows with one doc_id each line counts.
-    sets = lines.join(
+    sets = _ranked(lines.join(
         places.toDF("id", "no"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("n") == F.col("no")),
-        "left_semi").select(F.struct("doc_id", "n").alias("p"), _ranks(F.col("line"), sketch).alias("ranks"))
+        "left_semi"), sketch, F.struct("doc_id", "n").alias("p"))
     shared = F.size(F.array_intersect("x", "y"))
     both = (
         pairs.join(sets.toDF("pa", "x"), F.col("a").eqNullSafe(F.col("pa")))
         .join(sets.toDF("pb", "y"), F.col("b").eqNullSafe(F.col("pb")))
     )
-    return both.where(
-        shared >= threshold * (F.size("x") + F.size("y") - shared) - 1e-9).select("b.*").distinct()
+    return written(both.where(
+        shared >= threshold * (F.size("x") + F.size("y") - shared) - 1e-9).select("b.*").distinct())
 
 
-def near_repeats(docs: DataFrame, firsts: DataFrame, sketch: Column,
-                 threshold: float = THRESHOLD) -> DataFrame:
-    """Places (doc_id, n) among firsts that are similar to an earlier line."""
-    place = F.struct("doc_id", "n").alias("at")
-    group = Window.partitionBy("two", "size").orderBy("at")
-    head = F.slice("prefix", 1, LEADERS)
-    twos = F.flatten(F.transform(head, lambda w, i: F.transform(
-        F.slice(head, i + 2, F.lit(LEADERS)), lambda v: F.xxhash64(w, v))))
-    # A smaller set has no similar one but its equals, which are one set already.
-    firsts = firsts.where(F.col("size") + 1 <= (F.col("size") * (1 / threshold) + 1e-9))
-    led = firsts.select(place, "size", F.explode(twos).alias("two"))
-    pairs = led.withColumn("a", F.first("at").over(group)).where("a < at").select(
-        "a", F.col("at").alias("b")).distinct()
-    gone = checkpointed(_similar(pairs, docs, sketch, threshold))
+def _at(places: DataFrame) -> DataFrame:
+    return places.select(F.col("doc_id").alias("gd"), F.col("n").alias("gn"))
 
-    known = firsts.join(
-        gone.select(F.col("doc_id").alias("gd"), F.col("n").alias("gn")),
-        F.col("doc_id").eqNullSafe(F.col("gd")) & (F.col("n") == F.col("gn")), "left")
-    entries = known.select(
-        place, "bitmap", "size", F.col("gn").isNull().cast("long").alias("open"),
-        F.posexplode("prefix").alias("pos", "word")
-    ).select("word", "at", "bitmap", F.shiftleft(F.col("open"), 2 * POS_BITS).bitwiseOR(
-        F.shiftleft(F.col("size").cast("long"), POS_BITS)).bitwiseOR(F.col("pos").cast("long")).alias("m"))
-    # Both sides have the same columns, so one exchange serves the two.
-    left, right = entries.toDF("word", "a", "bits_a", "ma"), entries.toDF("word", "b", "bits_b", "mb")
+
+def _among(firsts: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    return firsts.join(_at(places), F.col("doc_id").eqNullSafe(F.col("gd")) & (F.col("n") == F.col("gn")), how)
+
+
+def _entries(firsts: DataFrame) -> DataFrame:
+    """One row per prefix word of each set: its place, bitmap, size and the word's position."""
+    return firsts.select(
+        F.struct("doc_id", "n").alias("at"), "bitmap", "size", F.posexplode("prefix").alias("pos", "word")
+    ).select("word", "at", "bitmap", F.shiftleft(F.col("size").cast("long"), POS_BITS).bitwiseOR(
+        F.col("pos").cast("long")).alias("m"))
+
+
+def candidates(earlier: DataFrame, later: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of a set of `earlier` and one of `later` that the prefix, length, positional and bitmap filters let through."""
+    left, right = _entries(earlier).toDF("word", "a", "bits_a", "ma"), _entries(later).toDF("word", "b", "bits_b", "mb")
     mask = F.lit((1 << POS_BITS) - 1).cast("long")
-    size = lambda m: F.shiftright(m, POS_BITS).bitwiseAND(mask)
-    sa, sb, pa, pb = size("ma"), size("mb"), F.col("ma").bitwiseAND(mask), F.col("mb").bitwiseAND(mask)
+    sa, sb = F.shiftright("ma", POS_BITS), F.shiftright("mb", POS_BITS)
+    pa, pb = F.col("ma").bitwiseAND(mask), F.col("mb").bitwiseAND(mask)
     needed = F.ceil(threshold / (1 + threshold) * (sa + sb) - 1e-9)
     rest = F.least(sa - pa, sb - pb)
     met = left.join(right, "word").where(
         (F.col("a") < F.col("b"))
-        & (F.shiftright("mb", 2 * POS_BITS) + sa * 0 == 1)
         & (F.least(sa, sb) >= threshold * F.greatest(sa, sb) - 1e-9)
         # The first shared word has `needed` words left, itself included, the second one less.
         & (rest >= needed - 1)
         & (F.bit_count(F.col("bits_a").bitwiseAND(F.bitwise_not("bits_b"))) <= sa - needed)
         & (F.bit_count(F.col("bits_b").bitwiseAND(F.bitwise_not("bits_a"))) <= sb - needed)
     ).select("a", "b", (rest - needed).alias("spare"))
-    pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("spare").alias("spare")).where(
+    return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("spare").alias("spare")).where(
         (F.col("spare") >= 0) & (F.col("shared") >= 2)).select("a", "b")
-    return gone.unionByName(_similar(pairs, docs, sketch, threshold)).distinct()
+
+
+def near_repeats(docs: DataFrame, firsts: DataFrame, sketch: DataFrame,
+                 threshold: float = THRESHOLD) -> DataFrame:
+    """Places (doc_id, n) among firsts that are similar to an earlier line."""
+    place = F.struct("doc_id", "n").alias("at")
+    group = Window.partitionBy("two", "size").orderBy("at")
+    head = F.slice("prefix", 1, LEADERS)
+    twos = F.flatten(F.transform(head, lambda w, i: F.transform(
+        F.slice(head, i + 2, F.lit(LEADERS)), lambda v: F.xxhash64(w, v))))
+    # A smaller set has no similar one but its equals, which are one set already.
+    firsts = firsts.where(F.col("size") + 1 <= (F.col("size") * (1 / threshold) + 1e-9))
+    led = firsts.select(place, "size", F.explode(twos).alias("two"))
+    pairs = led.withColumn("a", F.first("at").over(group)).where("a < at").select(
+        "a", F.col("at").alias("b")).distinct()
+    gone = _similar(pairs, docs, sketch, threshold)
+
+    # Sets that are left meet each other first. Only those that are still left then look
+    # through the sets that have gone, so a group that resembles its leaders is not paired with itself.
+    left = _among(firsts, gone, "left_anti")
+    more = _similar(candidates(left, left, threshold), docs, sketch, threshold)
+    still = _among(left, more, "left_anti")
+    last = _similar(candidates(_among(firsts, gone, "left_semi"), still, threshold), docs, sketch, threshold)
+    return gone.unionByName(more).unionByName(last)
 
 
 def kept_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -177,7 +198,7 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     if not 0.5 < threshold <= 1:
         raise ValueError("the threshold must be above 0.5: similar sets must share two words")
-    kept = checkpointed(kept_lines(docs.select("doc_id", "text"), threshold))
+    kept = written(kept_lines(docs.select("doc_id", "text"), threshold))
     # One character per line up to the last kept one: 1 if it stays.
     marks = F.array_join(F.flatten(F.transform(
         F.array(F.sort_array(F.collect_set("n"))),

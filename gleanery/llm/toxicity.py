@@ -142,12 +142,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: i
     if not len(told):  # nothing to tell the classes apart by: the share of toxic rows
         share = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-6, 1 - 1e-6))
         return Model(told, np.zeros((0, DIM)), softmax, np.array([0.0, np.log(share / (1 - share))]))
-    number = np.full(BUCKETS, -1)
+    number = np.full(BUCKETS, -1, "i4")
     number[told] = np.arange(len(told))
-    bucket = number[np.concatenate([b for b, _ in rows])]
-    used = bucket >= 0
-    owner = np.repeat(np.arange(len(rows)), [len(b) for b, _ in rows])[used]
-    weight, bucket = np.concatenate([w for _, w in rows])[used].astype("f8"), bucket[used]
+    # Row by row, as the few telling n-grams need much less memory than all of them.
+    used = [np.flatnonzero(number[b] >= 0) for b, _ in rows]
+    owner = np.repeat(np.arange(len(rows)), [len(u) for u in used])
+    bucket = np.concatenate([number[b[u]] for (b, _), u in zip(rows, used)])
+    weight = np.concatenate([w[u] for (_, w), u in zip(rows, used)]).astype("f8")
     # n-grams as rare as those of one word in a text: weights near 1 let one step size serve all.
     scale = 1 / (np.sqrt(np.bincount(bucket, weight**2, len(told)) / len(rows)) + 1e-4)
     weight = weight * scale[bucket]
