@@ -12,6 +12,8 @@ word wider occurs as often; it then lies in every occurrence of some longer phra
    are counted only where both parts of n - 1 words are frequent. Each chunk sorts its
    own occurrences by exact word numbers and emits one count per phrase, and is told
    which of its phrases are frequent overall. No chunk sees a whole vocabulary.
+   Words and pairs, most of which are rare, are first counted under 32 bits of hash
+   within a bucket; only those that are frequent there are counted as text, exactly.
 2. The frequent phrases are kept as two sorted streams, in prefix order (by first,
    second, ... word) and in suffix order (by last, last but one, ... word). In the one,
    a phrase follows its left parts and comes before what extends it to the right; in
@@ -26,15 +28,20 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.chunks import CHUNK_BYTES, bucketed, next_chunk, ragged
+from gleanery.llm.chunks import BASE, CHUNK_BYTES, bucketed, mixed, next_chunk, ragged
 from gleanery.llm.common import written
 
 MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
+#: Up to this length phrases are counted by hash before they are counted as text.
+HASHED = 2
+#: Words of the corpus for which there is one bucket of hashes.
+BUCKET_WORDS = 2_000_000
 
 _SPACE, _LINE = 32, 10
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -45,6 +52,8 @@ _KIND[list(b" \t")] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
 
 _PACKED = "chunk long, lang string, n_words long, words binary"
+_HASHED = "bucket int, chunk long, names binary, counts binary"
+_USUAL = "chunk long, bucket int, names binary"
 _COUNTS = "chunk long, lang string, n int, phrase string, c long"
 _PARTS = "lang string, phrase string, f long, parts array<long>, wider long"
 
@@ -137,20 +146,77 @@ def _find(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return np.where(known[at] == keys, at, -1)
 
 
-def _count(n: int):
+def _phrases(words: _Words, frequent: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:
+    if n == 1:
+        return np.unique(words.ids, return_index=True, return_counts=True)[1:]
+    return occurrences(words, frequent, n)
+
+
+def _codes(words: _Words, lang: str, at: np.ndarray, n: int, buckets: int) -> np.ndarray:
+    """The bucket and 32 bits of hash of the phrases of n words that begin at these words."""
+    own = hash_array(np.array(words.known.dictionary.to_pylist() + [lang.encode()], object), categorize=False)
+    code = np.full(len(at), own[-1])
+    for j in range(n):
+        code = mixed(code * np.uint64(BASE) + own[words.ids[at + j]])
+    return ((code & np.uint64(0xFFFFFF)) * np.uint64(buckets) >> np.uint64(24) << np.uint64(32)) | (code >> np.uint64(32))
+
+
+def _hashes(n: int, buckets: int):
+    """Counts of a chunk's phrases of n words under their hashes, one row per bucket."""
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("names", pa.binary()), ("counts", pa.binary())])
+
+    def hashes(key, chunk: pa.Table, told: pa.Table) -> pa.Table:
+        number, text = chunk.column("chunk")[0].as_py(), chunk.column("words")[0].as_py()
+        if not text:
+            return schema.empty_table()
+        words = _Words(text)
+        at, counts = _phrases(words, told.filter(pc.greater(told.column("n"), 0)), n)
+        codes = _codes(words, chunk.column("lang")[0].as_py(), at, n, buckets)
+        order = np.argsort(codes)
+        codes, counts = codes[order], counts[order]
+        cuts = np.searchsorted(codes, np.arange(buckets + 1).astype(np.uint64) << np.uint64(32))
+        rows = [{"bucket": int(b), "chunk": number, "names": codes[cuts[b]:cuts[b + 1]].astype("<u4").tobytes(),
+                 "counts": counts[cuts[b]:cuts[b + 1]].astype("<u4").tobytes()} for b in np.flatnonzero(np.diff(cuts))]
+        return pa.Table.from_pylist(rows, schema=schema)
+    return hashes
+
+
+def _usual(min_count: int):
+    """Of one bucket: to each chunk, its hashes that count enough in all."""
+    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("names", pa.binary())])
+
+    def usual(table: pa.Table) -> pa.Table:
+        names = [np.frombuffer(x, "<u4") for x in table.column("names").to_pylist()]
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4").astype(np.int64)
+        every = np.concatenate(names)
+        order = np.argsort(every, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(every[order]) > 0]))
+        known = every[order][first][np.add.reduceat(counts[order], first) >= min_count]
+        bucket = table.column("bucket")[0].as_py()
+        rows = [{"chunk": c, "bucket": bucket, "names": mine.tobytes()} for c, mine in (
+            (c, x[_find(x, known) >= 0]) for c, x in zip(table.column("chunk").to_pylist(), names, strict=True)) if len(mine)]
+        return pa.Table.from_pylist(rows, schema=schema)
+    return usual
+
+
+def _count(n: int, buckets: int):
     """Counts of the phrases of n words of a chunk, of those whose shorter parts are all among the frequent ones."""
     schema = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.string()), ("c", pa.int64())])
 
-    def count(key, chunk: pa.Table, frequent: pa.Table) -> pa.Table:
+    def count(key, chunk: pa.Table, told: pa.Table) -> pa.Table:
         number, lang = chunk.column("chunk")[0].as_py(), chunk.column("lang")[0].as_py()
         text = chunk.column("words")[0].as_py()
         if not text:
             return schema.empty_table()
         words = _Words(text)
-        if n == 1:
-            at, counts = np.unique(words.ids, return_index=True, return_counts=True)[1:]
-        else:
-            at, counts = occurrences(words, frequent, n)
+        at, counts = _phrases(words, told.filter(pc.greater(told.column("n"), 0)), n)
+        if n <= HASHED:
+            usual = told.filter(pc.equal(told.column("n"), 0))
+            known = [np.uint64(b) << np.uint64(32) | np.frombuffer(x, "<u4").astype(np.uint64) for b, x in zip(
+                usual.column("bucket").to_pylist(), usual.column("names").to_pylist(), strict=True)]
+            known = np.sort(np.concatenate([np.zeros(0, np.uint64), *known]))
+            go = _find(_codes(words, lang, at, n, buckets), known) >= 0
+            at, counts = at[go], counts[go]
         k = len(at)
         return pa.Table.from_arrays([
             pa.array(np.full(k, number)), pa.array([lang]).take(pa.array(np.zeros(k, np.int64))),
@@ -197,21 +263,26 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"),
                        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     chunks = bucketed(rows.mapInArrow(_pack(chunk_bytes), _PACKED))
-    by_phrase = Window.partitionBy("lang", "phrase")
+    by_phrase, by_chunk = Window.partitionBy("lang", "phrase"), chunks.groupBy("chunk")
+    totals = chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    buckets = min(1 << 22, 1 + (totals.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS)
+    told = chunks.sparkSession.createDataFrame([], "chunk long, n int, phrase string, bucket int, names binary")
     found = None
     for n in range(1, longest + 1):
-        if found is None:
-            known = chunks.select("chunk", "lang", F.lit(0).alias("n"), F.lit("").alias("phrase")).limit(0)
-        else:
-            known = found
-        counts = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_count(n), _COUNTS)
+        known = told
+        if n <= HASHED:
+            usual = by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(_hashes(n, buckets), _HASHED).groupBy(
+                "bucket").applyInArrow(_usual(min_count), _USUAL)
+            known = told.unionByName(written(usual).withColumns({"n": F.lit(0), "phrase": F.lit(None).cast("string")}))
+        counts = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(_count(n, buckets), _COUNTS)
         # A phrase has at most one row per chunk here.
         level = written(counts.withColumn("f", F.sum("c").over(by_phrase)).where(F.col("f") >= min_count).drop("c"))
         found = level if found is None else found.unionByName(level)
+        told = found.select("chunk", "n", "phrase", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("names"))
         if level.isEmpty():
             break
     phrases = found.groupBy("lang", "phrase").agg(F.max("f").alias("f")).withColumn("words", F.split("phrase", " "))
-    return phrases, chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    return phrases, totals
 
 
 def _stream(batches):
