@@ -18,7 +18,7 @@ a word stay. Steps, all in DataFrame operations:
 4. The sets left over probe each other by their prefix words, and those that are left
    then probe the earlier ones that went in step 3. A pair needs
    sizes within the threshold (length filter), enough words left from a shared
-   one on (positional filter) and a second shared word. A bitmap of 64 bits per
+   one on (positional filter) and a second shared word. A bitmap of 256 bits per
    set bounds how many words one set has that the other lacks: each bit that
    only one of them has stands for one such word at least.
 5. The whole sets of the pairs are fetched from their lines, and Jaccard is verified.
@@ -37,6 +37,8 @@ from gleanery.llm.common import SPACES, words, written
 THRESHOLD = 0.8
 SKETCH = 1 << 17
 LEADERS = 4
+#: Longs of a set's bitmap, a power of two. In one alone the bits of five words often fall on bits that are set.
+MAPS = 4
 #: Bits of a word's rank that hold its hash; above are six for its length and six for how frequent it is.
 HASH_BITS = 52
 #: Bits of the packed entry that hold the position; the size lies above.
@@ -75,9 +77,21 @@ def _ranks(line: Column, sketch: Column) -> Column:
 
 
 def _bitmap(ranks: Column) -> Column:
+    """`MAPS` longs in which each word sets one bit."""
     one = F.array(*[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
-    return F.aggregate(ranks, F.lit(0).cast("long"), lambda bits_, x: bits_.bitwiseOR(
-        F.get(one, x.bitwiseAND(F.lit(63)).cast("int"))))
+
+    def map_of(k: int) -> Column:
+        own = F.filter(ranks, lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(MAPS - 1)) == k)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda bits_, x: bits_.bitwiseOR(
+            F.get(one, x.bitwiseAND(F.lit(63)).cast("int")))).alias(f"m{k}")
+
+    return F.struct(*[map_of(k) for k in range(MAPS)])
+
+
+def _only(one: str, other: str) -> Column:
+    """How many bits only the first map has: as many words at least are in that set alone."""
+    counts = [F.bit_count(F.col(one)[f"m{k}"].bitwiseAND(F.bitwise_not(F.col(other)[f"m{k}"]))) for k in range(MAPS)]
+    return sum(counts[1:], counts[0])
 
 
 def _ranked(lines: DataFrame, sketch: DataFrame, *columns) -> DataFrame:
@@ -147,8 +161,7 @@ def candidates(earlier: DataFrame, later: DataFrame, threshold: float) -> DataFr
         & (F.least(sa, sb) >= threshold * F.greatest(sa, sb) - 1e-9)
         # The first shared word has `needed` words left, itself included, the second one less.
         & (rest >= needed - 1)
-        & (F.bit_count(F.col("bits_a").bitwiseAND(F.bitwise_not("bits_b"))) <= sa - needed)
-        & (F.bit_count(F.col("bits_b").bitwiseAND(F.bitwise_not("bits_a"))) <= sb - needed)
+        & (_only("bits_a", "bits_b") <= sa - needed) & (_only("bits_b", "bits_a") <= sb - needed)
     ).select("a", "b", (rest - needed).alias("spare"))
     return met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("spare").alias("spare")).where(
         (F.col("spare") >= 0) & (F.col("shared") >= 2)).select("a", "b")
@@ -165,9 +178,14 @@ def near_repeats(docs: DataFrame, firsts: DataFrame, sketch: DataFrame,
     # A smaller set has no similar one but its equals, which are one set already.
     firsts = firsts.where(F.col("size") + 1 <= (F.col("size") * (1 / threshold) + 1e-9))
     led = firsts.select(place, "size", F.explode(twos).alias("two"))
-    pairs = led.withColumn("a", F.first("at").over(group)).where("a < at").select(
-        "a", F.col("at").alias("b")).distinct()
-    gone = _similar(pairs, docs, sketch, threshold)
+    pairs = written(led.withColumn("a", F.first("at").over(group)).where("a < at").select(
+        "a", F.col("at").alias("b")).distinct())
+    # The earliest leader first; the others only for sets that it does not resemble.
+    earliest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    by_first = _similar(earliest, docs, sketch, threshold)
+    others = pairs.join(earliest.toDF("ea", "eb"), (F.col("b") == F.col("eb")) & (F.col("a") == F.col("ea")), "left_anti").join(
+        _at(by_first), F.col("b")["doc_id"].eqNullSafe(F.col("gd")) & (F.col("b")["n"] == F.col("gn")), "left_anti")
+    gone = by_first.unionByName(_similar(others, docs, sketch, threshold))
 
     # Sets that are left meet each other first. Only those that are still left then look
     # through the sets that have gone, so a group that resembles its leaders is not paired with itself.
