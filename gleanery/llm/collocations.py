@@ -232,27 +232,28 @@ def occurrences(words: _Words, frequent: pa.Table, n: int) -> tuple[np.ndarray,
     def listed(j):
         return words.numbers(frequent.filter(pa.array(length == j)).column("phrase"), j)
 
+    # Phrases of n - 1 words are told; their beginnings are the only shorter ones that count.
+    shorter = listed(n - 1)
     usual = np.zeros(words.size, bool)
-    usual[listed(1)[:, 0]] = True
-    ok, at, node, known = usual[words.ids], np.flatnonzero(usual[words.ids]), None, []
-    node = words.ids[at]
-    for j in range(2, n + 1):
-        # Both parts of j - 1 words are frequent and the last word is in the same piece.
+    usual[shorter[:, 0]] = True
+    at = np.flatnonzero(usual[words.ids])
+    node, path = words.ids[at], shorter[:, 0]
+    for j in range(2, n):
         rest = at + j - 1 < total
-        rest[rest] = ok[at[rest] + 1] & ~words.last[at[rest] + j - 2]
+        rest[rest] = ~words.last[at[rest] + j - 2]
         at, node = at[rest], node[rest]
-        keys = node * words.size + words.ids[at + j - 1]
-        if j == n:
-            break
-        numbers = listed(j)
-        path = numbers[:, 0]
-        for i, level in enumerate(known):
-            path = _find(path * words.size + numbers[:, i + 1], level)
-        known.append(np.sort(path * words.size + numbers[:, j - 1]))
-        node = _find(keys, known[-1])
+        own = path * words.size + shorter[:, j - 1]
+        known = np.unique(own)
+        node = _find(node * words.size + words.ids[at + j - 1], known)
         at, node = at[node >= 0], node[node >= 0]
-        ok = np.zeros(total, bool)
-        ok[at] = True
+        path = _find(own, known)
+    ok = np.zeros(total + 1, bool)
+    ok[at] = True
+    # The first and the last n - 1 words are frequent, and the last word is in the same piece.
+    rest = ok[at + 1] & (at + n - 1 < total)
+    rest[rest] = ~words.last[at[rest] + n - 2]
+    at, node = at[rest], node[rest]
+    keys = node * words.size + words.ids[at + n - 1]
     first, counts = np.unique(keys, return_index=True, return_counts=True)[1:]
     return at[first], counts
 
@@ -278,7 +279,7 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
         # A phrase has at most one row per chunk here.
         level = written(counts.withColumn("f", F.sum("c").over(by_phrase)).where(F.col("f") >= min_count).drop("c"))
         found = level if found is None else found.unionByName(level)
-        told = found.select("chunk", "n", "phrase", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("names"))
+        told = level.select("chunk", "n", "phrase", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("names"))
         if level.isEmpty():
             break
     phrases = found.groupBy("lang", "phrase").agg(F.max("f").alias("f")).withColumn("words", F.split("phrase", " "))
