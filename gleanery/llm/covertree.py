@@ -13,8 +13,9 @@ gives every query a first k-th score; round two searches the other blocks with
 these as bounds, so that few rows come back. A cell that holds a third of all
 rows becomes as many blocks as it needs.
 
-Every query block meets every data block, in round one or two: that is the work
-of an exact search, and trees only cut what a meeting costs.
+Blocks of round two meet by their roots first: a pair whose bound is below the worst
+k-th score of the query block is dropped before its trees are moved. In the worst case
+every query block meets every data block, which is the work of an exact search.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from gleanery.llm.common import checkpointed
 PIVOTS, BLOCK, QUERY_BLOCK = 32, 4096, 1024
 LEAF = 32
 TOP = 20
+#: Shares of a node's scale that its children may have, the first that separates its rows counts.
+SCALES = (0.5, 0.7, 0.8, 0.9, 0.95)
 EXACT = 2.0**53
 
 
@@ -62,10 +65,16 @@ class Tree:
         me = len(self.nodes)
         self.nodes.append((centre, float(away.max(initial=0.0)), self.filled, 0, []))
         kids = []
-        groups = self._cover(centre, rows, away, scale / 2) if len(rows) > LEAF and scale > 0 else []
+        groups = []
+        if len(rows) > LEAF and scale > 0:
+            # Where half the scale would take too many centres, as with many components, wider ones may do.
+            for share in SCALES:
+                groups = self._cover(centre, rows, away, scale * share)
+                if groups:
+                    break
         if groups:
             for c, own, d in groups:
-                kids.append(self._add(c, own, d, min(scale / 2, float(d.max(initial=0.0)))))
+                kids.append(self._add(c, own, d, min(scale * share, float(d.max(initial=0.0)))))
         else:
             self.order[self.filled:self.filled + len(rows)] = rows
             self.filled += len(rows)
@@ -76,8 +85,8 @@ class Tree:
     def _cover(self, centre, rows, away, scale):
         """Centres more than scale apart that cover rows within scale, each with its rows.
 
-        None if that takes so many centres that a node would hold few rows each:
-        then the node stays a leaf, and is searched as one product of matrices.
+        None if that takes so many centres that a node would hold few rows each, or
+        only one: if no scale does, the node stays a leaf, one product of matrices.
         """
         groups = []
         near = away <= scale
@@ -105,11 +114,17 @@ def _products(q: np.ndarray, r: np.ndarray) -> np.ndarray:
                     "i8").reshape(len(q), len(r))
 
 
-def search(queries: Tree, data: Tree, floor: np.ndarray, k: int):
+def search(queries: Tree, data: Tree, floor: np.ndarray, k: int, counts: dict | None = None):
     """(query row, data id, score) of each query's best k in data that reach its floor.
 
     floor: per query row a score that k others are known to reach, or -inf.
+    counts: adds up pairs of nodes `visited` and `pruned`, and pairs of `rows` compared.
     """
+    counts = {} if counts is None else counts
+
+    def count(what, n=1):
+        counts[what] = counts.get(what, 0) + n
+
     bound = floor.astype("f8").copy()
     best = [(np.empty(0, "i8"), np.empty(0, "i8"))] * len(queries.ids)
 
@@ -145,9 +160,12 @@ def search(queries: Tree, data: Tree, floor: np.ndarray, k: int):
         top, a, b = stack.pop()
         _, ra, qa, qb, qkids = queries.nodes[a]
         _, rb, _, _, dkids = data.nodes[b]
+        count("visited")
         if top < bound[qa:qb].min():
+            count("pruned")
             continue
         if not qkids and not dkids:
+            count("rows", (qb - qa) * (data.nodes[b][3] - data.nodes[b][2]))
             leaf(a, b)
             continue
         split_data = dkids and (rb >= ra or not qkids)
@@ -214,11 +232,21 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
         dim, cell, part = key
         vectors = np.stack(frame["v"].to_list()).astype("f8").reshape(len(frame), dim)
         tree = Tree(frame["vec_id"].to_numpy("i8"), vectors)
-        return pd.DataFrame({"dim": [dim], "cell": [cell], "part": [part], "n": [len(frame)],
-                             "tree": [pickle.dumps(tree, protocol=5)]})
+        centre, radius = tree.nodes[0][:2]
+        return pd.DataFrame({"dim": [dim], "cell": [cell], "part": [part], "centre": [tree.vectors[centre].tolist()],
+                             "radius": [radius], "tree": [pickle.dumps(tree, protocol=5)]})
 
     return dealt.groupBy("dim", "cell", "part").applyInPandas(
-        build, "dim int, cell int, part int, n int, tree binary")
+        build, "dim int, cell int, part int, centre array<double>, radius double, tree binary")
+
+
+def _limit(q, a, r, b):
+    """No product of vectors within a of q and within b of r exceeds this; rounding is allowed for."""
+    def dot(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda i, j: i * j), F.lit(0.0), lambda t, z: t + z)
+
+    top = dot(q, r) + a * F.sqrt(dot(r, r)) + b * F.sqrt(dot(q, q)) + a * b
+    return top + F.abs(top) * 1e-9 + 1e-6
 
 
 _HITS = "dim int, q_cell int, q_part int, query_id long, vec_id long, score long"
@@ -259,18 +287,26 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP) -> DataFrame:
     rows = checkpointed(_celled(quantised(vectors)))
     data = checkpointed(_blocks(rows, BLOCK))
     queries = checkpointed(_blocks(rows.where(is_query), QUERY_BLOCK)).select(
-        "dim", F.col("cell").alias("q_cell"), F.col("part").alias("q_part"), F.col("tree").alias("q_tree"))
+        "dim", *[F.col(c).alias(f"q_{c}") for c in ("cell", "part", "centre", "radius", "tree")])
     none = F.lit(None).cast("array<struct<query_id:bigint,floor:bigint>>")
     own = queries.withColumns({"floors": none, "cell": F.col("q_cell")}).join(
         data.select("dim", "cell", "part", "tree"), ["dim", "cell"])
     first = checkpointed(_best(_searched(own, k), k))
     floors = first.where(F.col("rank") == k).groupBy("dim", "q_cell", "q_part").agg(
-        F.collect_list(F.struct("query_id", F.col("score").alias("floor"))).alias("floors"))
-    # Each query block names the data blocks of its dimension, then meets them by name.
-    names = data.groupBy("dim").agg(F.collect_list(F.struct("cell", "part")).alias("names"))
-    others = queries.join(floors, ["dim", "q_cell", "q_part"], "left").join(names, "dim").select(
-        "*", F.explode(F.filter("names", lambda x: x["cell"] != F.col("q_cell"))).alias("other")).select(
-        "dim", "q_cell", "q_part", "q_tree", "floors", "other.cell", "other.part")
-    second = _searched(others.join(data.select("dim", "cell", "part", "tree"), ["dim", "cell", "part"]), k)
+        F.collect_list(F.struct("query_id", F.col("score").alias("floor"))).alias("floors"),
+        F.min("score").alias("worst"), F.count("*").alias("n_floors"))
+    sizes = rows.where(is_query).groupBy("dim", F.col("cell").alias("q_cell")).count()
+    # Blocks meet by their centres and radii; trees move only for pairs that these leave.
+    roots = data.select("dim", "cell", "part", "centre", "radius")
+    known = queries.drop("q_tree").join(floors, ["dim", "q_cell", "q_part"], "left").join(sizes, ["dim", "q_cell"])
+    # A block some of whose queries have no k-th score yet is bounded by nothing; a cell has all its queries in view.
+    whole = F.sum(F.coalesce("n_floors", F.lit(0))).over(Window.partitionBy("dim", "q_cell")) == F.col("count")
+    worst = F.when(whole, F.col("worst")).otherwise(F.lit(float("-inf")))
+    others = known.withColumn("worst", worst).join(roots, "dim").where(
+        (F.col("cell") != F.col("q_cell"))
+        & (_limit(F.col("q_centre"), F.col("q_radius"), F.col("centre"), F.col("radius")) >= F.col("worst"))
+    ).select("dim", "q_cell", "q_part", "floors", "cell", "part")
+    met = others.join(queries.select("dim", "q_cell", "q_part", "q_tree"), ["dim", "q_cell", "q_part"])
+    second = _searched(met.join(data.select("dim", "cell", "part", "tree"), ["dim", "cell", "part"]), k)
     every = first.drop("rank").unionByName(second)
     return _best(every, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -81,3 +81,43 @@ def test_bounds_prune(monkeypatch):
     monkeypatch.setattr(covertree, "_products", lambda q, r: seen.append(len(q) * len(r)) or products(q, r))
     list(covertree.search(queries, data, np.full(100, -np.inf), 5))
     assert sum(seen) <= 100 * 2000
+
+
+def tree(spark, sf, part=None):
+    rows = covertree.quantised(spark.read.parquet(f"{sf}/embeddings.parquet")).collect()
+    rows = [r for r in rows if part is None or r.vec_id % part == 0]
+    return covertree.Tree(np.array([r.vec_id for r in rows]), np.array([r.v for r in rows]))
+
+
+def test_levels_go_on_where_one_separates_nothing(spark):
+    """On the test vectors half the radius separates nothing; wider levels give leaves, and pairs are pruned."""
+    sf = "/root/testdata/sf0.1"
+    data, queries = tree(spark, sf), tree(spark, sf, 20)
+    leaves = [n for n in data.nodes if not n[4]]
+    assert len(leaves) > 1 and sum(b - a for _, _, a, b, _ in leaves) == len(data.ids)
+    for centre, radius, a, b, _ in data.nodes:
+        away = np.sqrt(((data.vectors[a:b] - data.vectors[centre]) ** 2).sum(1))
+        assert away.max() <= radius + 1e-9
+    first = {}
+    for i, v, s in covertree.search(queries, data, np.full(len(queries.ids), -np.inf), 20):
+        first.setdefault(i, []).append(s)
+    floors_ = np.array([min(first[i]) for i in range(len(queries.ids))], "f8")
+    counts = {}
+    again = {}
+    for i, v, s in covertree.search(queries, data, floors_, 20, counts):
+        again.setdefault(i, []).append(s)
+    assert again == first
+    assert counts["pruned"] > 0 and counts["rows"] < len(queries.ids) * len(data.ids)
+
+
+def test_far_blocks_do_not_meet(spark, monkeypatch):
+    """Two clusters of opposite sign: pairs of blocks of different clusters are dropped by their roots."""
+    rng = random.Random(4)
+    rows = [(i, [(1 if i % 2 else -1) * (3 + rng.random() / 10), rng.random() / 10], 0) for i in range(400)]
+    met = []
+    real = covertree._searched
+    monkeypatch.setattr(covertree, "_searched", lambda pairs, k: met.append(pairs.count()) or real(pairs, k))
+    monkeypatch.setattr(covertree, "PIVOTS", 8)
+    got = run(spark, rows, 7)
+    assert met[0] == 8 and met[1] < 8 * 7 - 7  # at least one cell's pairs with the other cluster are gone
+    assert got == brute({i: floors(v) for i, v, _ in rows}, 7, lambda i: i % 5 == 0)
