@@ -10,8 +10,10 @@ word wider occurs as often; it then lies in every occurrence of some longer phra
 1. Texts are packed into chunks per lang, words separated by single spaces, pieces by
    line ends. A phrase that is frequent has only frequent parts, so phrases of n words
    are counted only where both parts of n - 1 words are frequent. Each chunk sorts its
-   own occurrences by exact word numbers and emits one count per phrase, and is told
-   which of its phrases are frequent overall. No chunk sees a whole vocabulary.
+   own occurrences by exact word numbers and deals its phrases, as text with a count
+   each, to buckets by hash, one row per bucket. A bucket adds up its phrases exactly,
+   gives each frequent one as one row, and tells every chunk which of its phrases these
+   are. No chunk sees a whole vocabulary, no bucket a whole corpus.
    Words and pairs, most of which are rare, are first counted under 32 bits of hash
    within a bucket; only those that are frequent there are counted as text, exactly.
 2. The frequent phrases are kept as two sorted streams, in prefix order (by first,
@@ -54,7 +56,8 @@ _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
 _PACKED = "chunk long, lang string, n_words long, words binary"
 _HASHED = "bucket int, chunk long, names binary, counts binary"
 _USUAL = "chunk long, bucket int, names binary"
-_COUNTS = "chunk long, lang string, n int, phrase string, c long"
+_COUNTS = "bucket int, chunk long, lang string, names binary, counts binary"
+_LEVEL = "chunk long, lang string, phrase string, f long, names binary"
 _PARTS = "lang string, phrase string, f long, parts array<long>, wider long"
 
 
@@ -130,12 +133,13 @@ class _Words:
         words = self._array(text, np.flatnonzero(text == _SPACE))
         return pc.index_in(words, value_set=self.known.dictionary).to_numpy().astype(np.int64).reshape(-1, n)
 
-    def phrases(self, at: np.ndarray, n: int) -> pa.Array:
-        """The phrases of n words that begin at these words."""
-        begin, length = self.starts[at], self.ends[at + n - 1] - self.starts[at]
+    def phrases(self, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The phrases of n words that begin at these words, a line end after each, and where each of them begins, and the end."""
+        begin, length = self.starts[at], self.ends[at + n - 1] - self.starts[at] + 1
         offsets = np.concatenate([[0], np.cumsum(length)])
-        return pa.Array.from_buffers(pa.large_string(), len(at), [
-            None, pa.py_buffer(offsets), pa.py_buffer(self.data[ragged(begin, length)].tobytes())])
+        data = self.data[ragged(begin, length)]
+        data[offsets[1:] - 1] = _LINE
+        return data, offsets
 
 
 def _find(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -146,10 +150,10 @@ def _find(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return np.where(known[at] == keys, at, -1)
 
 
-def _phrases(words: _Words, frequent: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _phrases(words: _Words, told: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:
     if n == 1:
         return np.unique(words.ids, return_index=True, return_counts=True)[1:]
-    return occurrences(words, frequent, n)
+    return occurrences(words, _told(told, n), n)
 
 
 def _codes(words: _Words, lang: str, at: np.ndarray, n: int, buckets: int) -> np.ndarray:
@@ -170,7 +174,7 @@ def _hashes(n: int, buckets: int):
         if not text:
             return schema.empty_table()
         words = _Words(text)
-        at, counts = _phrases(words, told.filter(pc.greater(told.column("n"), 0)), n)
+        at, counts = _phrases(words, told, n)
         codes = _codes(words, chunk.column("lang")[0].as_py(), at, n, buckets)
         order = np.argsort(codes)
         codes, counts = codes[order], counts[order]
@@ -199,9 +203,16 @@ def _usual(min_count: int):
     return usual
 
 
+def _told(told: pa.Table, n: int) -> pa.Table:
+    """The phrases of n - 1 words that a chunk was told of."""
+    names = b"".join(told.filter(pc.equal(told.column("n"), n - 1)).column("names").to_pylist())
+    phrases = names.decode().split("\n")[:-1]
+    return pa.table({"n": np.full(len(phrases), n - 1, np.int32), "phrase": pa.array(phrases, pa.large_string())})
+
+
 def _count(n: int, buckets: int):
-    """Counts of the phrases of n words of a chunk, of those whose shorter parts are all among the frequent ones."""
-    schema = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.string()), ("c", pa.int64())])
+    """Counts of the phrases of n words of a chunk, of those whose shorter parts are all among the frequent ones, one row per bucket."""
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("lang", pa.string()), ("names", pa.binary()), ("counts", pa.binary())])
 
     def count(key, chunk: pa.Table, told: pa.Table) -> pa.Table:
         number, lang = chunk.column("chunk")[0].as_py(), chunk.column("lang")[0].as_py()
@@ -209,22 +220,57 @@ def _count(n: int, buckets: int):
         if not text:
             return schema.empty_table()
         words = _Words(text)
-        at, counts = _phrases(words, told.filter(pc.greater(told.column("n"), 0)), n)
+        at, counts = _phrases(words, told, n)
+        codes = _codes(words, lang, at, n, buckets)
         if n <= HASHED:
             usual = told.filter(pc.equal(told.column("n"), 0))
             known = [np.uint64(b) << np.uint64(32) | np.frombuffer(x, "<u4").astype(np.uint64) for b, x in zip(
                 usual.column("bucket").to_pylist(), usual.column("names").to_pylist(), strict=True)]
             known = np.sort(np.concatenate([np.zeros(0, np.uint64), *known]))
-            go = _find(_codes(words, lang, at, n, buckets), known) >= 0
-            at, counts = at[go], counts[go]
-        k = len(at)
-        return pa.Table.from_arrays([
-            pa.array(np.full(k, number)), pa.array([lang]).take(pa.array(np.zeros(k, np.int64))),
-            pa.array(np.full(k, n, np.int32)), words.phrases(at, n).cast(pa.string()), pa.array(counts.astype(np.int64))],
-            schema=schema)
+            go = _find(codes, known) >= 0
+            at, counts, codes = at[go], counts[go], codes[go]
+        bucket = (codes >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        data, offsets = words.phrases(at[order], n)
+        counts, cuts = counts[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+        rows = [{"bucket": int(b), "chunk": number, "lang": lang, "names": data[offsets[cuts[b]]:offsets[cuts[b + 1]]].tobytes(),
+                 "counts": counts[cuts[b]:cuts[b + 1]].astype("<u4").tobytes()} for b in np.flatnonzero(np.diff(cuts))]
+        return pa.Table.from_pylist(rows, schema=schema)
     return count
 
 
+def _level(min_count: int):
+    """Of one bucket: each phrase that is frequent, with its count, and to each chunk, which of its phrases these are."""
+    schema = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64()), ("names", pa.binary())])
+
+    def level(table: pa.Table) -> pa.Table:
+        data = np.frombuffer(b"".join(table.column("names").to_pylist()), np.uint8)
+        counts = [np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()]
+        block, counts = np.repeat(np.arange(len(counts)), list(map(len, counts))), np.concatenate(counts).astype(np.int64)
+        offsets = np.concatenate([[0], np.flatnonzero(data == _LINE) + 1])
+        phrases = pa.Array.from_buffers(pa.large_binary(), len(counts), [
+            None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
+        langs = table.column("lang").combine_chunks().dictionary_encode()
+        own = phrases.indices.to_numpy().astype(np.int64) * len(langs.dictionary) + langs.indices.to_numpy()[block]
+        order = np.argsort(own, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(own[order]) > 0]))
+        sums = np.add.reduceat(counts[order], first)
+        known, f = own[order][first][sums >= min_count], sums[sums >= min_count]
+        at, which = np.divmod(known, len(langs.dictionary))
+        found = pa.table({
+            "chunk": pa.nulls(len(known), pa.int64()), "lang": langs.dictionary.take(pa.array(which)),
+            "phrase": pa.array([x[:-1].decode() for x in phrases.dictionary.take(pa.array(at)).to_pylist()], pa.string()),
+            "f": f, "names": pa.nulls(len(known), pa.binary())}, schema=schema)
+        go = np.flatnonzero(_find(own, known) >= 0)
+        length = np.diff(offsets)[go]
+        names = data[ragged(offsets[go], length)]
+        cuts = np.concatenate([[0], np.cumsum(length)])[np.searchsorted(block[go], np.arange(len(table) + 1))]
+        rows = [{"chunk": c, "names": names[cuts[i]:cuts[i + 1]].tobytes()}
+                for i, c in enumerate(table.column("chunk").to_pylist()) if cuts[i] < cuts[i + 1]]
+        return pa.concat_tables([found, pa.Table.from_pylist(rows, schema=schema)])
+    return level
+
+
 def occurrences(words: _Words, frequent: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Where each distinct phrase of n words first occurs, and how often it does."""
     total, length = len(words.ids), frequent.column("n").to_numpy()
@@ -264,26 +310,25 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"),
                        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     chunks = bucketed(rows.mapInArrow(_pack(chunk_bytes), _PACKED))
-    by_phrase, by_chunk = Window.partitionBy("lang", "phrase"), chunks.groupBy("chunk")
+    by_chunk = chunks.groupBy("chunk")
     totals = chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     buckets = min(1 << 22, 1 + (totals.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS)
-    told = chunks.sparkSession.createDataFrame([], "chunk long, n int, phrase string, bucket int, names binary")
+    told = chunks.sparkSession.createDataFrame([], "chunk long, n int, bucket int, names binary")
     found = None
     for n in range(1, longest + 1):
         known = told
         if n <= HASHED:
             usual = by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(_hashes(n, buckets), _HASHED).groupBy(
                 "bucket").applyInArrow(_usual(min_count), _USUAL)
-            known = told.unionByName(written(usual).withColumns({"n": F.lit(0), "phrase": F.lit(None).cast("string")}))
+            known = told.unionByName(written(usual).withColumn("n", F.lit(0)))
         counts = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(_count(n, buckets), _COUNTS)
-        # A phrase has at most one row per chunk here.
-        level = written(counts.withColumn("f", F.sum("c").over(by_phrase)).where(F.col("f") >= min_count).drop("c"))
-        found = level if found is None else found.unionByName(level)
-        told = level.select("chunk", "n", "phrase", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("names"))
-        if level.isEmpty():
+        level = written(counts.groupBy("bucket").applyInArrow(_level(min_count), _LEVEL))
+        phrases = level.where("chunk IS NULL").select("lang", "phrase", "f")
+        found = phrases if found is None else found.unionByName(phrases)
+        told = level.where("chunk IS NOT NULL").select("chunk", F.lit(n).alias("n"), F.lit(None).cast("int").alias("bucket"), "names")
+        if phrases.isEmpty():
             break
-    phrases = found.groupBy("lang", "phrase").agg(F.max("f").alias("f")).withColumn("words", F.split("phrase", " "))
-    return phrases, totals
+    return found.withColumn("words", F.split("phrase", " ")), totals
 
 
 def _stream(batches):

@@ -89,3 +89,21 @@ def test_odd_rows(spark, odd, empty):
 
 def test_rare_phrases_only(spark):
     assert result(spark.createDataFrame([("en", "one two three")], "lang string, text string")) == []
+
+
+def test_counts_travel_as_blocks(spark):
+    """Frequent phrases that lie in many chunks: a chunk makes one row per bucket of them, and each comes out once."""
+    rows = [(f"l{i % 2}", "red fish swims, blue fish sleeps. ") for i in range(60)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(20)
+    phrases, _ = collocations.frequent_phrases(docs, min_count=20, chunk_bytes=30)
+    got = [(r.lang, r.phrase, r.f) for r in phrases.collect()]
+    words = Counter(w for p in ("red fish swims", "blue fish sleeps") for w in
+                    (" ".join(p.split()[i:j]) for i in range(3) for j in range(i + 1, 4)))
+    assert sorted(got) == sorted((lang, w, 30 * k) for lang in ("l0", "l1") for w, k in words.items())
+    words = collocations._Words(collocations.normal(rows[0][1].encode() * 5 + b"\n")[0])
+    chunk = collocations.pa.table({"chunk": [3], "lang": ["l0"], "words": collocations.pa.array(
+        [words.data.tobytes()], collocations.pa.binary())})
+    told = collocations.pa.table({"n": [2], "bucket": [None], "names": [b"red fish\nfish swims\nblue fish\nfish sleeps\n"]})
+    block = collocations._count(3, 1)((3,), chunk, told).to_pylist()
+    assert [(b["chunk"], sorted(b["names"].split(b"\n")), len(b["counts"])) for b in block] == [
+        (3, [b"", b"blue fish sleeps", b"red fish swims"], 8)]
