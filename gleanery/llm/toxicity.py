@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import held_out
+from gleanery.llm.common import held_out, written
 
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 20
@@ -90,9 +90,10 @@ def _bag(text: str) -> tuple[bytes, bytes]:
 
 
 def _bags(text: Column) -> Column:
-    @F.pandas_udf("buckets binary, weights binary")
+    @F.pandas_udf("buckets array<int>, weights array<float>")
     def bags(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_bag(t) for t in texts], columns=["buckets", "weights"])
+        return pd.DataFrame([(np.frombuffer(b, "<i4"), np.frombuffer(w, "<f4")) for b, w in map(_bag, texts)],
+                            columns=["buckets", "weights"])
 
     return bags(text)
 
@@ -125,13 +126,13 @@ class Model:
 
 def _telling(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
     """The buckets whose share of documents differs between the classes."""
-    count = np.zeros((2, BUCKETS))
-    for (buckets, _), y in zip(rows, labels.tolist()):
-        count[y, buckets] += 1
+    known, at = np.unique(np.concatenate([b for b, _ in rows]), return_inverse=True)
+    toxic = np.repeat(labels, [len(b) for b, _ in rows])
+    count = np.stack([np.bincount(at[toxic == y], minlength=len(known)) for y in (0, 1)])
     size = np.array([(labels == 0).sum(), (labels == 1).sum()])
     share = (count.sum(0) + 1) / (size.sum() + 2)
     error = np.sqrt(share * (1 - share) * (1 / size).sum())
-    return np.flatnonzero(np.abs(count[1] / size[1] - count[0] / size[0]) >= Z * error)
+    return known[np.abs(count[1] / size[1] - count[0] / size[0]) >= Z * error]
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: int = ROUNDS) -> Model:
@@ -190,10 +191,33 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROW
         F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").dropDuplicates(["doc_id", "y"])
 
 
+def telling_bags(bags: DataFrame) -> DataFrame:
+    """bags (doc_id, y, buckets, weights) with the entries that `_telling` chooses; every row stays.
+
+    Most n-grams tell nothing, so they are counted, and dropped, before the driver sees a bag.
+    """
+    size = bags.agg(*[F.nullif(F.count_if(F.col("y") == y).cast("double"), F.lit(0.0)).alias(f"s{y}") for y in (0, 1)])
+    counts = bags.select("y", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
+        *[F.count_if(F.col("y") == y).alias(f"c{y}") for y in (0, 1)])
+    share = (F.col("c0") + F.col("c1") + 1) / (F.col("s0") + F.col("s1") + 2)
+    error = F.sqrt(share * (1 - share) * (1 / F.col("s0") + 1 / F.col("s1")))
+    # A little below the bound: the driver repeats the comparison on what is left.
+    told = counts.crossJoin(F.broadcast(size)).where(
+        F.abs(F.col("c1") / F.col("s1") - F.col("c0") / F.col("s0")) >= Z * error * (1 - 1e-9)).select("bucket")
+    entries = bags.select("doc_id", "y", F.inline(F.arrays_zip("buckets", "weights"))).join(
+        F.broadcast(told), F.col("buckets") == F.col("bucket"), "left_semi")
+    kept = entries.groupBy(F.col("doc_id").alias("of"), F.col("y").alias("as")).agg(
+        F.array_sort(F.collect_list(F.struct("buckets", "weights"))).alias("bag"))
+    return bags.select("doc_id", "y").join(
+        kept, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("y") == F.col("as")), "left").select(
+        "doc_id", "y", "bag.buckets", "bag.weights")
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
-    got = sample(docs, labels, label, rows).select("doc_id", "y", _bags(F.col("text")).alias("bag")).select(
-        "doc_id", "y", "bag.*").toPandas().sort_values(["doc_id", "y"])
-    return fit([(np.frombuffer(b, "<u4"), np.frombuffer(w, "<f4"))
+    bags = written(sample(docs, labels, label, rows).select(
+        "doc_id", "y", _bags(F.col("text")).alias("bag")).select("doc_id", "y", "bag.*"))
+    got = telling_bags(bags).toPandas().sort_values(["doc_id", "y"])
+    return fit([(np.array([] if b is None else b, "i4"), np.array([] if w is None else w, "f4"))
                 for b, w in zip(got["buckets"], got["weights"])], got["y"].to_numpy("i8"))
 
 

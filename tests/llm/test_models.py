@@ -99,3 +99,23 @@ def test_held_out(spark):
         "doc_id", held_out(F.col("doc_id")).alias("h")).collect()
     for r in got:
         assert r.h == (r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_driver_gets_telling_grams_only(spark):
+    """The driver's part of training holds the telling n-grams alone, and learns the same from them."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    bags = toxicity.sample(docs, labels, "toxic").select(
+        "doc_id", "y", toxicity._bags(F.col("text")).alias("bag")).select("doc_id", "y", "bag.*").localCheckpoint()
+
+    def rows(df):
+        got = df.orderBy("doc_id", "y").collect()
+        return [(np.array(r.buckets or [], "i4"), np.array(r.weights or [], "f4")) for r in got], np.array([r.y for r in got])
+
+    (every, labelled), (few, same) = rows(bags), rows(toxicity.telling_bags(bags))
+    told = set(toxicity._telling(every, labelled).tolist())
+    assert labelled.tolist() == same.tolist() and told
+    assert set(np.concatenate([b for b, _ in few]).tolist()) == told
+    assert sum(len(b) for b, _ in few) < sum(len(b) for b, _ in every) / 10
+    one, other = toxicity.fit(every, labelled, 20), toxicity.fit(few, same, 20)
+    assert (one.per_gram() == other.per_gram()).all() and (one.bias == other.bias).all()
