@@ -31,12 +31,13 @@ from pyspark.sql import functions as F
 from gleanery.llm.common import model_bytes
 
 END_ID = 1
-#: Words that a worker remembers the ids of; the memory starts anew when it is full.
+#: Words and pieces that a worker remembers the ids of; when they are full the words go, and the pieces if they are most of them.
 MEMORY_WORDS = 600_000
 _TOKENIZERS: dict = {}
 #: Lower-case letters of Latin-1 between printable ASCII characters that are neither letters,
 #: digits nor apostrophes: no normalisation changes them, and each run is one piece.
 _OTHER = r"([!-&(-/:-@\[-`{-~]*)"
+_MARKS = bytes(b for b in range(33, 127) if re.match(_OTHER[1:-2], chr(b)))
 _PLAIN = re.compile(_OTHER + "([a-z\u00df-\u00f6\u00f8-\u00ff]+)" + _OTHER).fullmatch
 #: The printable stand-ins of byte-level vocabularies: the other bytes follow from U+0100 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -78,6 +79,17 @@ def parse(data: bytes, at: int = 0):
         at = end + TAIL
 
 
+class _Known(dict):
+    """Ids by word; what is not in it is found by `find`, which may note it."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.find(word)
+
+
 class _WordIds:
     """Ids of words by a tokenizer whose pieces never reach over ASCII white space.
 
@@ -94,41 +106,50 @@ class _WordIds:
         self.tokenizer = Tokenizer.from_str(model.decode())
         self.tokenizer.encode_special_tokens = literal
         self.model = self.tokenizer.model
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _piece(self, piece: str, width: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            marks = piece if piece.isascii() else "".join(map(_STAND_IN.__getitem__, piece.encode()))
-            ids = struct.pack(f"<{len(t := self.model.tokenize(marks))}{'H' if width == '<u2' else 'I'}",
-                              *[x.id for x in t])
-            self.pieces[piece] = ids
+        self.width, self.packs = None, []
+        self.known, self.pieces = _Known(self._word), _Known(self._piece)
+
+    def _piece(self, piece: bytes) -> bytes:
+        text = piece.decode()
+        ids = [x.id for x in self.model.tokenize(text if piece.isascii() else "".join(map(_STAND_IN.__getitem__, piece)))]
+        data = self.packs[len(ids)](*ids) if len(ids) < len(self.packs) else np.array(ids, self.width).tobytes()
+        self.pieces[piece] = data
+        return data
+
+    def _word(self, word: bytes) -> bytes:
+        letters = word.strip(_MARKS)
+        if letters.isalpha():  # ASCII letters between marks, as most words are
+            before, _, after = word.partition(letters)
+            letters = letters.lower()
+        else:
+            plain = _PLAIN(word.decode().lower())
+            before, letters, after = [x.encode() for x in plain.groups()] if plain else (b"", b"", b"")
+        if not letters or b"<|" in word:
+            ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.width).tobytes()
+            self.known[word] = ids
+            return ids
+        pieces, ids = len(self.pieces), self.pieces[letters]
+        if before:
+            ids = self.pieces[before] + ids
+        if after:
+            ids += self.pieces[after]
+        # Most words with a new piece never come again: its ids are noted, those of the word the next time.
+        if len(self.pieces) == pieces:
+            self.known[word] = ids
         return ids
 
     def encode(self, texts: list[str | None], width: str) -> list[bytes]:
+        if width != self.width:
+            self.width = width
+            self.packs = [struct.Struct(f"<{n}{'H' if width == '<u2' else 'I'}").pack for n in range(64)]
+            self.known.clear()
+            self.pieces.clear()
         if len(self.known) + len(self.pieces) > MEMORY_WORDS:
-            self.known, self.pieces = {}, {}
-        split = [(t or "").encode().split() for t in texts]
-        known, hard = self.known, []
-        for w in set().union(*split).difference(known):
-            word = w.decode()
-            plain = _PLAIN(word.lower())
-            if plain is None or "<|" in word:
-                hard.append(w)
-            else:
-                before, letters, after = plain.groups()
-                ids = self._piece(letters, width)
-                if before:
-                    ids = self._piece(before, width) + ids
-                known[w] = ids + self._piece(after, width) if after else ids
-        for at in range(0, len(hard), 4096):
-            part = hard[at:at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(
-                    [w.decode() for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, width).tobytes()
-        end = np.array([END_ID], width).tobytes()
-        return [b"".join(map(known.__getitem__, ws)) + end for ws in split]
+            self.known.clear()  # words are soon put together again from their pieces
+            if len(self.pieces) > MEMORY_WORDS * 2 // 3:
+                self.pieces.clear()
+        end, ids = np.array([END_ID], width).tobytes(), self.known.__getitem__
+        return [b"".join(map(ids, (t or "").encode().split())) + end for t in texts]
 
 
 def _word_ids(model: bytes, width: str) -> _WordIds:

@@ -101,3 +101,26 @@ def test_special_tokens_have_their_own_id(spark, tmp_path):
     got = records.digests(spark, str(tmp_path / "out")).orderBy("doc_id").collect()
     assert [(r.start, r.n_tokens, r.ids_crc32) for r in got] == [
         (sum(map(len, ids[:k])), len(v), zlib.crc32(np.array(v, "<u4").tobytes())) for k, v in enumerate(ids)]
+
+
+def test_pieces_are_found_once(monkeypatch):
+    """Words that share their letters, at either end of punctuation, cost one call of the model; a full memory keeps the pieces."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f:
+        coder = records._WordIds(f.read(), literal=False)
+    calls = []
+
+    class Model:
+        def tokenize(self, text, of=coder.model):
+            calls.append(text)
+            return of.tokenize(text)
+
+    coder.model = Model()
+    texts = ["Word, (word) WORD! word? \u00c9t\u00e9, it's <|endoftext|> 12.", "word."]
+    got = coder.encode(texts, "<u2")
+    monkeypatch.setattr(records, "MEMORY_WORDS", len(coder.pieces) * 2)
+    coder.known.update((str(i).encode(), b"") for i in range(99))
+    assert coder.encode(texts, "<u2") == got and calls.count("word") == 1 and len(coder.known) < 99
+    plain = records._WordIds(coder.tokenizer.to_str().encode(), literal=False).tokenizer
+    for t, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u2").tolist() == [*plain.encode(t, add_special_tokens=False).ids, records.END_ID]
+    assert coder.encode(texts[1:], "<u4")[0] == np.frombuffer(got[1], "<u2").astype("<u4").tobytes()
