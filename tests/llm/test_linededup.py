@@ -93,3 +93,18 @@ def test_any_partitioning(spark, sf, partitions):
     want = {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()}
     dealt = docs.repartition(partitions, F.rand(3))
     assert {r.doc_id: r.text for r in linededup.dedup_lines(dealt).collect()} == want
+
+
+def test_ranks_once(spark, sf):
+    """No filter of the plan ranks the words of a line, which the projection then does again."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    firsts = linededup.first_lines(docs, linededup.rarity(docs))
+    plan = firsts._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert [line for line in plan if "transform(" in line]
+    assert not [line for line in plan if "Filter" in line and "transform(" in line]
+
+
+def test_white_space(spark):
+    """Each white space parts words, alone, in rows and at the ends of lines; U+00A0 does not."""
+    check(spark, [(1, "a b c d e f"), (2, "\va\fb\rc\td \t e\f\f f\r"), (3, "\f\v\r\t"), (4, "a b c d e f"),
+                  (5, "x  y"), (6, " y\r\nx y\v")])
