@@ -24,6 +24,7 @@ import pickle
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +33,15 @@ from gleanery.llm.common import checkpointed
 #: Bound of the sample of rows that are pivots; rows per data and query block.
 PIVOTS, BLOCK, QUERY_BLOCK = 32, 4096, 1024
 LEAF = 32
+#: Parts of the second round for each core.
+TASKS = 8
 TOP = 20
 #: Shares of a node's scale that its children may have, the first that separates its rows counts.
 SCALES = (0.5, 0.7, 0.8, 0.9, 0.95)
-EXACT = 2.0**53
+#: Whole numbers below these are exact as doubles and as single floats.
+EXACT, EXACT_SINGLE = 2.0**53, 2.0**24
+#: Rows of a first product where no k-th score is known, and where one is; products held at once.
+FIRST_ROWS, KNOWN_ROWS, HELD = 512, 4096, 1 << 18
 
 
 class Tree:
@@ -55,7 +61,35 @@ class Tree:
         place[self.order] = np.arange(len(ids))
         self.ids, self.vectors = self.ids[self.order], self.vectors[self.order]
         self.nodes = [(int(place[c]), r, a, b, kids) for c, r, a, b, kids in self.nodes]
+        self._index()
+
+    def _index(self) -> None:
+        """Nodes as arrays, for bounds of many pairs at once, and the vectors as single floats."""
         self.norms = np.sqrt((self.vectors**2).sum(1))
+        self.largest = float(np.abs(self.vectors).max(initial=0.0))
+        self.centre, self.radius, self.begin, self.end = (
+            np.array([n[i] for n in self.nodes], t) for i, t in ((0, "i8"), (1, "f8"), (2, "i8"), (3, "i8")))
+        self.n_kids = np.array([len(n[4]) for n in self.nodes], "i8")
+        self.kid_at = np.cumsum(self.n_kids) - self.n_kids
+        self.kids = np.array([x for n in self.nodes for x in n[4]], "i8")
+        self.centres = self.vectors[self.centre]
+        if self.largest < EXACT_SINGLE:
+            self.single = self.vectors.astype("f4")
+
+    def __getstate__(self):
+        """Ids, nodes, and the vectors in the smallest integers that hold them."""
+        vectors = self.vectors
+        if np.array_equal(vectors, np.floor(vectors)):
+            for kind in ("i1", "i2", "i4"):
+                if self.largest <= np.iinfo(kind).max:
+                    vectors = vectors.astype(kind)
+                    break
+        return {"ids": self.ids, "vectors": vectors, "nodes": self.nodes}
+
+    def __setstate__(self, state):
+        self.ids, self.nodes = state["ids"], state["nodes"]
+        self.vectors = state["vectors"].astype("f8")
+        self._index()
 
     def _away(self, centre: int, rows: np.ndarray) -> np.ndarray:
         return np.sqrt(((self.vectors[rows] - self.vectors[centre]) ** 2).sum(1))
@@ -105,75 +139,141 @@ class Tree:
 
 
 def _products(q: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of integer-valued doubles."""
-    if q.shape[1] * np.abs(q).max(initial=0) * np.abs(r).max(initial=0) < EXACT:
-        return (q @ r.T).astype("i8")
+    """Exact integer inner products of integer-valued floats; single ones are known to be small enough."""
+    if q.dtype == "f4" or q.shape[1] * np.abs(q).max(initial=0) * np.abs(r).max(initial=0) < EXACT:
+        return q @ r.T
     exact = q.astype(object) @ r.astype(object).T  # a component can be as large as a float
     limits = np.iinfo("i8")
     return np.array([[min(max(int(x), limits.min), limits.max) for x in row] for row in exact],
                     "i8").reshape(len(q), len(r))
 
 
-def search(queries: Tree, data: Tree, floor: np.ndarray, k: int, counts: dict | None = None):
-    """(query row, data id, score) of each query's best k in data that reach its floor.
+def _limits(queries: Tree, data: Tree) -> np.ndarray:
+    """For every pair of nodes a product that none of their rows' exceeds."""
+    top = queries.centres @ data.centres.T
+    top += queries.radius[:, None] * data.norms[data.centre]
+    top += queries.norms[queries.centre][:, None] * data.radius
+    top += queries.radius[:, None] * data.radius
+    return top + 1e-9 * np.abs(top) + 1e-6
+
+
+def _opened(tree: Tree, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position in nodes, child) of every child of nodes."""
+    n = tree.n_kids[nodes]
+    at = np.repeat(np.arange(len(nodes)), n)
+    return at, tree.kids[np.repeat(tree.kid_at[nodes] - (np.cumsum(n) - n), n) + np.arange(len(at))]
+
+
+def _first_k(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
+    """The k best of each row, in order, and where each k-th stands."""
+    order = np.lexsort((ids, -scores, rows))
+    rows, ids, scores = rows[order], ids[order], scores[order]
+    rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    few = rank < k
+    return rows[few], ids[few], scores[few], np.flatnonzero(rank[few] == k - 1)
+
+
+def best_hits(queries: Tree, data: Tree, floor: np.ndarray, k: int, counts: dict | None = None):
+    """Arrays of query row, data id and score: each query's best k in data that reach its floor.
 
     floor: per query row a score that k others are known to reach, or -inf.
     counts: adds up pairs of nodes `visited` and `pruned`, and pairs of `rows` compared.
+
+    The trees are descended together, level by level, and pairs of nodes below the floors are
+    dropped. Each query leaf then meets the data leaves that are left, the most promising
+    first and more with every step; between steps the k-th scores so far drop others.
     """
     counts = {} if counts is None else counts
 
-    def count(what, n=1):
-        counts[what] = counts.get(what, 0) + n
+    def count(what, n):
+        counts[what] = counts.get(what, 0) + int(n)
 
+    none = np.empty(0, "i8")
+    if not len(queries.ids) or not len(data.ids):
+        return none, none, none
     bound = floor.astype("f8").copy()
-    best = [(np.empty(0, "i8"), np.empty(0, "i8"))] * len(queries.ids)
-
-    def limit(a, b):
-        qc, ra, _, _, _ = queries.nodes[a]
-        rc, rb, _, _, _ = data.nodes[b]
-        top = float(queries.vectors[qc] @ data.vectors[rc])
-        top += ra * data.norms[rc] + rb * queries.norms[qc] + ra * rb
-        return top + 1e-9 * abs(top) + 1e-6
-
-    def leaf(a, b):
-        _, _, qa, qb, _ = queries.nodes[a]
-        _, _, da, db, _ = data.nodes[b]
-        scores = _products(queries.vectors[qa:qb], data.vectors[da:db])
-        ids = data.ids[da:db]
-        for i in range(qa, qb):
-            own = scores[i - qa]
-            hit = np.flatnonzero((own >= bound[i]) & (ids != queries.ids[i]))
-            if not len(hit):
-                continue
-            s = np.concatenate([best[i][0], own[hit]])
-            v = np.concatenate([best[i][1], ids[hit]])
-            if len(s) > 4 * k:  # all that reach the k-th, ties included
-                enough = s >= np.partition(s, len(s) - k)[len(s) - k]
-                s, v = s[enough], v[enough]
-            order = np.lexsort((v, -s))[:k]
-            best[i] = s[order], v[order]
-            if len(order) == k:
-                bound[i] = max(bound[i], s[order[-1]])
-
-    stack = [(limit(0, 0), 0, 0)] if len(queries.ids) and len(data.ids) else []
-    while stack:
-        top, a, b = stack.pop()
-        _, ra, qa, qb, qkids = queries.nodes[a]
-        _, rb, _, _, dkids = data.nodes[b]
-        count("visited")
-        if top < bound[qa:qb].min():
-            count("pruned")
+    limits = _limits(queries, data)
+    ends = np.stack([queries.begin, queries.end], 1).ravel()
+    worst = np.minimum.reduceat(np.append(bound, np.inf), ends)[::2]
+    a, b, leaves = np.zeros(1, "i8"), np.zeros(1, "i8"), []
+    while len(a):
+        count("visited", len(a))
+        kept = limits[a, b] >= worst[a]
+        count("pruned", len(a) - kept.sum())
+        a, b = a[kept], b[kept]
+        q_kids, d_kids = queries.n_kids[a] > 0, data.n_kids[b] > 0
+        done = ~q_kids & ~d_kids
+        leaves.append((a[done], b[done]))
+        split = d_kids & ((data.radius[b] >= queries.radius[a]) | ~q_kids)
+        other = ~split & ~done
+        at, below = _opened(data, b[split])
+        q_at, q_below = _opened(queries, a[other])
+        a, b = np.append(a[split][at], q_below), np.append(below, b[other][q_at])
+    a, b = (np.concatenate(x) for x in zip(*leaves))
+    order = np.lexsort((-limits[a, b], a))
+    a, b = a[order], b[order]
+
+    single = len(data.vectors[0]) * queries.largest * data.largest < EXACT_SINGLE and max(
+        queries.largest, data.largest) < EXACT_SINGLE
+    q_vectors, d_vectors = (queries.single, data.single) if single else (queries.vectors, data.vectors)
+    found = [(none, none, none)]  # of leaves that are done and of the one at hand, cut to k a row now and then
+    held = 0
+
+    def cut():
+        nonlocal found, held
+        rows, ids, scores, last = _first_k(*(np.concatenate(x) for x in zip(*found)), k)
+        bound[rows[last]] = np.maximum(bound[rows[last]], scores[last])
+        found, held = [(rows, ids, scores)], 0
+
+    def compare(first, end, begin, stop):
+        nonlocal held
+        step = max(1, HELD // (stop - begin))
+        for x in range(first, end, step):
+            y = min(end, x + step)
+            scores = _products(q_vectors[x:y], d_vectors[begin:stop])
+            level = bound[x:y, None].astype("f4") if single else bound[x:y, None]
+            hit = np.flatnonzero(scores >= level)
+            if len(hit):
+                row, column = np.divmod(hit, stop - begin)
+                row += x
+                ids = data.ids[begin:stop][column]
+                other = ids != queries.ids[row]
+                found.append((row[other], ids[other], scores.ravel()[hit[other]].astype("i8")))
+                held += len(hit)
+                if held > HELD:
+                    cut()
+
+    cuts = np.flatnonzero(np.diff(a)) + 1
+    for mine, met in zip(np.split(a, cuts), np.split(b, cuts)):
+        if not len(mine):
             continue
-        if not qkids and not dkids:
-            count("rows", (qb - qa) * (data.nodes[b][3] - data.nodes[b][2]))
-            leaf(a, b)
-            continue
-        split_data = dkids and (rb >= ra or not qkids)
-        pairs = [(a, x) for x in dkids] if split_data else [(x, b) for x in qkids]
-        stack += sorted((limit(x, y), x, y) for x, y in pairs)  # the most promising comes off first
-    for i, (s, v) in enumerate(best):
-        for score, vec_id in zip(s.tolist(), v.tolist()):
-            yield i, vec_id, score
+        first, end = int(queries.begin[mine[0]]), int(queries.end[mine[0]])
+        sizes = data.end[met] - data.begin[met]
+        room, known = KNOWN_ROWS, bound[first:end].min() > -np.inf
+        if not known:
+            room = FIRST_ROWS
+        while len(met):
+            n = max(1, int(np.searchsorted(np.cumsum(sizes), room, "right")))
+            # Leaves that follow one another in tree order are one product.
+            runs = np.sort(met[:n])
+            begins, stops = np.sort(data.begin[runs]), np.sort(data.end[runs])
+            gap = np.flatnonzero(begins[1:] != stops[:-1])
+            for begin, stop in zip(begins[np.append(0, gap + 1)].tolist(), stops[np.append(gap, len(stops) - 1)].tolist()):
+                count("rows", (end - first) * (stop - begin))
+                compare(first, end, begin, stop)
+            met, sizes, room = met[n:], sizes[n:], room * 4
+            if len(met):
+                cut()
+                likely = limits[mine[0], met] >= bound[first:end].min()
+                count("pruned", len(met) - likely.sum())
+                met, sizes = met[likely], sizes[likely]
+    cut()
+    return found[0]
+
+
+def search(queries: Tree, data: Tree, floor: np.ndarray, k: int, counts: dict | None = None):
+    """(query row, data id, score) of `best_hits`, one by one."""
+    yield from zip(*(x.tolist() for x in best_hits(queries, data, floor, k, counts)))
 
 
 def _floor(x):
@@ -253,21 +353,44 @@ _HITS = "dim int, q_cell int, q_part int, query_id long, vec_id long, score long
 
 
 def _searched(pairs: DataFrame, k: int) -> DataFrame:
-    """Hits of pairs (q_cell, q_part, q_tree, floors, cell, part, tree); one pair of blocks at a time."""
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for q_cell, q_part, q_tree, floors, tree in zip(
-                frame["q_cell"], frame["q_part"], frame["q_tree"], frame["floors"], frame["tree"]):
-            queries, data = pickle.loads(q_tree), pickle.loads(tree)
-            floor = np.full(len(queries.ids), -np.inf)
-            if floors is not None:
-                known = dict((f["query_id"], f["floor"]) for f in floors)
-                floor = np.array([known.get(i, -np.inf) for i in queries.ids.tolist()], "f8")
-            rows += [(key[0], q_cell, q_part, int(queries.ids[i]), v, s)
-                     for i, v, s in search(queries, data, floor, k)]
-        return pd.DataFrame(rows, columns=["dim", "q_cell", "q_part", "query_id", "vec_id", "score"])
-
-    return pairs.groupBy("dim", "q_cell", "q_part", "cell", "part").applyInPandas(run, _HITS)
+    """Hits of pairs (q_cell, q_part, q_tree, floors, cell, part, tree); one pair of blocks at a time.
+
+    Pairs are searched where their join has brought them: no tree moves again.
+    """
+    def run(batches):
+        at, data = None, None
+        for batch in batches:
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            out, n = [], 0
+            for i in range(batch.num_rows):
+                dim, q_cell, q_part, cell, part = (
+                    columns[c][i].as_py() for c in ("dim", "q_cell", "q_part", "cell", "part"))
+                if at != (dim, cell, part):
+                    at, data = (dim, cell, part), pickle.loads(columns["tree"][i].as_py())
+                queries = pickle.loads(columns["q_tree"][i].as_py())
+                floor = np.full(len(queries.ids), -np.inf)
+                if columns["floors"][i].is_valid:
+                    known = columns["floors"][i].values
+                    ids, least = (known.field(c).to_numpy(zero_copy_only=False) for c in ("query_id", "floor"))
+                    order = np.argsort(queries.ids)
+                    floor[order[np.searchsorted(queries.ids[order], ids)]] = least
+                rows, ids, scores = best_hits(queries, data, floor, k)
+                out.append([np.full(len(rows), x, "i4") for x in (dim, q_cell, q_part)] + [queries.ids[rows], ids, scores])
+                n += len(rows)
+                if n > HELD:
+                    yield _hit_batch(out)
+                    out, n = [], 0
+            if out:
+                yield _hit_batch(out)
+
+    return pairs.select("dim", "q_cell", "q_part", "q_tree", "floors", "cell", "part", "tree").mapInArrow(run, _HITS)
+
+
+def _hit_batch(pieces: list) -> pa.RecordBatch:
+    columns = [np.concatenate(x) for x in zip(*pieces)]
+    names = ["dim", "q_cell", "q_part", "query_id", "vec_id", "score"]
+    kinds = [pa.int32()] * 3 + [pa.int64()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
 
 def _best(hits: DataFrame, k: int) -> DataFrame:
@@ -307,6 +430,8 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP) -> DataFrame:
         & (_limit(F.col("q_centre"), F.col("q_radius"), F.col("centre"), F.col("radius")) >= F.col("worst"))
     ).select("dim", "q_cell", "q_part", "floors", "cell", "part")
     met = others.join(queries.select("dim", "q_cell", "q_part", "q_tree"), ["dim", "q_cell", "q_part"])
+    # Many parts, as a few bytes of trees are much work.
+    met = met.repartition(TASKS * rows.sparkSession.sparkContext.defaultParallelism, "dim", "cell", "part")
     second = _searched(met.join(data.select("dim", "cell", "part", "tree"), ["dim", "cell", "part"]), k)
     every = first.drop("rank").unionByName(second)
     return _best(every, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -1,3 +1,4 @@
+import pickle
 import random
 
 import numpy as np
@@ -121,3 +122,23 @@ def test_far_blocks_do_not_meet(spark, monkeypatch):
     got = run(spark, rows, 7)
     assert met[0] == 8 and met[1] < 8 * 7 - 7  # at least one cell's pairs with the other cluster are gone
     assert got == brute({i: floors(v) for i, v, _ in rows}, 7, lambda i: i % 5 == 0)
+
+
+def test_leaves_that_stay_are_multiplied_together(monkeypatch):
+    """Where bounds drop next to nothing, a query leaf meets its data leaves in a few products, and trees stay small."""
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(0, 1, (2200, 64))
+    vectors = np.floor(64 * vectors / np.sqrt((vectors**2).sum(1))[:, None])
+    data, queries = covertree.Tree(np.arange(2000), vectors[:2000]), covertree.Tree(np.arange(2000, 2200), vectors[2000:])
+    scores = vectors[2000:] @ vectors[:2000].T
+    floor = np.sort(scores, axis=1)[:, -20][queries.ids - 2000]
+    seen, products = [], covertree._products
+    monkeypatch.setattr(covertree, "_products", lambda q, r: seen.append(len(r)) or products(q, r))
+    got = {}
+    for i, v, s in covertree.search(queries, data, floor, 20):
+        got.setdefault(int(queries.ids[i]), []).append((v, s))
+    assert got == {q + 2000: [(v, int(-s)) for s, v in sorted(zip(-scores[q], range(2000)))[:20]] for q in range(200)}
+    leaves = [sum(not n[4] for n in t.nodes) for t in (queries, data)]
+    assert min(leaves) > 4 and len(seen) < leaves[0] * leaves[1] / 4
+    again = pickle.loads(pickle.dumps(data, protocol=5))
+    assert (again.vectors == data.vectors).all() and len(pickle.dumps(data, protocol=5)) < data.vectors.nbytes / 4
