@@ -1,6 +1,10 @@
 """What keeps memory bounded where pages are many or large."""
 
-from gleanery.sources import dom, tabular
+import pyarrow as pa
+
+from checks import landed
+from gleanery.sources import dom, registry, tabular
+from gleanery.sources.postings import accepted
 
 
 def plan_of(df):
@@ -28,3 +32,25 @@ def test_cells_look_at_their_own_nodes():
     """Rows, cells and texts are sought in slices; a search of the whole page for each was quadratic."""
     sql = dom.table_cells("nodes", "table")
     assert sql.count("slice(nodes") == 3 and "filter(nodes" not in sql
+
+
+def test_pages_are_parsed_in_pieces(monkeypatch):
+    """A worker holds the nodes of a piece of a batch, however many pages the batch has."""
+    pages = ["<p>a</p>"] * 5 + [None] + ["<b>" + "x" * 5000 + "</b>"] * 3 + ["<p>z</p>"] * 40 + [""]
+    monkeypatch.setattr(dom, "PIECE", 4096)
+    monkeypatch.setattr(dom, "PIECE_PAGES", 16)
+    held, columnar = [], dom._columnar
+    monkeypatch.setattr(dom, "_columnar", lambda found: held.append(len(found)) or columnar(found))
+    got = list(dom.parse_nodes.func(iter([pa.array(pages), pa.array([], pa.string()), pa.array(pages[:3])])))
+    assert sum(held) == len(pages) + 3 and max(held) <= 16 and len(held) > 6
+    flat = [n for piece in got for n in piece.to_pylist()]
+    assert flat == columnar([dom._nodes_of(h) for h in pages + pages[:3]]).to_pylist()
+
+
+def test_usable_rows_are_extracted_once(spark, sf):
+    """The check for usable rows stays above the extraction: as a filter it would repeat it below."""
+    pages = landed.card_pages(spark, sf, ("linkedin",))
+    rows = accepted(registry.extract(registry.Landed(pages=pages), ["linkedin"])).select("title", "url")
+    optimised = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in optimised.splitlines() if "Filter " in line and "lambda" in line]
+    assert rows.count() == 200
